@@ -2,10 +2,11 @@
 
 A rule is a list of repairs; a repair names a field, the code that goes into the audit trail, and the
 expression that gives the field's new value. Each rule adds its new values as columns beside the old
-ones, and a single array at the end compares every pair of before and after. So the whole clean-up is
-one projection over the rows: no shuffle, no Python worker, no repeated expression.
+ones, and at the end every pair of before and after is compared. So the whole clean-up is a row of
+projections: no shuffle, no Python worker, nothing worked out twice.
 """
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -79,14 +80,22 @@ ITEMS_FOR_PRICING = "array<struct<qty:string,unit_price:string>>"
 TOTAL_ERROR = "total_order_error"
 
 
-def _lookup(words: dict[str, str], key: Column) -> Column:
-    """The word's counterpart, or null."""
-    table = F.create_map(*[F.lit(text) for pair in words.items() for text in pair])
-    return F.try_element_at(table, key)
+def _replace_words(words: dict[str, str], key: Column, otherwise: Column) -> Column:
+    """The word's counterpart. Plain comparisons: a lookup in a map column costs four times as much."""
+    (first, counterpart), *more = words.items()
+    chosen = F.when(key == first, counterpart)
+    for word, counterpart in more:
+        chosen = chosen.when(key == word, counterpart)
+    return chosen.otherwise(otherwise)
 
 
-def _price_in_digits(text: Column) -> Column:
-    return F.coalesce(_lookup(PRICE_WORDS, F.trim(text)), text)
+def _price_in_digits(text: Column, trimmed: Column) -> Column:
+    return _replace_words(PRICE_WORDS, trimmed, text)
+
+
+def _no_currency(_text: Column, western: Column) -> Column:
+    # Most amounts are plain numbers, in which there are no words to search for.
+    return F.when(western.rlike("^[0-9.,-]*$"), western).otherwise(remove_currency(western))
 
 
 def _phone(text: Column) -> Column:
@@ -99,76 +108,124 @@ def _email(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"\s+", ""), r"([@.])\1+", "$1")
 
 
-def _iso_date(text: Column) -> Column:
-    western = arabic_to_western(text)
-    moments = [F.try_to_timestamp(western, F.lit(layout)) for layout in DATE_LAYOUTS]
-    return F.coalesce(F.date_format(F.coalesce(*moments), "yyyy-MM-dd"), text)
-
-
-def _tidy(text: Column) -> Column:
-    tidy = clean_text(text)
-    return F.coalesce(_lookup(SYNONYMS, F.lower(tidy)), tidy)
+def _shape(layout: str) -> str:
+    """A pattern that every text in the layout has, and few others."""
+    years = layout.replace("'", "").replace("yyyy", r"[+-]?\d{4,}")
+    return "(?i)^" + re.sub("MM|dd|HH|mm|ss", r"\\d\\d", years) + "$"
 
 
-@dataclass(frozen=True)
-class Repair:
-    field: str
-    rule_code: str
-    new_value: Callable[[Column], Column]
+def _iso_date(text: Column, western: Column) -> Column:
+    """A failed parse costs far more than a look at the shape, and most layouts fail."""
+    moments = [
+        F.when(western.rlike(_shape(layout)), F.try_to_timestamp(western, F.lit(layout)))
+        for layout in DATE_LAYOUTS
+    ]
+    parsed = F.coalesce(F.date_format(F.coalesce(*moments), "yyyy-MM-dd"), text)
+    # Parsed or not, such a text comes out as it went in.
+    return F.when(text.rlike(r"^\d{4}-\d\d-\d\d$"), text).otherwise(parsed)
 
 
-@dataclass(frozen=True)
-class Rule:
-    name: str
-    repairs: Sequence[Repair]
-    # Runs before the repairs, for a rule that needs more than the field itself.
-    prepare: Callable[[DataFrame, Callable[[str], Column]], DataFrame] | None = None
+def _arabic_words(_text: Column, tidy: Column) -> Column:
+    return _replace_words(SYNONYMS, F.lower(tidy), tidy)
 
 
-def _each(fields: Sequence[str], rule_code: str, new_value: Callable[[Column], Column]) -> list[Repair]:
-    return [Repair(field, rule_code, new_value) for field in fields]
+def _double(text: Column) -> Column:
+    # What is a number as it stands stays the same number when normalized.
+    return F.coalesce(text.try_cast("double"), normalize_numeric_text(text).try_cast("double"))
 
 
-def _price_the_order(df: DataFrame, current: Callable[[str], Column]) -> DataFrame:
-    """R9a-R9g: items total plus delivery, or the reason why there is none."""
-    items = F.from_json(current("items_json"), ITEMS_FOR_PRICING)
+def _price_the_items(df: DataFrame) -> DataFrame:
+    """R9a-R9e: how many items there are (null where they cannot be read) and what they come to.
 
-    def number(text: Column) -> Column:
-        return normalize_numeric_text(text).try_cast("double")
-
-    df = df.withColumns(
-        {
-            "_lines": F.transform(
-                items,
-                lambda item: F.struct(
-                    number(item["qty"]).alias("qty"), number(item["unit_price"]).alias("unit_price")
-                ),
-            ),
-            "_delivery": number(current("delivery_cost")),
-        }
+    The sum is null as soon as one item has no quantity above zero or no price.
+    """
+    items = F.transform(
+        F.from_json("items_json", ITEMS_FOR_PRICING),
+        lambda item: F.struct(
+            _double(item["qty"]).alias("qty"), _double(item["unit_price"]).alias("unit_price")
+        ),
     )
-    sellable = F.forall(
-        "_lines", lambda line: F.coalesce((line["qty"] > 0) & (line["unit_price"] >= 0), F.lit(False))
+    goods = F.aggregate(
+        "_items",
+        F.lit(0.0),
+        lambda total, item: total
+        + F.when((item["qty"] > 0) & (item["unit_price"] >= 0), item["qty"] * item["unit_price"]),
     )
-    df = df.withColumn(
-        TOTAL_ERROR,
-        F.when(F.col("_lines").isNull(), "CORRUPTED_ITEMS_JSON")
-        .when(F.size("_lines") == 0, "EMPTY_ITEMS")
-        .when(~sellable, "AMBIGUOUS_NEGATIVE_VALUE")
-        .when(F.col("_delivery").isNull(), "INVALID_DELIVERY_COST")
-        .when(F.col("_delivery") < 0, "AMBIGUOUS_NEGATIVE_VALUE"),
+    return (
+        df.withColumn("_items", items)
+        .withColumns({"_item_count": F.size("_items"), "_goods": goods})
+        .drop("_items")
     )
-    goods = F.aggregate(
-        "_lines", F.lit(0.0), lambda total, line: total + line["qty"] * line["unit_price"]
+
+
+def _price_the_order(stages: "Stages", delivery_cost: str) -> None:
+    """R9f, R9g: what is needed to add items and delivery, or the reason why that cannot be done."""
+    delivery = F.col("_delivery")
+    stages.add("_delivery", _double(F.col(delivery_cost)), delivery_cost)
+    stages.add(
+        TOTAL_ERROR,
+        F.when(F.col("_item_count").isNull(), "CORRUPTED_ITEMS_JSON")
+        .when(F.col("_item_count") == 0, "EMPTY_ITEMS")
+        .when(F.col("_goods").isNull(), "AMBIGUOUS_NEGATIVE_VALUE")
+        .when(delivery.isNull(), "INVALID_DELIVERY_COST")
+        .when(delivery < 0, "AMBIGUOUS_NEGATIVE_VALUE"),
+        "_delivery",
     )
-    # No error means that every part of the sum is there.
-    return df.withColumn(
-        "_order_total", F.when(F.col(TOTAL_ERROR).isNull(), goods + F.col("_delivery"))
-    ).drop("_lines", "_delivery")
 
 
 def _recalculated(text: Column) -> Column:
-    return F.coalesce(F.format_number("_order_total", 2), normalize_numeric_text(text))
+    # Without an error every part of the sum is there.
+    total = F.format_number(F.col("_goods") + F.col("_delivery"), 2)
+    return F.when(F.col(TOTAL_ERROR).isNull(), total).otherwise(normalize_numeric_text(text))
+
+
+class Stages:
+    """Columns to work out, each in the first projection in which all that it needs is there.
+
+    Columns that do not need each other share a projection, so the rows are copied fewer times.
+    """
+
+    def __init__(self) -> None:
+        self.stage_of: dict[str, int] = {}
+        self.stages: dict[int, dict[str, Column]] = {}
+
+    def add(self, name: str, value: Column, *needs: str) -> None:
+        stage = 1 + max(self.stage_of.get(need, 0) for need in needs)
+        self.stage_of[name] = stage
+        self.stages.setdefault(stage, {})[name] = value
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        for stage in sorted(self.stages):
+            df = df.withColumns(self.stages[stage])
+        return df
+
+
+@dataclass(frozen=True)
+class Repair:
+    """The field's new value, from its text and, where `first` is given, what that makes of it.
+
+    `first` is for what the new value needs several times: it becomes a column, worked out once.
+    `needs` are further columns that the new value is made from.
+    """
+
+    field: str
+    rule_code: str
+    new_value: Callable[..., Column]
+    first: Callable[[Column], Column] | None = None
+    needs: tuple[str, ...] = ()
+
+
+@dataclass(frozen=True)
+class Rule:
+    name: str
+    repairs: Sequence[Repair]
+    # For a rule that looks at other fields: what it gets from the items, and from the delivery cost.
+    prepare: Callable[[DataFrame], DataFrame] | None = None
+    derive: Callable[[Stages, str], None] | None = None
+
+
+def _each(fields: Sequence[str], rule_code: str, *how: Callable[..., Column]) -> list[Repair]:
+    return [Repair(field, rule_code, *how) for field in fields]
 
 
 ARABIC_NUMBERS = Rule(
@@ -178,68 +235,74 @@ CURRENCY = Rule(
     "rule_currency",
     [
         Repair("currency", "CURRENCY_NORMALIZATION", normalize_currency_text),
-        *_each(AMOUNT_FIELDS, "CURRENCY_REMOVAL", remove_currency),
+        *_each(AMOUNT_FIELDS, "CURRENCY_REMOVAL", _no_currency, arabic_to_western),
     ],
 )
 THOUSANDS = Rule(
     "rule_thousands", _each(AMOUNT_FIELDS, "THOUSANDS_SEPARATOR", normalize_numeric_text)
 )
-WORDS = Rule("rule_price_words", [Repair("delivery_cost", "PRICE_IN_WORDS", _price_in_digits)])
+WORDS = Rule("rule_price_words", [Repair("delivery_cost", "PRICE_IN_WORDS", _price_in_digits, F.trim)])
 PHONE = Rule("rule_phone", [Repair("customer_phone", "PHONE_NORMALIZATION", _phone)])
 EMAIL = Rule("rule_email", [Repair("customer_email", "EMAIL_NORMALIZATION", _email)])
-DATE = Rule("rule_date", [Repair("order_date", "DATE_NORMALIZATION", _iso_date)])
-SPACES = Rule("rule_spaces_synonyms", _each(TIDIED_FIELDS, "SPACES_SYNONYMS", _tidy))
+DATE = Rule(
+    "rule_date", [Repair("order_date", "DATE_NORMALIZATION", _iso_date, arabic_to_western)]
+)
+SPACES = Rule(
+    "rule_spaces_synonyms", _each(TIDIED_FIELDS, "SPACES_SYNONYMS", _arabic_words, clean_text)
+)
 TOTAL = Rule(
     "rule_total_order",
-    [Repair("total_amount", "TOTAL_ORDER_RECALCULATION", _recalculated)],
-    prepare=_price_the_order,
+    [Repair("total_amount", "TOTAL_ORDER_RECALCULATION", _recalculated, needs=(TOTAL_ERROR,))],
+    prepare=_price_the_items,
+    derive=_price_the_order,
 )
 
 # The order matters: later rules see what earlier ones left.
 NINE_RULES = [ARABIC_NUMBERS, CURRENCY, THOUSANDS, WORDS, PHONE, EMAIL, DATE, SPACES, TOTAL]
 
 
+def _entry_if_changed(field: str, before: Column, after: Column, rule_code: str) -> Column:
+    """An array of one entry, or of none. A comparison with a null counts as no change."""
+    none = F.array().cast(CORRECTION_SCHEMA)
+    entry = F.array(correction_struct(field, before, after, rule_code)).cast(CORRECTION_SCHEMA)
+    return F.when(before != after, entry).otherwise(none)
+
+
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Runs the rules over the order fields and adds what they changed to `corrections`.
 
     Every other column is kept. `total_order_error` is added when the rules include R9.
     """
     kept = [name for name in df.columns if name not in ORDER_FIELDS and name != "corrections"]
-    earlier = [F.col("corrections")] if "corrections" in df.columns else []
+    found = [F.col("corrections")] if "corrections" in df.columns else []
     holder = {field: field for field in ORDER_FIELDS}
-    trail = []
+    stages = Stages()
     for number, rule in enumerate(rules, start=1):
-        if rule.prepare:
-            df = rule.prepare(df, lambda field: F.col(holder[field]))
+        if rule.prepare and rule.derive:
+            df = rule.prepare(df)
+            rule.derive(stages, holder["delivery_cost"])
             kept.append(TOTAL_ERROR)
-        repaired = {}
         for repair in rule.repairs:
             before, after = holder[repair.field], f"_{repair.field}_{number}"
-            repaired[after] = repair.new_value(F.col(before))
+            text = F.col(before)
+            if repair.first:
+                first = f"{after}_first"
+                stages.add(first, repair.first(text), before)
+                stages.add(after, repair.new_value(text, F.col(first)), first)
+            else:
+                stages.add(after, repair.new_value(text), before, *repair.needs)
+            found.append(_entry_if_changed(repair.field, text, F.col(after), repair.rule_code))
             holder[repair.field] = after
-            trail.append((repair, before, after))
-        df = df.withColumns(repaired)
-
-    # A comparison with a null is null, so only a change between two values makes an entry.
-    entries = [
-        F.when(
-            F.col(before) != F.col(after),
-            correction_struct(repair.field, F.col(before), F.col(after), repair.rule_code),
-        )
-        for repair, before, after in trail
-    ]
-    found = F.array_compact(F.array(*entries)).cast(CORRECTION_SCHEMA)
-    return df.select(
+    return stages.apply(df).select(
         *kept,
         *[F.col(holder[field]).alias(field) for field in ORDER_FIELDS],
-        F.concat(*earlier, found).alias("corrections"),
+        F.concat(*found).alias("corrections"),
     )
 
 
 def add_audit(df: DataFrame, original: Column, corrected: Column, field: str, rule_code: str) -> DataFrame:
     """A1 for one change of your own: appends it to `corrections` when the two values differ."""
-    changed = F.when(original != corrected, correction_struct(field, original, corrected, rule_code))
-    entry = F.array_compact(F.array(changed)).cast(CORRECTION_SCHEMA)
+    entry = _entry_if_changed(field, original, corrected, rule_code)
     return df.withColumn("corrections", F.concat("corrections", entry))
 
 

@@ -34,9 +34,9 @@ def correction_examples(cleaned: DataFrame, limit: int = 10) -> DataFrame:
     """F8: some orders that were corrected, the first ones by id."""
     return (
         cleaned.where(F.size("corrections") > 0)
-        .select("order_id", "quality_status", "corrections")
-        .orderBy("order_id")
+        .orderBy("order_id", "number_row_source")
         .limit(limit)
+        .select("order_id", "quality_status", "corrections")
     )
 
 
@@ -44,9 +44,9 @@ def quarantine_examples(cleaned: DataFrame, limit: int = 10) -> DataFrame:
     """some quarantined orders, the first ones by id."""
     return (
         quarantined_orders(cleaned)
-        .select("order_id", "customer_id", "quality_status", "quarantine_reasons")
-        .orderBy("order_id", "customer_id", F.col("quarantine_reasons").cast("string"))
+        .orderBy("order_id", "number_row_source")
         .limit(limit)
+        .select("order_id", "customer_id", "quality_status", "quarantine_reasons")
     )
 
 

@@ -4,7 +4,11 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: str = "8", name: str = "souqframe", **settings: str) -> SparkSession:
-    """A local session with the settings the engine expects: UTC, and adaptive execution on."""
+    """A local session with the settings the engine expects.
+
+    UTC and adaptive execution; and no generated method larger than the JVM compiles, which the rules'
+    projections would otherwise grow into.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
@@ -13,6 +17,7 @@ def local_session(cores: str = "8", name: str = "souqframe", **settings: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -151,6 +151,17 @@ def first_rows(raw: DataFrame, rows: int) -> DataFrame:
     return raw.where(F.col("number_row_source") <= rows).select("record_raw.*")
 
 
+def write_order_csv(orders: DataFrame, path: str) -> None:
+    """Orders as CSV files that `read_order_csv` reads back as they were, outer blanks included."""
+    orders.write.mode("overwrite").options(
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    ).csv(path)
+
+
 def create_sample(
     spark: SparkSession, input_file: str, output_path: str, rows: int, exactly: bool = False
 ) -> int:
@@ -163,7 +174,5 @@ def create_sample(
     if exactly and (found := sample.count()) != rows:
         raise RuntimeError(f"expected {rows:,} rows but found only {found:,}")
     written = Observation()
-    sample.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").options(
-        header=True, quote='"', escape='"'
-    ).csv(output_path)
+    write_order_csv(sample.observe(written, F.count(F.lit(1)).alias("rows")), output_path)
     return written.get["rows"]
