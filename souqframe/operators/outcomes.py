@@ -65,16 +65,6 @@ def quarantine_reason_summary(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def outcome_counts() -> list:
-    """The counts that have to add up, for `observe` or `agg`."""
-    status = F.col("quality_status")
-    return [
-        F.count(F.lit(1)).alias("processed"),
-        F.count_if(status.isin(ACCEPTED)).alias("validated"),
-        F.count_if(status == QUARANTINE).alias("quarantined"),
-    ]
-
-
 def check_counts(raw: int, processed: int, validated: int, quarantined: int) -> None:
     """No order may get lost or doubled on the way."""
     if raw != processed:

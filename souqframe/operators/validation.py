@@ -2,7 +2,7 @@
 
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from souqframe.functions.amounts import numeric_amount
@@ -74,12 +74,24 @@ def flatten_raw(raw: DataFrame) -> DataFrame:
     return raw.select(*ENVELOPE_FIELDS, "record_raw.*")
 
 
-def apply_all_quality_rules(raw: DataFrame, strict_dates: bool = False) -> DataFrame:
+def outcome_counts() -> list[Column]:
+    """The counts that have to add up."""
+    status = F.col("quality_status")
+    return [
+        F.count(F.lit(1)).alias("processed"),
+        F.count_if(status.isin(ACCEPTED)).alias("validated"),
+        F.count_if(status == QUARANTINE).alias("quarantined"),
+    ]
+
+
+def apply_all_quality_rules(
+    raw: DataFrame, strict_dates: bool = False, counts: Observation | None = None
+) -> DataFrame:
     """Raw orders in, cleaned, audited, validated and classified orders out, one row for each.
 
-    The rows are counted on the way. Spark does not move filters past a count, and here it must not:
-    a filter on the outcome would be turned into one on the raw fields, which works out all the rules
-    a second time.
+    The outcomes are counted on the way, into `counts` where it is given. Spark does not move filters
+    past a count, and here it must not: a filter on the outcome would be turned into one on the raw
+    fields, which works out all the rules a second time.
     """
     return (
         raw.transform(flatten_raw)
@@ -88,5 +100,5 @@ def apply_all_quality_rules(raw: DataFrame, strict_dates: bool = False) -> DataF
         .withColumn("quality_status", quality_status())
         .withColumn("amount", numeric_amount("total_amount"))
         .select(CLEAN_SCHEMA.fieldNames())
-        .observe(f"cleaned-{uuid4().hex}", F.count(F.lit(1)).alias("orders"))
+        .observe(counts or Observation(f"cleaned-{uuid4().hex}"), *outcome_counts())
     )

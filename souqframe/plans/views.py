@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from souqframe.operators.reports import daily_sums, get_top_products
 from souqframe.plans.warehouse import Warehouse
 from souqframe.schemas import DAILY_SALES_SCHEMA
+from souqframe.sources.workspace import workspace
 
 DAILY_SALES = "daily_sales_summary"
 TOP_PRODUCTS = "top_products_summary"
@@ -41,25 +42,38 @@ def signed_daily_sums(changes: DataFrame) -> DataFrame:
             F.col("new_order_date").alias("order_date"),
             F.lit(1).alias("orders"),
             F.col("new_amount").alias("revenue"),
+            F.col("new_at_ingested").alias("at_ingested"),
         ),
         F.struct(
             F.col("old_order_date").alias("order_date"),
             F.lit(-1).alias("orders"),
             (-F.col("old_amount")).alias("revenue"),
+            F.lit(None).cast("double").alias("at_ingested"),
         ),
     )
     return (
         changes.select(F.inline(counted))
         .where(F.col("order_date").isNotNull())
         .groupBy("order_date")
-        .agg(F.sum("orders").alias("total_orders"), F.sum("revenue").alias("total_revenue"))
+        .agg(
+            F.sum("orders").alias("inc_orders"),
+            F.sum("revenue").alias("inc_revenue"),
+            F.max("at_ingested").alias("latest_ingested"),
+        )
     )
 
 
 def merge_daily_sums(view: DataFrame, sums: DataFrame, now: float) -> DataFrame:
     """K6: the view with the sums added; days without orders go."""
     return (
-        view.unionByName(sums.withColumn("last_updated", F.lit(now)))
+        view.unionByName(
+            sums.select(
+                "order_date",
+                F.col("inc_orders").alias("total_orders"),
+                F.col("inc_revenue").alias("total_revenue"),
+                F.lit(now).alias("last_updated"),
+            )
+        )
         .groupBy("order_date")
         .agg(
             F.sum("total_orders").alias("total_orders"),
@@ -84,29 +98,21 @@ def refresh_daily_sales_summary(warehouse: Warehouse, incremental: bool = True)
     """M1: brings the daily sums up to date, from the changes or, for a new view, from all orders."""
     orders, view = warehouse.validated, warehouse.daily_sales
     upto, done = orders.last_gen(), view.source_gen()
-    now = time.time()
-    if incremental and done:
-        if upto == done:
-            return _outcome(DAILY_SALES, 0, incremental)
-        changes = orders.changes(done, upto)
-        sums = signed_daily_sums(changes)
-        newest = changes.agg(F.max("new_at_ingested")).first()[0]
-        updated = sums.count()
-        rows = merge_daily_sums(view.read(), sums, now)
-    else:
-        sums = daily_sums(orders.read())
-        updated, newest = sums.agg(F.count(F.lit(1)), F.max("latest_ingested")).first()
-        if not updated and not view.last_gen():
-            return _outcome(DAILY_SALES, 0, incremental)
-        rows = sums.select(
-            "order_date",
-            F.col("inc_orders").alias("total_orders"),
-            F.col("inc_revenue").cast("decimal(28,2)").alias("total_revenue"),
-            F.lit(now).alias("last_updated"),
-        )
+    if upto == (done if incremental else 0):
+        return _outcome(DAILY_SALES, 0, incremental)
+    add = incremental and done > 0
+    sums = signed_daily_sums(orders.changes(done, upto)) if add else daily_sums(orders.read())
+    # A row per day, written down: the orders or changes are read once.
+    folder = f"{workspace(warehouse.spark)}/sums"
+    sums.write.parquet(folder)
+    sums = warehouse.spark.read.parquet(folder)
+    updated, newest = sums.agg(F.count(F.lit(1)), F.max("latest_ingested")).first()
+    empty = warehouse.spark.createDataFrame([], DAILY_SALES_SCHEMA)
+    rows = merge_daily_sums(view.read() if add else empty, sums, time.time())
     view.overwrite(rows, source_gen=upto)
-    if newest is not None:
-        set_last_watermark(warehouse, DAILY_SALES, max(newest, get_last_watermark(warehouse, DAILY_SALES)))
+    seen = get_last_watermark(warehouse, DAILY_SALES)
+    if newest is not None and newest > seen:
+        set_last_watermark(warehouse, DAILY_SALES, newest)
     return _outcome(DAILY_SALES, updated, incremental)
 
 

@@ -6,8 +6,8 @@ from pyspark.sql import SparkSession
 def local_session(cores: str = "8", name: str = "souqframe", **settings: str) -> SparkSession:
     """A local session with the settings the engine expects.
 
-    UTC and adaptive execution; and no generated method larger than the JVM compiles, which the rules'
-    projections would otherwise grow into.
+    UTC and adaptive execution; no generated method larger than the JVM compiles, which the rules'
+    projections would otherwise grow into; and a few folders written at a time without a sort.
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -18,6 +18,7 @@ def local_session(cores: str = "8", name: str = "souqframe", **settings: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

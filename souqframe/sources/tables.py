@@ -13,6 +13,7 @@ before that leaves the table as it was, and running it again overwrites what it
 writer at a time.
 """
 
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
@@ -40,6 +41,16 @@ def newest_per_key(batch: DataFrame, key: str, newest_by: list[str]) -> DataFram
     )
 
 
+@dataclass(frozen=True)
+class State:
+    """What the commits say: the buckets that each commit still owns, and how far things have got."""
+
+    last_gen: int
+    source_gen: int
+    buckets: int
+    owners: dict[int, list[int]]
+
+
 class KeyedTable:
     def __init__(
         self,
@@ -63,30 +74,36 @@ class KeyedTable:
             return self.spark.createDataFrame([], COMMITS)
         return self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits")
 
+    def _state(self) -> "State":
+        """Where the table stands; as many rows reach the driver as it has buckets."""
+        latest = self._commits().groupBy("bucket").agg(
+            F.max("gen").alias("gen"), F.max("buckets").alias("buckets"), F.max("source_gen").alias("source")
+        )
+        rows = latest.collect()
+        owners: dict[int, list[int]] = {}
+        for row in rows:
+            owners.setdefault(row["gen"], []).append(row["bucket"])
+        new = self._new_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return State(
+            last_gen=max(owners, default=0),
+            source_gen=max((row["source"] or 0 for row in rows), default=0),
+            buckets=max((row["buckets"] for row in rows), default=new),
+            owners=owners,
+        )
+
     def last_gen(self) -> int:
         """The number of the last commit, 0 for a new table."""
-        return self._commits().agg(F.max("gen")).first()[0] or 0
+        return self._state().last_gen
 
     def source_gen(self) -> int:
         """How far into the table it is made from a summary table has got."""
-        return self._commits().agg(F.max("source_gen")).first()[0] or 0
-
-    def _buckets(self) -> int:
-        known = self._commits().agg(F.max("buckets")).first()[0]
-        return known or self._new_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def _owners(self) -> dict[int, list[int]]:
-        """The buckets that each commit still owns; as many entries as the table has buckets."""
-        owners: dict[int, list[int]] = {}
-        for row in self._commits().groupBy("bucket").agg(F.max("gen").alias("gen")).collect():
-            owners.setdefault(row["gen"], []).append(row["bucket"])
-        return owners
+        return self._state().source_gen
 
     # --- reading -----------------------------------------------------------------------------
 
-    def _rows(self, only: list[int] | None = None) -> DataFrame:
+    def _rows(self, state: "State", only: list[int] | None = None) -> DataFrame:
         """The current rows with their bucket; the conditions are on folders, not on rows."""
-        owners = self._owners()
+        owners = state.owners
         if only is not None:
             wanted = set(only)
             owners = {gen: [b for b in buckets if b in wanted] for gen, buckets in owners.items()}
@@ -113,7 +130,7 @@ class KeyedTable:
 
     def read(self) -> DataFrame:
         """The rows as of the last commit."""
-        return self._rows().drop("bucket")
+        return self._rows(self._state()).drop("bucket")
 
     def changes(self, after: int, upto: int) -> DataFrame:
         """The tracked columns, as old_* and new_*, of every row changed by commits (after, upto]."""
@@ -161,53 +178,57 @@ class KeyedTable:
         after that reads back its keys. A batch that is small next to the table has its keys
         broadcast by Spark, on their measured size, and then the table is not shuffled at all.
         """
-        gen, buckets = self.last_gen() + 1, self._buckets()
+        state = self._state()
+        gen, bucket = state.last_gen + 1, self._bucket(state.buckets)
         newest = newest_per_key(batch.select(self.schema.fieldNames()), self.key, newest_by or NEWEST_BY)
-        fresh = self._write(newest.withColumn("bucket", self._bucket(buckets)), gen, "batch")
+        fresh = self._write(newest.withColumn("bucket", bucket), gen, "batch")
         touched = [row[0] for row in fresh.select("bucket").distinct().collect()]
         if not touched:
-            return gen - 1
+            return state.last_gen
         after = fresh.select(self.key, *[F.col(name).alias(f"new_{name}") for name in self.tracked])
-        return self._replace(gen, buckets, after, touched)
+        return self._replace(state, after, touched)
 
     def delete(self, keys: DataFrame) -> int:
         """Takes the rows with these keys out of the table."""
-        gen, buckets = self.last_gen() + 1, self._buckets()
+        state = self._state()
+        gen = state.last_gen + 1
         keys = keys.select(self.key).where(F.col(self.key).isNotNull()).distinct()
-        present = self._rows().select(self.key, "bucket").join(keys, self.key, "left_semi")
+        present = self._rows(state).select(self.key, "bucket").join(keys, self.key, "left_semi")
         # Written down, because it is read several times below.
         leaving = f"{self.path}/leaving/gen={gen}"
         present.write.mode("overwrite").parquet(leaving)
         present = self.spark.read.parquet(leaving)
         touched = [row[0] for row in present.select("bucket").distinct().collect()]
         if not touched:
-            return gen - 1
+            return state.last_gen
         self._write(self._no_rows(), gen, "batch")
         gone = [
             F.lit(None).cast(self.schema[name].dataType).alias(f"new_{name}") for name in self.tracked
         ]
-        return self._replace(gen, buckets, present.select(self.key, *gone), touched)
+        return self._replace(state, present.select(self.key, *gone), touched)
 
     def _no_rows(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema).withColumn("bucket", F.lit(0))
 
-    def _replace(self, gen: int, buckets: int, after: DataFrame, touched: list[int]) -> int:
+    def _replace(self, state: State, after: DataFrame, touched: list[int]) -> int:
         """Keeps the rows of the touched buckets that are not in `after`, notes the changes, commits."""
-        before = self._rows(touched)
+        gen = state.last_gen + 1
+        before = self._rows(state, touched)
         self._write(before.join(after.select(self.key), self.key, "left_anti"), gen, "kept")
         if self.tracked:
             old = [F.col(name).alias(f"old_{name}") for name in self.tracked]
             after.join(before.select(self.key, *old), self.key, "left").write.mode(
                 "overwrite"
             ).parquet(f"{self.path}/changes/gen={gen}")
-        self._commit(gen, touched, buckets, None)
+        self._commit(gen, touched, state.buckets, None)
         return gen
 
     def overwrite(self, rows: DataFrame, source_gen: int | None = None) -> int:
         """Replaces the whole table; the rows must have distinct keys. For summary tables."""
         if self.tracked:
             raise ValueError("a table that tracks changes is not overwritten: use upsert or delete")
-        gen, buckets = self.last_gen() + 1, self._buckets()
+        state = self._state()
+        gen, buckets = state.last_gen + 1, state.buckets
         rows = rows.select(self.schema.fieldNames()).withColumn("bucket", self._bucket(buckets))
         self._write(rows, gen, "batch")
         # In place of what a job that died half-way may have left under this number.
@@ -227,7 +248,7 @@ class KeyedTable:
 
     def vacuum(self) -> list[int]:
         """Deletes the rows that no current bucket needs; gives the commits they came from."""
-        owners = self._owners()
+        owners = self._state().owners
         committed = [row["gen"] for row in self._commits().select("gen").distinct().collect()]
         unused = sorted(gen for gen in committed if gen not in owners)
         for gen in unused:
