@@ -84,6 +84,9 @@ def lookups(
     ]
 
 
+COSTS = ["files", "files_examined", "rows_stored", "rows_examined", "rows_returned"]
+
+
 def scan_cost(stored: DataFrame, lookup: Lookup) -> DataFrame:
     """One row: files and rows in all, files and rows the lookup has to read, rows it finds.
 
@@ -128,23 +131,26 @@ def compare_layouts(
     plain, result = spark.read.parquet(plain_path), None
     for lookup in compared:
         laid_out = spark.read.parquet(paths[lookup.layout])
-        before, after = scan_cost(plain, lookup), scan_cost(laid_out, lookup)
-        for name in before.columns:
-            before = before.withColumnRenamed(name, f"before_{name}")
-            after = after.withColumnRenamed(name, f"after_{name}")
+        before, after = (
+            scan_cost(stored, lookup).select(
+                F.lit(lookup.query_id).alias("query_id"),
+                *[F.col(name).alias(f"{side}_{name}") for name in COSTS],
+            )
+            for side, stored in [("before", plain), ("after", laid_out)]
+        )
         examined = F.greatest(F.col("before_rows_examined"), F.lit(1))
         saved = F.col("before_rows_examined") - F.col("after_rows_examined")
-        # Two rows of one row each.
-        row = before.join(after).select(
-            F.lit(lookup.query_id).alias("query_id"),
+        row = before.join(after, "query_id").select(
+            "query_id",
             F.lit(lookup.query_name).alias("query_name"),
             F.lit(lookup.layout).alias("layout"),
-            "*",
+            *[f"before_{name}" for name in COSTS],
+            *[f"after_{name}" for name in COSTS],
             saved.alias("rows_examined_reduction"),
             F.round(saved / examined * 100, 2).alias("reduction_pct"),
         )
-        for side, count in [("before", "before"), ("after", "after")]:
-            skips = F.col(f"{count}_files_examined") < F.col(f"{count}_files")
+        for side in ("before", "after"):
+            skips = F.col(f"{side}_files_examined") < F.col(f"{side}_files")
             row = row.withColumn(f"{side}_scan", F.when(skips, "SKIPS FILES").otherwise("FULL SCAN"))
         if timed:
             row = row.withColumn("before_ms", F.lit(_milliseconds(plain, lookup))).withColumn(

@@ -3,11 +3,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from souqframe.operators import outcomes
 from souqframe.operators.reports import daily_sums
 from souqframe.operators.validation import apply_all_quality_rules
 from souqframe.plans import elt, jobs, views
-from souqframe.sources.dirty_orders import dirty_order_fields, dirty_orders
 from souqframe.schemas import ORDER_FIELDS
+from souqframe.sources.dirty_orders import dirty_order_fields, dirty_orders
 from souqframe.sources.raw_orders import write_order_csv
 from souqframe.streaming.daily_sales import stream_daily_sales
 from tests.conftest import SF, raw_orders
@@ -124,6 +125,19 @@ def test_exclusive_run_moves_orders(spark, warehouse):
     assert [row["order_id"] for row in warehouse.quarantine.read().collect()] == ["B"]
 
 
+def test_stored_counts_and_keys_are_checked(spark, warehouse):
+    cleaned = apply_all_quality_rules(raw_orders(spark, [{"order_id": "A"}, {"order_id": "B"}]))
+    warehouse.validated.upsert(cleaned.where("order_id = 'A'"))
+    outcomes.check_stored_counts(warehouse.validated, 1)
+    with pytest.raises(RuntimeError, match="instead of 2"):
+        outcomes.check_stored_counts(warehouse.validated, 2)
+    with pytest.raises(RuntimeError, match="B"):
+        outcomes.check_stored_keys(cleaned, warehouse.validated)
+    outcomes.check_counts(raw=3, processed=3, validated=2, quarantined=1)
+    with pytest.raises(RuntimeError):
+        outcomes.check_counts(raw=3, processed=3, validated=2, quarantined=2)
+
+
 def test_without_exclusive_both_tables_keep_the_order(spark, warehouse):
     elt.run_elt(warehouse, raw_orders(spark, [{"order_id": "A", "items_json": "[]"}]))
     elt.run_elt(warehouse, raw_orders(spark, [{"order_id": "A"}]))
