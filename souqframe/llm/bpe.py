@@ -6,7 +6,8 @@ that fits behind the BPE of what stands before it. A state of the transducer hol
 given out and the bytes behind it that are still open; a byte leads to the next state and gives out
 the tokens on which all continuations agree. Continuations can only start a token where an open
 suffix is the beginning of some vocabulary entry, so what is open stays about as short as the longest
-entry. States and their transitions are made when a text first needs them.
+entry. A transition is made when a text needs it for the second time; the first time, the rest of the
+piece goes through the same steps without leaving states behind.
 
 Decoding feeds the bytes of each id to a UTF-8 machine; its state is the bytes of a character that
 is not complete yet. What an id does in a state is worked out once and kept.
@@ -15,7 +16,7 @@ is not complete yet. What an id does in a state is worked out once and kept.
 import base64
 import gc
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import islice
 
 import numpy as np
@@ -51,7 +52,7 @@ class _State:
 
     def __init__(self, last: bytes, open_: bytes, ends: tuple[int, ...], live: tuple[int, ...]):
         self.last, self.open, self.ends, self.live = last, open_, ends, live
-        self.next: dict[int, tuple[_State, bytes]] = {}
+        self.next: dict[int, tuple[_State, bytes] | bool] = {}  # False: needed once so far
         self.flush: bytes | None = None
 
 
@@ -66,7 +67,8 @@ class Transducer:
         for token in ranks:  # an entry to which no merges lead is only ever a whole piece
             if self.merged(token) == [token]:
                 self.kinds[token] = self.kinds.get(token, 0) | _ENTRY
-        self.fits = Memo(lambda pair: self.merged(pair[0] + pair[1]) == list(pair), 4 * states)
+        self.fits = Memo(self._fit, 4 * states)
+        self.edges = Memo(self._edges, 2 * len(ranks))
         self._restart()
 
     def _restart(self) -> None:
@@ -87,6 +89,41 @@ class Transducer:
                 merges[at - 1] = ranks.get(parts[at - 1] + parts[at], none)
         return parts
 
+    def _edges(self, token: bytes) -> tuple[list, list, bool]:
+        """What stands at the left and at the right edge of a token while its bytes are merged.
+
+        Each part comes with the rank of the merge that ends it. Last, whether the ranks only rise.
+        """
+        ranks, parts = self.ranks, [token[i : i + 1] for i in range(len(token))]
+        left, right, rising, before = [], [], True, -1
+        while len(parts) > 1:
+            best, at = min((ranks.get(parts[i] + parts[i + 1], self.none), i) for i in range(len(parts) - 1))
+            rising, before = rising and best >= before, best
+            if at == 0:
+                left.append((parts[0], best))
+            if at == len(parts) - 2:
+                right.append((parts[-1], best))
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return [*left, (token, self.none)], [*right, (token, self.none)], rising
+
+    def _fit(self, pair: tuple[bytes, bytes]) -> bool:
+        """Whether BPE leaves two tokens as they are: no merge across comes before the merges at their edges."""
+        (_, right, rising), (left, _, rises) = self.edges[pair[0]], self.edges[pair[1]]
+        if not (rising and rises):
+            return self.merged(pair[0] + pair[1]) == list(pair)
+        i = j = 0
+        while True:
+            (a, end_a), (b, end_b) = right[i], left[j]
+            across = self.ranks.get(a + b, self.none)
+            if across < end_a and across <= end_b and across < self.none:
+                return False
+            if end_a == end_b == self.none:
+                return True
+            if end_a <= end_b:
+                i += 1
+            else:
+                j += 1
+
     def _step(self, state: _State, byte: int) -> tuple[_State, bytes]:
         text, size, kinds = state.open + _BYTES[byte], len(state.open) + 1, self.kinds
         # The token that ends here: the one that fits behind the BPE of what stands before it.
@@ -117,8 +154,30 @@ class Transducer:
         step = state.next[byte] = to, b"".join([self.ids[token] for token in given])
         return step
 
+    def _rest(self, state: _State, rest: bytes) -> list[bytes]:
+        """The tokens of what is open and of the bytes behind it, up to the end of the piece."""
+        text, kinds, fits, last = state.open + rest, self.kinds, self.fits, state.last
+        ends, live = list(state.ends), list(state.live)
+        for size in range(len(ends) + 1, len(text) + 1):
+            live.append(size - 1)
+            found, going = -1, []
+            for start in live:
+                token = text[start:size]
+                kind = kinds.get(token, 0)
+                if found < 0 and kind & _ENTRY:
+                    before = text[start - ends[start - 1] : start] if start else last
+                    if not before or fits[before, token]:
+                        found = start
+                if kind & _BEGINNING:
+                    going.append(start)
+            if found < 0:
+                raise ValueError(f"byte {text[size - 1]} is not in the vocabulary")
+            ends.append(size - found)
+            live = going
+        return self._tokens(text, ends, len(text))
+
     @staticmethod
-    def _tokens(text: bytes, ends: tuple[int, ...], place: int) -> list[bytes]:
+    def _tokens(text: bytes, ends: Sequence[int], place: int) -> list[bytes]:
         """The tokens up to a place, found from behind."""
         tokens = []
         while place:
@@ -133,8 +192,14 @@ class Transducer:
         if len(self.states) > self.limit:
             self._restart()
         state, out = self.start, []
-        for byte in piece:
-            step = state.next.get(byte) or self._step(state, byte)
+        for at, byte in enumerate(piece):
+            step = state.next.get(byte)
+            if not step:
+                if step is None:
+                    state.next[byte] = False
+                    out += [self.ids[token] for token in self._rest(state, piece[at:])]
+                    return b"".join(out)
+                step = self._step(state, byte)
             state = step[0]
             if step[1]:
                 out.append(step[1])
