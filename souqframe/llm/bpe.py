@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from souqframe.llm.rows import Memo, map_texts, once
 
-PIECES = 250_000  # pieces of text a worker remembers
+PIECES = 400_000  # pieces of text a worker remembers
 STATES = 200_000  # states a worker keeps before it starts anew
 LONG_TEXT = 1 << 20  # longer texts are cut into pieces bit by bit
 
