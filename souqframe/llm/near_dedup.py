@@ -6,10 +6,14 @@
    they share one among their SKETCH - least + 1 rarest values: only those go into the inverted lists.
    A document whose other values occur nowhere else drops out here, and a passage that very many
    documents have makes a long list only for documents that mostly consist of such passages.
-3. In each list the documents are first compared with one leader. What that connects needs no further
-   comparison. In lists that still hold several components, the documents outside the largest one are
-   compared with all of other components; a pair comes out only if the union sketch says it may be a link.
-4. Every candidate is confirmed on the full sets, and confirmed links are joined to components.
+3. In each list the documents are compared with one leader, on the full sets: x and the leader b share
+   i(x) shingles, and x has others besides. Links to leaders make the first components. Two documents
+   x, y of the list that share s shingles outside b share at most m + s with m = min(i(x), i(y)). So a
+   link that is still missing either has s = 0 and sizes that m allows, which hardly ever happens unless
+   x and y are linked with b; or x and y share some of their other shingles. Inverted lists of those, in
+   which documents of one component need no comparison, count s.
+4. The pairs that are left pass the estimate from the union of both sketches, are confirmed on the full
+   sets, and all links are joined to components.
 """
 
 from collections.abc import Callable
@@ -129,13 +133,15 @@ def near_duplicates(
     sets = stored(_full_sets(texts, classes, members, width), "sets")
     sketches = stored(classes.join(members, "rep", "left_semi").select("rep", "n", "sketch"), "member_sketches")
 
-    star = stored(_leader_pairs(lists, sketches, percent), "star_pairs")
-    star_links = stored(_confirmed(star, sets, percent), "star_links")
-    groups = connected_components(star_links, f"{folder}/star")
-    rest = stored(_pairs_between(lists, groups, sketches, percent), "rest_pairs")
-    rest_links = stored(_confirmed(rest, sets, percent), "rest_links")
-    links = star_links.union(rest_links)
-    components = groups if rest_links.isEmpty() else connected_components(links, f"{folder}/all")
+    compared = stored(_with_leaders(lists, sets, percent), "compared")
+    groups = connected_components(compared.where("linked").select("a", "b"), f"{folder}/star")
+    placed = stored(_with_components(compared, groups), "placed")
+    rest = _by_size(placed, percent).union(_by_other_shingles(placed, percent)).distinct()
+    rest_links = stored(_confirmed(_with_sketches(rest, sketches, percent), sets, percent), "rest_links")
+    components = groups
+    if not rest_links.isEmpty():
+        links = compared.where("linked").select("a", "b").union(rest_links)
+        components = connected_components(links, f"{folder}/all")
 
     of_class = (
         classes.alias("c")
@@ -200,55 +206,99 @@ def _with_sketches(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataF
     return joined.where(possible).select("p.a", "p.b")
 
 
-def _leader_pairs(lists: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Each document with the one leader, of those of its lists, with which it shares most lists."""
-    leaders = lists.groupBy("value").agg(F.min("rep").alias("leader"))
-    shared = (
-        lists.join(leaders, "value")
-        .where("rep <> leader")
-        .groupBy("rep", "leader")
-        .agg(F.count("*").alias("lists"))
+def _with_leaders(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Each document b with each leader a of its lists: their sizes, what they share, and the other shingles of b.
+
+    The leader is the document whose own lists are the longest together: the original, among copies that
+    were each changed in another place.
+    """
+    lengths = lists.groupBy("value").agg(F.count("*").alias("length"))
+    weights = lists.join(lengths, "value").groupBy("rep").agg(F.sum("length").alias("weight"))
+    leaders = (
+        lists.join(weights, "rep")
+        .groupBy("value")
+        .agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("top"))
+        .select("value", (-F.col("top.rep")).alias("a"))
+    )
+    pairs = lists.join(leaders, "value").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    with_sets = (
+        pairs.alias("p")
+        .join(sets.alias("sa"), F.col("p.a") == F.col("sa.rep"))
+        .join(sets.alias("sb"), F.col("p.b") == F.col("sb.rep"))
+        .select(
+            "p.a",
+            "p.b",
+            F.size("sa.shingles").cast("bigint").alias("n_a"),
+            F.size("sb.shingles").cast("bigint").alias("n_b"),
+            F.array_except("sb.shingles", "sa.shingles").alias("other"),
+        )
+    )
+    shared = F.col("n_b") - F.size("other")
+    return with_sets.withColumn("both", shared).withColumn(
+        "linked", 100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))
+    )
+
+
+def _with_components(compared: DataFrame, groups: DataFrame) -> DataFrame:
+    """The compared documents that can still have a link: not all of a leader's are in its component."""
+    open_ = compared.groupBy("a").agg(F.bool_and("linked").alias("closed")).where("NOT closed").select("a")
+    return (
+        compared.join(open_, "a")
+        .join(groups, F.col("b") == F.col("node"), "left")
+        .select("a", "b", "n_b", "both", "linked", "other", F.coalesce("component", "b").alias("component"))
     )
-    best = shared.groupBy("rep").agg(F.min(F.struct((-F.col("lists")).alias("lists"), "leader")).alias("best"))
-    return _with_sketches(best.select(F.col("best.leader").alias("a"), F.col("rep").alias("b")), sketches, percent)
 
 
-def _pairs_between(lists: DataFrame, groups: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Possible links between documents of a list that are not connected yet.
+def _by_size(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a leader's documents that could be linked if they shared all that both share with the leader.
 
-    At least one of the two is outside the list's largest component, so a list that is one component,
-    or nearly, costs next to nothing. Pairs that several lists have come out once.
+    With m shared, sizes x and y allow a link if percent * (x + y) <= (100 + percent) * m. A document that
+    is not linked with the leader only has such partners below a size, mostly below the smallest there is.
     """
-    grouped = (
-        lists.alias("l")
-        .join(groups.alias("g"), F.col("l.rep") == F.col("g.node"), "left")
-        .select("l.value", "l.rep", "l.n", F.coalesce("g.component", "l.rep").alias("component"))
+    least = placed.groupBy("a").agg(F.min("n_b").alias("least"))
+    most = F.floor((100 + percent) * F.col("both") / percent) - F.col("n_b")
+    x = placed.where("NOT linked").join(least, "a").withColumn("most", most).where("most >= least").alias("x")
+    y = placed.alias("y")
+    allowed = percent * (F.col("x.n_b") + F.col("y.n_b")) <= (100 + percent) * F.least("x.both", "y.both")
+    pairs = x.select("a", "b", "n_b", "both", "component").alias("x").join(
+        y.select("a", "b", "n_b", "both", "component").alias("y"),
+        (F.col("x.a") == F.col("y.a")) & (F.col("x.component") != F.col("y.component")) & allowed,
     )
-    sizes = grouped.groupBy("value", "component").agg(F.count("*").alias("size"))
-    largest = (
-        sizes.groupBy("value")
+    return pairs.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b"))
+
+
+def _by_other_shingles(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a leader's documents that share enough shingles which the leader does not have."""
+    spread = placed.select("a", "b", "n_b", "both", "component", F.explode("other").alias("value"))
+    # Lists of one document or of one component need no comparison.
+    kinds = (
+        spread.groupBy("a", "value", "component")
+        .agg(F.count("*").alias("size"))
+        .groupBy("a", "value")
         .agg(F.max(F.struct("size", (-F.col("component")).alias("of"))).alias("top"), F.count("*").alias("kinds"))
         .where("kinds > 1")
-        .select("value", (-F.col("top.of")).alias("top"))
-    )
-    several = grouped.join(largest, "value")
-    full = several.join(sketches.select("rep", "sketch"), "rep")
-    x, y = full.where("component <> top").alias("x"), full.alias("y")
-    # Of two documents outside the largest component, the smaller one is x.
-    once = (F.col("y.component") == F.col("y.top")) | (F.col("x.rep") < F.col("y.rep"))
-    enough = F.size(F.array_intersect("x.sketch", "y.sketch")) >= F.greatest(
-        _least(F.col("x.n"), percent), _least(F.col("y.n"), percent)
+        .select("a", "value", (-F.col("top.of")).alias("top"))
     )
+    several = spread.join(kinds, ["a", "value"])
+    x, y = several.where("component <> top").alias("x"), several.alias("y")
+    # Of two documents outside the list's largest component, the smaller one is x.
+    once = (F.col("y.component") == F.col("y.top")) | (F.col("x.b") < F.col("y.b"))
     pairs = x.join(
         y,
-        (F.col("x.value") == F.col("y.value"))
+        (F.col("x.a") == F.col("y.a"))
+        & (F.col("x.value") == F.col("y.value"))
         & (F.col("x.component") != F.col("y.component"))
         & once
-        & _like_sizes(F.col("x.n"), F.col("y.n"), percent)
-        & enough
-        & _may_link(F.col("x.sketch"), F.col("y.sketch"), F.col("x.n"), F.col("y.n"), percent),
+        & _like_sizes(F.col("x.n_b"), F.col("y.n_b"), percent),
+    ).select(
+        F.col("x.a").alias("leader"),
+        F.least("x.b", "y.b").alias("a"),
+        F.greatest("x.b", "y.b").alias("b"),
+        (F.col("x.n_b") + F.col("y.n_b")).alias("sizes"),
+        F.least("x.both", "y.both").alias("both"),
     )
-    return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+    counted = pairs.groupBy("leader", "a", "b", "sizes", "both").agg(F.count("*").alias("others"))
+    return counted.where(percent * F.col("sizes") <= (100 + percent) * (F.col("both") + F.col("others"))).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
