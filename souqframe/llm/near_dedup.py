@@ -6,12 +6,13 @@
    they share one among their SKETCH - least + 1 rarest values: only those go into the inverted lists.
    A document whose other values occur nowhere else drops out here, and a passage that very many
    documents have makes a long list only for documents that mostly consist of such passages.
-3. In each list the documents are compared with one leader, on the full sets: x and the leader b share
-   i(x) shingles, and x has others besides. Links to leaders make the first components. Two documents
-   x, y of the list that share s shingles outside b share at most m + s with m = min(i(x), i(y)). So a
-   link that is still missing either has s = 0 and sizes that m allows, which hardly ever happens unless
-   x and y are linked with b; or x and y share some of their other shingles. Inverted lists of those, in
-   which documents of one component need no comparison, count s.
+3. In each list the documents are compared with LEADERS documents, on the full sets. Links to leaders make
+   the first components. With the first leader b, x shares i(x) shingles, and x has others besides. Two
+   documents x, y of the list that share s of those others share at most m + s in all, where m is the
+   smaller one of i(x) and i(y). So a link of a document x outside the leader's component either has
+   s = 0 and sizes that m allows, which hardly ever happens; or at least a number s of others are shared,
+   that i(x) tells, and then one of x's rarest others is. Inverted lists of those, in which documents of
+   one component need no comparison, lead to the pairs.
 4. The pairs that are left pass the estimate from the union of both sketches, are confirmed on the full
    sets, and all links are joined to components.
 """
@@ -32,6 +33,7 @@ SKETCH = 64
 # Values of the sketch that two sets of similarity 0.8 or more share: the number is at least that of
 # SKETCH draws of 0.8 each, which is below 30 with a probability under 1e-9.
 SHARED = 30
+LEADERS = 3
 WIDTH = 5
 PERCENT = 80
 
@@ -209,18 +211,24 @@ def _with_sketches(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataF
 def _with_leaders(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Each document b with each leader a of its lists: their sizes, what they share, and the other shingles of b.
 
-    The leader is the document whose own lists are the longest together: the original, among copies that
-    were each changed in another place.
+    Leaders are the documents whose own lists are the longest together: those nearest to the original,
+    among copies that were each changed in other places.
     """
     lengths = lists.groupBy("value").agg(F.count("*").alias("length"))
     weights = lists.join(lengths, "value").groupBy("rep").agg(F.sum("length").alias("weight"))
+    heaviest = Window.partitionBy("value").orderBy(F.desc("weight"), "rep")
     leaders = (
         lists.join(weights, "rep")
-        .groupBy("value")
-        .agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("top"))
-        .select("value", (-F.col("top.rep")).alias("a"))
+        .withColumn("place", F.row_number().over(heaviest))
+        .where(F.col("place") <= LEADERS)
+        .select("value", F.col("rep").alias("a"), "place")
+    )
+    pairs = (
+        lists.join(leaders, "value")
+        .where("rep <> a")
+        .groupBy("a", F.col("rep").alias("b"))
+        .agg((F.min("place") == 1).alias("first"))
     )
-    pairs = lists.join(leaders, "value").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
     with_sets = (
         pairs.alias("p")
         .join(sets.alias("sa"), F.col("p.a") == F.col("sa.rep"))
@@ -228,6 +236,7 @@ def _with_leaders(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .select(
             "p.a",
             "p.b",
+            "p.first",
             F.size("sa.shingles").cast("bigint").alias("n_a"),
             F.size("sb.shingles").cast("bigint").alias("n_b"),
             F.array_except("sb.shingles", "sa.shingles").alias("other"),
@@ -240,13 +249,20 @@ def _with_leaders(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _with_components(compared: DataFrame, groups: DataFrame) -> DataFrame:
-    """The compared documents that can still have a link: not all of a leader's are in its component."""
-    open_ = compared.groupBy("a").agg(F.bool_and("linked").alias("closed")).where("NOT closed").select("a")
-    return (
-        compared.join(open_, "a")
-        .join(groups, F.col("b") == F.col("node"), "left")
-        .select("a", "b", "n_b", "both", "linked", "other", F.coalesce("component", "b").alias("component"))
+    """The documents of the first leaders that have documents outside their own component."""
+    first = compared.where("first").select("a", "b", "n_b", "both", "other")
+    of_a, of_b = groups.alias("ga"), groups.alias("gb")
+    placed = (
+        first.join(of_a, F.col("a") == F.col("ga.node"), "left")
+        .join(of_b, F.col("b") == F.col("gb.node"), "left")
+        .select(
+            *first.columns,
+            F.coalesce("gb.component", "b").alias("component"),
+            (F.coalesce("ga.component", "a") != F.coalesce("gb.component", "b")).alias("outside"),
+        )
     )
+    sizes = placed.groupBy("a").agg(F.min("n_b").alias("least"), F.bool_or("outside").alias("open"))
+    return placed.join(sizes.where("open").drop("open"), "a")
 
 
 def _by_size(placed: DataFrame, percent: int) -> DataFrame:
@@ -255,50 +271,45 @@ def _by_size(placed: DataFrame, percent: int) -> DataFrame:
     With m shared, sizes x and y allow a link if percent * (x + y) <= (100 + percent) * m. A document that
     is not linked with the leader only has such partners below a size, mostly below the smallest there is.
     """
-    least = placed.groupBy("a").agg(F.min("n_b").alias("least"))
     most = F.floor((100 + percent) * F.col("both") / percent) - F.col("n_b")
-    x = placed.where("NOT linked").join(least, "a").withColumn("most", most).where("most >= least").alias("x")
-    y = placed.alias("y")
+    narrow = placed.drop("other")
+    x, y = narrow.where(F.col("outside") & (most >= F.col("least"))).alias("x"), narrow.alias("y")
     allowed = percent * (F.col("x.n_b") + F.col("y.n_b")) <= (100 + percent) * F.least("x.both", "y.both")
-    pairs = x.select("a", "b", "n_b", "both", "component").alias("x").join(
-        y.select("a", "b", "n_b", "both", "component").alias("y"),
-        (F.col("x.a") == F.col("y.a")) & (F.col("x.component") != F.col("y.component")) & allowed,
+    pairs = x.join(
+        y, (F.col("x.a") == F.col("y.a")) & (F.col("x.component") != F.col("y.component")) & allowed
     )
     return pairs.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b"))
 
 
 def _by_other_shingles(placed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a leader's documents that share enough shingles which the leader does not have."""
-    spread = placed.select("a", "b", "n_b", "both", "component", F.explode("other").alias("value"))
-    # Lists of one document or of one component need no comparison.
-    kinds = (
-        spread.groupBy("a", "value", "component")
-        .agg(F.count("*").alias("size"))
-        .groupBy("a", "value")
-        .agg(F.max(F.struct("size", (-F.col("component")).alias("of"))).alias("top"), F.count("*").alias("kinds"))
-        .where("kinds > 1")
-        .select("a", "value", (-F.col("top.of")).alias("top"))
+    """Pairs of a leader's documents, one of them outside, that share one of its rarest other shingles."""
+    spread = placed.select("a", "b", "n_b", "both", "least", "component", "outside", F.explode("other").alias("value"))
+    # Lists of one component need no comparison.
+    several = (
+        spread.groupBy("a", "value")
+        .agg(F.count("*").alias("df"), F.min("component").alias("one"), F.max("component").alias("other"))
+        .where("one <> other")
+        .select("a", "value", "df")
     )
-    several = spread.join(kinds, ["a", "value"])
-    x, y = several.where("component <> top").alias("x"), several.alias("y")
-    # Of two documents outside the list's largest component, the smaller one is x.
-    once = (F.col("y.component") == F.col("y.top")) | (F.col("x.b") < F.col("y.b"))
-    pairs = x.join(
+    shared = spread.join(several, ["a", "value"])
+    # Enough others have to be shared even with the smallest partner; the rarest ones cannot all be missing.
+    partner = F.greatest(F.col("least"), F.ceil(F.col("n_b") * percent / 100))
+    needed = F.ceil(percent * (F.col("n_b") + partner) / (100 + percent)) - F.col("both")
+    of_document = Window.partitionBy("a", "b").orderBy("df", "value")
+    rarest = (
+        shared.where("outside")
+        .withColumn("place", F.row_number().over(of_document))
+        .withColumn("of", F.count("*").over(Window.partitionBy("a", "b")))
+        .where(F.col("place") <= F.col("of") - F.greatest(needed, F.lit(1)) + 1)
+    )
+    x, y = rarest.alias("x"), shared.alias("y")
+    return x.join(
         y,
         (F.col("x.a") == F.col("y.a"))
         & (F.col("x.value") == F.col("y.value"))
         & (F.col("x.component") != F.col("y.component"))
-        & once
         & _like_sizes(F.col("x.n_b"), F.col("y.n_b"), percent),
-    ).select(
-        F.col("x.a").alias("leader"),
-        F.least("x.b", "y.b").alias("a"),
-        F.greatest("x.b", "y.b").alias("b"),
-        (F.col("x.n_b") + F.col("y.n_b")).alias("sizes"),
-        F.least("x.both", "y.both").alias("both"),
-    )
-    counted = pairs.groupBy("leader", "a", "b", "sizes", "both").agg(F.count("*").alias("others"))
-    return counted.where(percent * F.col("sizes") <= (100 + percent) * (F.col("both") + F.col("others"))).select("a", "b")
+    ).select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
