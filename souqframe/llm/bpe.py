@@ -240,6 +240,7 @@ class Decoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.states: dict[bytes, dict] = {b"": {}}
+        self.complete = Memo(self._complete, len(ranks) + 1)
 
     def _learn(self, open_: bytes, number: int) -> tuple[str, bytes]:
         given, state = [], open_
@@ -260,8 +261,15 @@ class Decoder:
         if state:
             yield "�"
 
-    def decode(self, ids: Iterable[int]) -> str:
-        return "".join(self.stream(ids))
+    def _complete(self, number: int) -> str | None:
+        """The text of an id that leads from no open bytes to no open bytes; None of any other."""
+        text, after = self.states[b""].get(number) or self._learn(b"", number)
+        return None if after else text
+
+    def decode(self, ids: list[int]) -> str:
+        complete = self.complete
+        texts = [complete[number] for number in ids]
+        return "".join(self.stream(ids) if None in texts else texts)
 
 
 class Codec:
@@ -284,11 +292,7 @@ class Codec:
         return bytes(out)
 
     def decode(self, ids: bytes) -> str:
-        numbers = np.frombuffer(ids, "<u4")
-        step = 1 << 20
-        return self.decoder.decode(
-            number for at in range(0, len(numbers), step) for number in numbers[at : at + step].tolist()
-        )
+        return self.decoder.decode(np.frombuffer(ids, "<u4").tolist())
 
 
 DIGESTS = [

@@ -30,9 +30,7 @@ class Memo(dict):
         self.function, self.limit, self.older = function, limit, {}
 
     def __missing__(self, key):
-        value = self.older.get(key)
-        if value is None:
-            value = self.function(key)
+        value = self.older[key] if key in self.older else self.function(key)
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
