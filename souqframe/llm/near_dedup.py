@@ -13,8 +13,8 @@
    s = 0 and sizes that m allows, which hardly ever happens; or at least a number s of others are shared,
    that i(x) tells, and then one of x's rarest others is. Inverted lists of those, in which documents of
    one component need no comparison, lead to the pairs.
-4. The pairs that are left pass the estimate from the union of both sketches, are confirmed on the full
-   sets, and all links are joined to components.
+4. Pairs that only their sizes allow pass the estimate from the union of both sketches; all pairs are
+   confirmed on the full sets or what differs between them, and links are joined to components.
 """
 
 from collections.abc import Callable
@@ -138,8 +138,8 @@ def near_duplicates(
     compared = stored(_with_leaders(lists, sets, percent), "compared")
     groups = connected_components(compared.where("linked").select("a", "b"), f"{folder}/star")
     placed = stored(_with_components(compared, groups), "placed")
-    rest = _by_size(placed, percent).union(_by_other_shingles(placed, percent)).distinct()
-    rest_links = stored(_confirmed(_with_sketches(rest, sketches, percent), sets, percent), "rest_links")
+    by_size = _confirmed(_with_sketches(_by_size(placed, percent).distinct(), sketches, percent), sets, percent)
+    rest_links = stored(_by_other_shingles(placed, percent).union(by_size), "rest_links")
     components = groups
     if not rest_links.isEmpty():
         links = compared.where("linked").select("a", "b").union(rest_links)
@@ -240,6 +240,7 @@ def _with_leaders(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             F.size("sa.shingles").cast("bigint").alias("n_a"),
             F.size("sb.shingles").cast("bigint").alias("n_b"),
             F.array_except("sb.shingles", "sa.shingles").alias("other"),
+            F.array_except("sa.shingles", "sb.shingles").alias("missing"),
         )
     )
     shared = F.col("n_b") - F.size("other")
@@ -250,7 +251,7 @@ def _with_leaders(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _with_components(compared: DataFrame, groups: DataFrame) -> DataFrame:
     """The documents of the first leaders that have documents outside their own component."""
-    first = compared.where("first").select("a", "b", "n_b", "both", "other")
+    first = compared.where("first").select("a", "b", "n_a", "n_b", "both", "other", "missing")
     of_a, of_b = groups.alias("ga"), groups.alias("gb")
     placed = (
         first.join(of_a, F.col("a") == F.col("ga.node"), "left")
@@ -272,7 +273,7 @@ def _by_size(placed: DataFrame, percent: int) -> DataFrame:
     is not linked with the leader only has such partners below a size, mostly below the smallest there is.
     """
     most = F.floor((100 + percent) * F.col("both") / percent) - F.col("n_b")
-    narrow = placed.drop("other")
+    narrow = placed.drop("other", "missing")
     x, y = narrow.where(F.col("outside") & (most >= F.col("least"))).alias("x"), narrow.alias("y")
     allowed = percent * (F.col("x.n_b") + F.col("y.n_b")) <= (100 + percent) * F.least("x.both", "y.both")
     pairs = x.join(
@@ -282,7 +283,11 @@ def _by_size(placed: DataFrame, percent: int) -> DataFrame:
 
 
 def _by_other_shingles(placed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a leader's documents, one of them outside, that share one of its rarest other shingles."""
+    """Links of a leader's documents, one of them outside, that share one of its rarest other shingles.
+
+    What two documents share follows from what either has besides the leader's shingles and what it lacks
+    of them, so the join itself tells, and no pair comes out that is not linked.
+    """
     spread = placed.select("a", "b", "n_b", "both", "least", "component", "outside", F.explode("other").alias("value"))
     # Lists of one component need no comparison.
     several = (
@@ -302,13 +307,22 @@ def _by_other_shingles(placed: DataFrame, percent: int) -> DataFrame:
         .withColumn("of", F.count("*").over(Window.partitionBy("a", "b")))
         .where(F.col("place") <= F.col("of") - F.greatest(needed, F.lit(1)) + 1)
     )
-    x, y = rarest.alias("x"), shared.alias("y")
+    rarest = rarest.select("a", "b", "component", "value")
+    lists = rarest.select("a", "value").distinct()
+    others = shared.select("a", "b", "component", "value").join(lists, ["a", "value"], "left_semi")
+    differences = placed.select("a", "b", "n_a", "n_b", "other", "missing")
+    x, y = (side.join(differences, ["a", "b"]).alias(name) for side, name in ((rarest, "x"), (others, "y")))
+    lacking = (
+        F.size("x.missing") + F.size("y.missing") - F.size(F.array_intersect("x.missing", "y.missing"))
+    )
+    both = F.col("x.n_a") - lacking + F.size(F.array_intersect("x.other", "y.other"))
     return x.join(
         y,
         (F.col("x.a") == F.col("y.a"))
         & (F.col("x.value") == F.col("y.value"))
         & (F.col("x.component") != F.col("y.component"))
-        & _like_sizes(F.col("x.n_b"), F.col("y.n_b"), percent),
+        & _like_sizes(F.col("x.n_b"), F.col("y.n_b"), percent)
+        & (100 * both >= percent * (F.col("x.n_b") + F.col("y.n_b") - both)),
     ).select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b"))
 
 
