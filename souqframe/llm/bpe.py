@@ -26,8 +26,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from souqframe.llm.rows import Memo, map_texts, once
 
-PIECES = 400_000  # pieces of text a worker remembers
-STATES = 200_000  # states a worker keeps before it starts anew
+PIECES = 300_000  # pieces of text a worker remembers
+STATES = 100_000  # states a worker keeps before it starts anew
 LONG_TEXT = 1 << 20  # longer texts are cut into pieces bit by bit
 
 NO_TOKEN = b""
@@ -67,7 +67,7 @@ class Transducer:
         for token in ranks:  # an entry to which no merges lead is only ever a whole piece
             if self.merged(token) == [token]:
                 self.kinds[token] = self.kinds.get(token, 0) | _ENTRY
-        self.fits = Memo(self._fit, 4 * states)
+        self.fits = Memo(self._fit, states)
         self.edges = Memo(self._edges, 2 * len(ranks))
         self._restart()
 
