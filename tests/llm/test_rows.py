@@ -1,0 +1,230 @@
+"""Operators that work row by row, against plain versions and edge cases."""
+
+import base64
+import hashlib
+import random
+import struct
+
+import brute
+import numpy as np
+import public_tokenizers as P
+import pytest
+import regex
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from souqframe.llm import bpe, decontaminate, language_id, licenses, quality_rules, secret_scan, token_counts
+from souqframe.llm.queries import vocabulary
+
+EDGE = [None, "", " \t\n", "a", "é\n\n日本語 😀 '", "word " * 30_000, "x" * 100_000, "same same", "same same"]
+RANKS = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+OURS = bpe.Codec(RANKS, P.PATTERN)
+THEIRS = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60))
+def test_bpe_is_that_of_the_library(text):
+    ids = OURS.encode(text)
+    assert np.frombuffer(ids, "<u4").tolist() == THEIRS.encode_ordinary(text)
+    assert OURS.decode(ids) == text
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, len(RANKS) - 1), max_size=12))
+def test_any_ids_decode_as_their_bytes_do(ids):
+    assert OURS.decoder.decode(ids) == THEIRS.decode_bytes(ids).decode("utf-8", "replace")
+
+
+def test_transducer_forgets_and_goes_on():
+    small, rnd = bpe.Transducer(RANKS, states=50), random.Random(3)
+    for _ in range(400):
+        piece = bytes(rnd.choice(b"aeinrst ") for _ in range(rnd.randint(1, 25)))
+        ids = struct.unpack(f"<{len(small.encode(piece)) // 4}I", small.encode(piece))
+        assert list(ids) == THEIRS._encode_single_piece(piece)
+
+
+def test_bpe_query_on_edge_cases(docs, by_id):
+    df = docs(EDGE).withColumn("N_Tokens", F.lit("clash"))
+    rows = by_id(bpe.encode_texts(df, *vocabulary(), keep=["doc_id", "N_Tokens"], with_ids=True))
+    for number, text in enumerate(EDGE):
+        ids = THEIRS.encode_ordinary(text or "")
+        digest = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        row = rows[number]
+        assert (row["n_tokens"], row["ids_sha256"], row["ids"]) == (len(ids), digest, ids)
+        assert row["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
+    assert bpe.encode_texts(docs([]), *vocabulary()).count() == 0
+
+
+def test_piece_counts_are_greedy(docs, by_id):
+    entries = set(RANKS)
+
+    def greedy(word):
+        count = 0
+        while word:
+            size = next((n for n in range(min(len(word), 40), 0, -1) if word[:n] in entries), None)
+            if size is None:
+                return 1
+            count, word = count + 1, word[size:]
+        return count
+
+    texts = ["Thntblere of then, edtioner in inea", "ürgeé 12345 !!", *EDGE]
+    rows = by_id(token_counts.count_tokens(docs(texts), *vocabulary()))
+    for number, text in enumerate(texts):
+        words = regex.findall(P.PATTERN, text or "")
+        assert (rows[number]["n_words"], rows[number]["n_pieces"]) == (len(words), sum(greedy(w.encode()) for w in words))
+    few = token_counts.LongestMatch([b"ab", b"abcd", b"c", b"b"])
+    assert [few.count(w) for w in (b"", b"abc", b"abcd", b"abcab", b"x", b"abx", b"a")] == [0, 2, 1, 3, 1, 1, 1]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abc"), min_size=1, max_size=12), st.lists(st.sampled_from("abcd"), max_size=30))
+def test_bit_parallel_distance(item, words):
+    found = decontaminate.least_distance(item, words, len(item))
+    assert (found[0] if found and found[0] < len(item) else len(item)) == brute.edit_places(item, words)
+
+
+def test_contaminated_texts_are_found(spark, docs, by_id):
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    item = [rnd.choice(words) for _ in range(30)]
+    changed = list(item)
+    for place in rnd.sample(range(30), 5):
+        changed[place] = "other"
+    far = list(item)
+    for place in range(0, 30, 3):
+        far[place] = "other"
+    other = " ".join(rnd.choice(words) for _ in range(300))
+    texts = [f"{other}\n{' '.join(w).upper()}! {other}" for w in (item, changed, changed[1:], item[:15])]
+    texts += [" ".join(far), " ".join(item + item), None, "", "x" * 50_000]
+    items = spark.createDataFrame([(7, " ".join(item)), (8, None), (9, "short"), (None, other)], "item_id long, text string")
+    rows = by_id(decontaminate.contaminated(docs(texts), items))
+    assert [rows[i]["item_ids"] for i in range(len(texts))] == [[7], [7], [7], [], [], [7], [], [], []]
+    assert decontaminate.contaminated(docs(texts), items.where("false")).where(F.size("item_ids") > 0).count() == 0
+
+
+def test_blocks_of_items_give_the_same(spark, docs, by_id, monkeypatch):
+    texts = [" ".join(f"{c}{i}" for i in range(20)) for c in "abc"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    documents = docs([f"{texts[0]} {texts[2]}", texts[1]])
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 10)
+    rows = by_id(decontaminate.contaminated(documents, items))
+    assert [rows[i]["item_ids"] for i in (0, 1)] == [[0, 2], [1]]
+
+
+def test_quality_measures(spark, docs, by_id):
+    twice = " ".join(f"t{i}" for i in range(12))
+    texts = [*EDGE, f"{twice} {twice}", f" {twice}\n{twice} x\n{twice}\n\n \n{twice}", "A# $b " * 9, "\x0b a \x0c"]
+    rows = by_id(quality_rules.measure(docs(texts), "text", "m"))
+    for number, text in enumerate(texts):
+        measures, failed = brute.quality_measures(text)
+        found = rows[number]["m"].asDict()
+        assert ({k: found[k] for k in measures}, found["base_failed"]) == (measures, failed), text
+
+
+def test_binomial_tail(spark):
+    from math import comb
+
+    cases = [(0, 50, 0.1), (3, 200, 0.05), (40, 3000, 0.02), (0, 5000, 0.004)]
+    df = spark.createDataFrame(cases, "k long, n long, p double")
+    for row in df.withColumn("t", quality_rules.binomial_tail(F.col("k"), F.col("n"), F.col("p"))).collect():
+        exact = sum(comb(row["n"], i) * row["p"] ** i * (1 - row["p"]) ** (row["n"] - i) for i in range(row["k"] + 1))
+        assert row["t"] == pytest.approx(exact, rel=1e-7)
+
+
+def test_cutoffs_reject_few_good_documents(spark, docs, tmp_path):
+    rnd = random.Random(2)
+    good = [" ".join(f"w{rnd.randint(0, 9999)}" for _ in range(40)) for _ in range(2500)]
+    bad = [" ".join(f"W{rnd.randint(0, 9999)}!!" for _ in range(40)) for _ in range(300)]
+    df = docs([(t, "xx", "s") for t in good + bad] + [(None, None, None)])
+    labels = spark.createDataFrame([(i, int(i < 2500)) for i in range(2800)], "doc_id long, quality int")
+    judged, _, verdict = quality_rules.apply_quality_rules(df, labels, str(tmp_path / "rules"))
+    kept = {row["doc_id"]: row[verdict] for row in judged.collect()}
+    assert all(kept[i] for i in range(2500)) and not any(kept[i] for i in range(2500, 2801))
+    empty, _, _ = quality_rules.apply_quality_rules(df.where("false"), labels.where("false"), str(tmp_path / "none"))
+    assert empty.count() == 0
+
+
+def test_language_of_held_out_texts(spark, by_id):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learned = language_id.learn_profiles(documents.where("doc_id % 2 = 0"))
+    rows = language_id.identify_languages(documents.where("doc_id % 2 = 1"), learned, keep=["lang"]).collect()
+    assert sum(row["lang"] == row["lang_pred"] for row in rows) > 0.95 * len(rows)
+    assert all(0 <= row["score"] <= 1 for row in rows)
+
+
+def test_language_edge_cases(docs, by_id):
+    texts = [None, "", "123 !?", "the", "x" * 100_000]
+    for profiles in ({}, language_id.learn_profiles(docs([("the cat the", "en", "s"), ("el gato", "es", "s"), (None, "fr", "s")]))):
+        rows = by_id(language_id.identify_languages(docs(texts), profiles))
+        assert [rows[i]["lang_pred"] for i in range(3)] == ["und"] * 3
+    assert rows[3]["lang_pred"] == "en"
+    letters = language_id._letters()
+    kinds, counts = language_id.n_grams("Aba a", letters)
+    grams = {"".join(chr(k >> 21 * i & 0x1FFFFF) for i in (2, 1, 0)).strip("\0"): c for k, c in zip(kinds.tolist(), counts.tolist())}
+    assert grams["a"] == 3 and grams["ab"] == 1 and grams[" a"] == 2 and grams["a a"] == 1 and " " not in grams
+
+
+def test_secrets(docs, by_id):
+    key = "AKIA" + "B7" * 8
+    texts = [
+        f'é password = "abc123" and {key}.',
+        "token: short token=x token : abcdef0123456789abcdef0123456789",
+        "api-key=abcdef1 API_KEY:'abcdef1' apikey=ab",
+        *EDGE,
+    ]
+    df = docs(texts)
+    rows = by_id(secret_scan.scan_secrets(df, secret_scan.train_field(df, rate=1)))
+    assert rows[0]["base"] == f"assign:2:20,access:26:{26 + len(key)}"
+    assert (rows[1]["n_assign"], rows[1]["n_hex"]) == (1, 1) and (rows[2]["n_assign"], rows[2]["n_access"]) == (1, 0)
+    for row in rows.values():
+        assert set(filter(None, row["base"].split(","))) <= set(row["spans"].split(","))
+    assert all(rows[3 + i]["spans"] == "" for i in range(4))
+
+
+def test_field_learns_and_decodes():
+    def run(*tokens):
+        return [[hash_ for hash_ in (t, 40)] for t in tokens]
+
+    examples = [(run(1, 2, 3), [0, 1, 2]), (run(3, 1), [0, 0]), (run(2), [1]), (run(1), [0])] * 20
+    field = secret_scan.ChainField.train(examples, rounds=20)
+    assert [field.decode(features) for features, _ in examples[:4]] == [labels for _, labels in examples[:4]]
+
+
+def test_licenses(docs, by_id):
+    mit = licenses.TEMPLATES["mit"][0]
+    texts = [
+        f"start {mit.replace('copy, modify', 'copy, and modify')} end",
+        "All rights  reserved, all RIGHTS reserved. CC-BY",
+        "Licensed under CC BY-NC 4.0.",
+        "the software and the rights of the copy",
+        *EDGE,
+    ]
+    rows = by_id(licenses.scan_licenses(docs(texts)))
+    assert rows[0]["labels"] == "mit" and rows[0]["n_base"] == 0 and 0.9 < rows[0]["score"] <= 1
+    one = rows[1]
+    assert (one["n_words"], one["n_base"], one["first_word"], one["last_word"]) == (8, 3, 0, 6)
+    assert one["base_labels"] == "cc-by,reserved"
+    assert rows[2]["labels"] == "cc-by,cc-by-nc" and rows[3]["labels"] == ""
+    assert (rows[4]["n_words"], rows[4]["first_word"], rows[4]["score"]) == (0, None, 0.0)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("ab", min_size=1, max_size=9), min_size=1, max_size=3), st.text("abc", max_size=20))
+def test_matching_statistics(templates, text):
+    automaton = licenses.SuffixAutomaton([list(t) for t in templates])
+    for end, (length, state) in enumerate(automaton.statistics(text), start=1):
+        best = max(n for n in range(end + 1) if n == 0 or any(text[end - n : end] in t for t in templates))
+        assert length == best
+        if best:
+            found = text[end - best : end]
+            places = {(i, p) for i, t in enumerate(templates) for p in range(len(t)) if t[: p + 1].endswith(found)}
+            assert set(automaton.ends[state]) == places
+
+
+def test_rank_files_are_read(tmp_path):
+    path = tmp_path / "ranks"
+    path.write_bytes(b"\n".join(base64.b64encode(bytes((b,))) + b" %d" % b for b in range(3)))
+    assert bpe.read_ranks(str(path)) == {b"\0": 0, b"\1": 1, b"\2": 2}
