@@ -15,12 +15,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from checks.dirty_orders import dirty_orders  # noqa: E402
 from souqframe.operators import lookups, outcomes, reports, validation  # noqa: E402
 from souqframe.plans import elt, views  # noqa: E402
 from souqframe.plans.warehouse import Warehouse  # noqa: E402
 from souqframe.schemas import ORDER_FIELDS, RAW_SCHEMA  # noqa: E402
 from souqframe.session import local_session  # noqa: E402
-from souqframe.sources.dirty_orders import dirty_orders  # noqa: E402
 from souqframe.sources.raw_orders import write_order_csv  # noqa: E402
 from souqframe.sources.workspace import workspace  # noqa: E402
 

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from souqframe.functions.text import ARABIC_DIGITS, WESTERN_DIGITS
 from souqframe.schemas import ORDER_FIELDS
 
-# An order with more lines than this comes as several records ("parcels") with ids of their own, so
-# that no record, and no task that puts one together, grows with the largest order.
-LINES_PER_PARCEL = 500
-PARCEL_STRIDE = 1_000_000_000_000
 FIRST_INGESTED = 1704067200
 
 
@@ -30,15 +26,12 @@ def _pick(selector: Column, values: list) -> Column:
     return choice
 
 
-def _parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order and parcel with its items as JSON text."""
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order with its items as JSON text: an order is one record, however many lines it has."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
     )
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_retailprice")
-    parcels = lines.groupBy("l_orderkey").agg(
-        F.ceil(F.count("*") / LINES_PER_PARCEL).alias("parcels")
-    )
     quantity = F.col("l_quantity").cast("long").cast("string")
     item = F.concat(
         F.lit('{"sku":"P-'),
@@ -55,10 +48,8 @@ def _parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(parcels, "l_orderkey")
-        .withColumn("parcel", (F.col("l_partkey") * 31 + F.col("l_suppkey")) % F.col("parcels"))
         .withColumn("item", item)
-        .groupBy("l_orderkey", "parcel")
+        .groupBy("l_orderkey")
         .agg(
             F.expr(
                 "concat('[', listagg(item, ',') WITHIN GROUP (ORDER BY l_linenumber, l_partkey, item), ']')"
@@ -76,20 +67,15 @@ def dirty_order_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_name", "c_nationkey"
     )
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
-    parcels = _parcels(spark, sf_dir)
+    items = _items(spark, sf_dir)
     joined = (
-        orders.join(parcels, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        orders.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .withColumn("parcel", F.coalesce("parcel", F.lit(0)))
     )
 
     k, ck = F.col("o_orderkey"), F.col("o_custkey").cast("string")
-    name = F.concat(
-        F.lit("ORD-"),
-        k.cast("string"),
-        F.when(F.col("parcel") > 0, F.concat(F.lit("-"), F.col("parcel").cast("string"))).otherwise(""),
-    )
+    name = F.concat(F.lit("ORD-"), k.cast("string"))
     p8 = F.lpad(((F.col("o_custkey") * 7919) % 100000000).cast("string"), 8, "0")
     iso = F.date_format("o_orderdate", "yyyy-MM-dd")
     price = F.format_string("%.2f", "o_totalprice")
@@ -153,7 +139,7 @@ def dirty_order_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     return joined.select(
         *[fields[field].alias(field) for field in ORDER_FIELDS],
-        (k + F.col("parcel") * PARCEL_STRIDE).alias("number_row_source"),
+        k.alias("number_row_source"),
         (k + FIRST_INGESTED).cast("double").alias("at_ingested"),
     )
 

@@ -104,7 +104,7 @@ def _double(x: str) -> str:
 
 def _amount(x: str) -> str:
     bare = f"replace(replace(coalesce({x}, '0'), ',', ''), ' ', '')"
-    return f"coalesce(try_cast({bare} AS DECIMAL(18,2)), 0)::DECIMAL(18,2)"
+    return f"coalesce(try_cast({bare} AS DECIMAL(28,2)), 0)::DECIMAL(28,2)"
 
 
 def _select(values: dict[str, str], source: str) -> str:
@@ -117,11 +117,10 @@ _STEPS: dict[str, str] = {}
 
 # --- the raw orders --------------------------------------------------------------------------------
 
-_STEPS["parcels"] = f"""
-SELECT l_orderkey, parcel, '[' || string_agg(item, ',' ORDER BY l_linenumber, l_partkey, item) || ']' AS items
+_STEPS["items"] = f"""
+SELECT l_orderkey, '[' || string_agg(item, ',' ORDER BY l_linenumber, l_partkey, item) || ']' AS items
 FROM (
   SELECT l.l_orderkey, l_linenumber, l_partkey,
-    (l_partkey * 31 + l_suppkey) % n.parcels AS parcel,
     '{{"sku":"P-' || l_partkey || '","name":"' || p_name || '","qty":"' ||
       CASE WHEN l.l_orderkey % 8 = 0 THEN {_arabic("(l_quantity::BIGINT)::VARCHAR")}
            ELSE (l_quantity::BIGINT)::VARCHAR END ||
@@ -129,26 +128,24 @@ FROM (
       '","total":"' || printf('%.2f', l_quantity * p_retailprice) || '"}}' AS item
   FROM lineitem l
   JOIN part ON l_partkey = p_partkey
-  JOIN (SELECT l_orderkey, ceil(count(*) / 500)::BIGINT AS parcels FROM lineitem GROUP BY 1) n
-    ON n.l_orderkey = l.l_orderkey
 )
-GROUP BY 1, 2
+GROUP BY 1
 """
 
 _STEPS["base"] = f"""
-SELECT o_orderkey AS k, o_custkey AS ck, coalesce(parcel, 0) AS parcel, o_orderdate AS d, c_name, n_name, items,
-  'ORD-' || o_orderkey || CASE WHEN parcel > 0 THEN '-' || parcel ELSE '' END AS name,
+SELECT o_orderkey AS k, o_custkey AS ck, o_orderdate AS d, c_name, n_name, items,
+  'ORD-' || o_orderkey AS name,
   lpad(((o_custkey * 7919) % 100000000)::VARCHAR, 8, '0') AS p8,
   printf('%.2f', o_totalprice) AS price
 FROM orders
-LEFT JOIN parcels ON o_orderkey = l_orderkey
+LEFT JOIN items ON o_orderkey = l_orderkey
 LEFT JOIN customer ON o_custkey = c_custkey
 LEFT JOIN nation ON c_nationkey = n_nationkey
 """
 
 _STEPS["dirty"] = _select(
     {
-        "number_row_source": "k + parcel * 1000000000000",
+        "number_row_source": "k",
         "at_ingested": "(1704067200 + k)::DOUBLE",
         "k": "k",
         "order_id": "CASE WHEN k%401=0 THEN '' WHEN k%97=0 THEN '  ' || name || ' ' ELSE name END",

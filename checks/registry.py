@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.dirty_orders import dirty_order_fields, dirty_orders
 from souqframe import functions as T
 from souqframe.functions.text import ARABIC_DIGITS, WESTERN_DIGITS
 from souqframe.operators import cleaning, lookups, outcomes, reports, validation
@@ -12,7 +13,6 @@ from souqframe.plans import elt, jobs, views
 from souqframe.plans.warehouse import Warehouse
 from souqframe.schemas import ORDER_FIELDS, RECORD_KEY
 from souqframe.sources import layout, raw_orders
-from souqframe.sources.dirty_orders import PARCEL_STRIDE, dirty_order_fields, dirty_orders
 from souqframe.sources.workspace import workspace
 from souqframe.streaming.daily_sales import stream_daily_sales
 
@@ -46,12 +46,12 @@ def _new_warehouse(spark: SparkSession) -> Warehouse:
 
 def _second_batch(accepted: DataFrame) -> DataFrame:
     """Every third order again: later, with another day and amount."""
-    k = F.col("number_row_source") % PARCEL_STRIDE
+    k = F.col("number_row_source")
     day = F.lpad((k % 28 + 1).cast("string"), 2, "0")
     return accepted.where(k % 3 == 0).withColumns(
         {
             "order_date": F.concat(F.lit("2030-01-"), day),
-            "amount": (F.col("amount") + 1).cast("decimal(18,2)"),
+            "amount": (F.col("amount") + 1).cast("decimal(28,2)"),
             "at_ingested": F.col("at_ingested") + 100000000,
         }
     )

@@ -150,7 +150,7 @@ def _price_the_items(df: DataFrame) -> DataFrame:
     )
     return (
         df.withColumn("_items", items)
-        .withColumns({"_item_count": F.size("_items"), "_goods": goods})
+        .withColumns({"_item_count": F.when(F.col("_items").isNotNull(), F.size("_items")), "_goods": goods})
         .drop("_items")
     )
 

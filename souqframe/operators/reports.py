@@ -22,6 +22,8 @@ _ITEMS = "array<struct<{}>>".format(
     ",".join(f"{name}:string" for name in NAME_FIELDS + QUANTITY_FIELDS + REVENUE_FIELDS)
 )
 
+MOST = 2**63 - 1
+
 
 def _money(total: Column) -> Column:
     return F.round(total, 2).cast("double")
@@ -43,7 +45,10 @@ def get_sales_by_city(orders: DataFrame) -> DataFrame:
 
 
 def product_sales(orders: DataFrame) -> DataFrame:
-    """G2 without its limit: quantity and revenue by product over every line item."""
+    """G2 without its limit: quantity and revenue by product over every line item.
+
+    Quantities are summed as decimals; a sum above the largest long is given as that.
+    """
 
     def first_filled(line: Column, names: list[str]) -> Column:
         return F.coalesce(*[F.nullif(line[name], F.lit("")) for name in names])
@@ -59,7 +64,7 @@ def product_sales(orders: DataFrame) -> DataFrame:
         .select(
             F.coalesce(first_filled(line, NAME_FIELDS), F.lit(UNNAMED_PRODUCT)).alias("product_name"),
             F.coalesce(
-                F.when(quantity.rlike(INTEGER_PATTERN), F.trim(quantity).try_cast("long")), F.lit(1)
+                F.when(quantity.rlike(INTEGER_PATTERN), F.trim(quantity).try_cast("decimal(28,0)")), F.lit(1)
             ).alias("quantity"),
             F.coalesce(
                 F.when(revenue.rlike(NUMBER_PATTERN), F.trim(revenue).try_cast("decimal(28,6)")),
@@ -68,7 +73,7 @@ def product_sales(orders: DataFrame) -> DataFrame:
         )
         .groupBy("product_name")
         .agg(
-            F.sum("quantity").alias("total_quantity_sold"),
+            F.least(F.sum("quantity"), F.lit(MOST).cast("decimal(38,0)")).cast("long").alias("total_quantity_sold"),
             _money(F.sum("revenue")).alias("total_revenue"),
         )
     )

@@ -55,7 +55,7 @@ CORRECTION_SCHEMA = T.ArrayType(CORRECTION)
 RAW_SCHEMA = T.StructType([*_ENVELOPE, T.StructField("record_raw", T.StructType(_ORDER))])
 
 # Money, wherever it is summed or compared.
-AMOUNT = T.DecimalType(18, 2)
+AMOUNT = T.DecimalType(28, 2)
 
 # Cleaned orders: what the rules put out, and what both stored tables hold.
 CLEAN_SCHEMA = T.StructType(

@@ -132,6 +132,11 @@ class KeyedTable:
         """The rows as of the last commit."""
         return self._rows(self._state()).drop("bucket")
 
+    def read_with_gen(self) -> tuple[DataFrame, int]:
+        """The rows as of the last commit, and its number: both from one look at the commits."""
+        state = self._state()
+        return self._rows(state).drop("bucket"), state.last_gen
+
     def changes(self, after: int, upto: int) -> DataFrame:
         """The tracked columns, as old_* and new_*, of every row changed by commits (after, upto]."""
         schema = T.StructType(

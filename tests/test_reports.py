@@ -85,10 +85,18 @@ def test_lookup_filters_reach_the_scan(orders, tmp_path, spark):
     text = plan.toString()
     assert "GreaterThanOrEqual(amount" in text and "TakeOrderedAndProject" in text
     report = reports.get_sales_by_city(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<city:string,amount:decimal(18,2)>" in report
+    assert "ReadSchema: struct<city:string,amount:decimal(28,2)>" in report
 
 
 def test_averages_round_halves_up(spark):
     rows = spark.createDataFrame([("x", "0.50"), ("x", "0.51")], "city string, total_amount string")
     sales = reports.get_sales_by_city(rows.withColumn("amount", numeric_amount("total_amount"))).first()
     assert (sales["total_orders"], sales["total_revenue"], sales["avg_order_value"]) == (2, 1.01, 0.51)
+
+
+def test_very_large_quantities_and_amounts_are_not_lost(spark):
+    item = json.dumps([{"name": "n", "qty": "9000000000000000000", "total": "1"}])
+    rows = spark.createDataFrame([(item, "9,000,000,000,000,000,000.00")] * 2, "items_json string, total_amount string")
+    sold = reports.get_top_products(rows).first()
+    assert (sold["total_quantity_sold"], sold["total_revenue"]) == (2**63 - 1, 2.0)
+    assert str(rows.select(numeric_amount("total_amount")).first()[0]) == "9000000000000000000.00"

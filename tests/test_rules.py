@@ -112,3 +112,14 @@ def test_rules_shuffle_nothing_and_run_once(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text and "Python" not in text
     assert text.count("from_json") == 1
+
+
+def test_broken_items_have_the_same_reason_without_ansi(spark):
+    rows = [{"items_json": "{broken"}, {"items_json": "[]"}]
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            found = [r["quarantine_reasons"] for r in apply_all_quality_rules(raw_orders(spark, rows)).collect()]
+            assert "CORRUPTED_ITEMS_JSON" in found[0] and "EMPTY_ITEMS" in found[1]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
