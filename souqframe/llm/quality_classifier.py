@@ -24,6 +24,7 @@ CLEAR = 4.0  # standard deviations by which a feature's log-odds must differ fro
 SMOOTH = 0.5
 BINS = 64  # of the evidence, from -LIMIT to LIMIT
 LIMIT = 24.0
+SAMPLE_LABELS = 20_000  # labelled documents, chosen by hash, that the classifier is fitted on at most
 CALIBRATION = 4  # one labelled document in so many tells what the evidence is worth
 
 
@@ -155,7 +156,8 @@ def classify_quality(
 
     `labels` has `id`, quality (1: good, 0: not) and toxic (1: toxic); good documents are those with
     quality 1 that are not toxic. Rows with a null id or quality are unlabelled. Without both kinds of
-    labels the evidence is 0 and the prior one half. Sites and sections may be null: those form one.
+    labels the evidence is 0 and the prior one half. The classifier is fitted on at most SAMPLE_LABELS
+    labelled documents; all statistics of sites and sections are over all documents. Sites and sections may be null: those form one.
     A null text has no evidence of its own. Repeated rows come back as often. `folder` is shared.
     """
     spark = df.sparkSession
@@ -174,7 +176,12 @@ def classify_quality(
         labels.where("quality IS NOT NULL")
         .groupBy(F.col(id).alias("labelled_id"))
         .agg((F.max((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) != 1))).alias("good"))
+        .where("labelled_id IS NOT NULL")
+        .orderBy(F.xxhash64("labelled_id"), "labelled_id")
+        .limit(SAMPLE_LABELS)
     )
+    # At most SAMPLE_LABELS ids and flags, so the texts stay where they are.
+    good = F.broadcast(stored(good, "labelled"))
     labelled = rows.select("doc_id", "text").join(good, F.col("doc_id") == F.col("labelled_id"))
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)) == 0
     counts, totals = count_features(labelled.where(~fold), "text", "good")
