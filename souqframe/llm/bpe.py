@@ -28,6 +28,7 @@ from souqframe.llm.rows import Memo, map_texts, once
 
 PIECES = 300_000  # pieces of text a worker remembers
 STATES = 100_000  # states a worker keeps before it starts anew
+FOLLOWED = 50_000  # open bytes of which a worker remembers what ends there
 LONG_TEXT = 1 << 20  # longer texts are cut into pieces bit by bit
 
 NO_TOKEN = b""
@@ -68,6 +69,7 @@ class Transducer:
             if self.merged(token) == [token]:
                 self.kinds[token] = self.kinds.get(token, 0) | _ENTRY
         self.fits = Memo(self._fit, states)
+        self.follow = Memo(self._follow, FOLLOWED)
         self.edges = Memo(self._edges, 2 * len(ranks))
         self._restart()
 
@@ -154,26 +156,32 @@ class Transducer:
         step = state.next[byte] = to, b"".join([self.ids[token] for token in given])
         return step
 
+    def _follow(self, text: bytes) -> tuple[bytes, tuple[bytes, ...]]:
+        """Of what could go on before its last byte came: its longest suffix that still can, and the entries that end."""
+        going, entries = NO_TOKEN, []
+        for start in range(len(text)):
+            token = text[start:]
+            kind = self.kinds.get(token, 0)
+            if kind & _ENTRY:
+                entries.append(token)
+            if not going and kind & _BEGINNING:
+                going = token
+        return going, tuple(entries)
+
     def _rest(self, state: _State, rest: bytes) -> list[bytes]:
         """The tokens of what is open and of the bytes behind it, up to the end of the piece."""
-        text, kinds, fits, last = state.open + rest, self.kinds, self.fits, state.last
-        ends, live = list(state.ends), list(state.live)
-        for size in range(len(ends) + 1, len(text) + 1):
-            live.append(size - 1)
-            found, going = -1, []
-            for start in live:
-                token = text[start:size]
-                kind = kinds.get(token, 0)
-                if found < 0 and kind & _ENTRY:
-                    before = text[start - ends[start - 1] : start] if start else last
-                    if not before or fits[before, token]:
-                        found = start
-                if kind & _BEGINNING:
-                    going.append(start)
-            if found < 0:
-                raise ValueError(f"byte {text[size - 1]} is not in the vocabulary")
-            ends.append(size - found)
-            live = going
+        text, follow, fits, ends = state.open + rest, self.follow, self.fits, list(state.ends)
+        going = state.open[state.live[0] :] if state.live else NO_TOKEN
+        for at in range(len(ends), len(text)):
+            going, entries = follow[going + text[at : at + 1]]
+            for token in entries:
+                start = at + 1 - len(token)
+                before = text[start - ends[start - 1] : start] if start else state.last
+                if not before or fits[before, token]:
+                    ends.append(len(token))
+                    break
+            else:
+                raise ValueError(f"byte {text[at]} is not in the vocabulary")
         return self._tokens(text, ends, len(text))
 
     @staticmethod
