@@ -2,12 +2,11 @@
 
 A token sequence is the BPE of its bytes exactly if BPE leaves each two neighbours as they are. So
 the BPE of every prefix of a piece is known from that of shorter prefixes: its last token is the one
-that fits behind the BPE of what stands before it. A state of the transducer holds the last token
-given out and the bytes behind it that are still open; a byte leads to the next state and gives out
-the tokens on which all continuations agree. Continuations can only start a token where an open
-suffix is the beginning of some vocabulary entry, so what is open stays about as short as the longest
-entry. A transition is made when a text needs it for the second time; the first time, the rest of the
-piece goes through the same steps without leaving states behind.
+that fits behind the BPE of what stands before it. A state of the transducer is the longest end of the
+bytes read so far that can still become an entry; a byte leads to the next state and tells the entries
+that end with it. A transition is made when a text needs it for the first time, and so is the answer
+to whether two tokens fit. Continuations can only start a token within the open bytes, which are fewer
+than the longest entry has; tokens on which all of them agree are given out.
 
 Decoding feeds the bytes of each id to a UTF-8 machine; its state is the bytes of a character that
 is not complete yet. What an id does in a state is worked out once and kept.
@@ -16,7 +15,7 @@ is not complete yet. What an id does in a state is worked out once and kept.
 import base64
 import gc
 import hashlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -27,8 +26,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from souqframe.llm.rows import Memo, map_texts, once
 
 PIECES = 300_000  # pieces of text a worker remembers
-STATES = 100_000  # states a worker keeps before it starts anew
-FOLLOWED = 50_000  # open bytes of which a worker remembers what ends there
+STATES = 400_000  # transitions and answers a worker keeps before it starts anew
+HELD = 256  # bytes of a piece that are held before tokens are given out
 LONG_TEXT = 1 << 20  # longer texts are cut into pieces bit by bit
 
 NO_TOKEN = b""
@@ -42,19 +41,33 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class _State:
-    """What is open behind the last token given out.
+class _State(dict):
+    """Bytes that can become an entry. For each next byte the next state, and the entries that end, longest first."""
 
-    `ends[i]`: length of the last token of the BPE up to byte i of what is open; `live`: places at which
-    a token that is not complete yet can have started.
-    """
+    __slots__ = ("open", "make")
+
+    def __init__(self, open_: bytes, make: Callable):
+        self.open, self.make = open_, make
+
+    def __missing__(self, byte: int) -> tuple["_State", tuple["_Entry", ...]]:
+        step = self[byte] = self.make(self.open + _BYTES[byte])
+        return step
+
+
+class _Before(dict):
+    """For each token, whether an entry fits behind it. Nothing before it is fine."""
+
+    __slots__ = ("token", "fit")
 
-    __slots__ = ("last", "open", "ends", "live", "next", "flush")
+    def __init__(self, token: bytes, fit: Callable):
+        self.token, self.fit = token, fit
 
-    def __init__(self, last: bytes, open_: bytes, ends: tuple[int, ...], live: tuple[int, ...]):
-        self.last, self.open, self.ends, self.live = last, open_, ends, live
-        self.next: dict[int, tuple[_State, bytes] | bool] = {}  # False: needed once so far
-        self.flush: bytes | None = None
+    def __missing__(self, before: bytes) -> bool:
+        answer = self[before] = not before or self.fit(before, self.token)
+        return answer
+
+
+_Entry = tuple[bytes, int, _Before]  # the token, its length, what it fits behind
 
 
 class Transducer:
@@ -68,14 +81,18 @@ class Transducer:
         for token in ranks:  # an entry to which no merges lead is only ever a whole piece
             if self.merged(token) == [token]:
                 self.kinds[token] = self.kinds.get(token, 0) | _ENTRY
-        self.fits = Memo(self._fit, states)
-        self.follow = Memo(self._follow, FOLLOWED)
         self.edges = Memo(self._edges, 2 * len(ranks))
+        self.made = 0
+        self.states: dict[bytes, _State] = {}
         self._restart()
 
     def _restart(self) -> None:
-        self.start = _State(NO_TOKEN, b"", (), ())
-        self.states = {(NO_TOKEN, b""): self.start}
+        for state in self.states.values():  # they refer to each other
+            state.clear()
+        self.made = 0
+        self.states = {}
+        self.entries: dict[bytes, _Entry] = {}
+        self.start = self.states[NO_TOKEN] = _State(NO_TOKEN, self._step)
 
     def merged(self, text: bytes) -> list[bytes]:
         """The merges one by one, lowest rank first. Only for the few bytes that states are made from."""
@@ -108,11 +125,12 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [*left, (token, self.none)], [*right, (token, self.none)], rising
 
-    def _fit(self, pair: tuple[bytes, bytes]) -> bool:
+    def _fit(self, before: bytes, token: bytes) -> bool:
         """Whether BPE leaves two tokens as they are: no merge across comes before the merges at their edges."""
-        (_, right, rising), (left, _, rises) = self.edges[pair[0]], self.edges[pair[1]]
+        self.made += 1
+        (_, right, rising), (left, _, rises) = self.edges[before], self.edges[token]
         if not (rising and rises):
-            return self.merged(pair[0] + pair[1]) == list(pair)
+            return self.merged(before + token) == [before, token]
         i = j = 0
         while True:
             (a, end_a), (b, end_b) = right[i], left[j]
@@ -126,95 +144,64 @@ class Transducer:
             else:
                 j += 1
 
-    def _step(self, state: _State, byte: int) -> tuple[_State, bytes]:
-        text, size, kinds = state.open + _BYTES[byte], len(state.open) + 1, self.kinds
-        # The token that ends here: the one that fits behind the BPE of what stands before it.
-        found, live = -1, []
-        for start in (*state.live, size - 1):
-            token = text[start:]
-            kind = kinds.get(token, 0)
-            if found < 0 and kind & _ENTRY:
-                before = text[start - state.ends[start - 1] : start] if start else state.last
-                if not before or self.fits[before, token]:
-                    found = start
-            if kind & _BEGINNING:
-                live.append(start)
-        if found < 0:
-            raise ValueError(f"byte {byte} is not in the vocabulary")
-        ends = (*state.ends, size - found)
-        # The last place that all ways to the places of the next token go through.
-        places = {*live, size}
-        while len(places) > 1:
-            last = max(places)
-            places.remove(last)
-            places.add(last - ends[last - 1])
-        cut = places.pop()
-        given = self._tokens(text, ends, cut) if cut else ()
-        key = (given[-1] if given else state.last, text[cut:])
-        if (to := self.states.get(key)) is None:
-            to = self.states[key] = _State(*key, ends[cut:], tuple([start - cut for start in live]))
-        step = state.next[byte] = to, b"".join([self.ids[token] for token in given])
-        return step
-
-    def _follow(self, text: bytes) -> tuple[bytes, tuple[bytes, ...]]:
-        """Of what could go on before its last byte came: its longest suffix that still can, and the entries that end."""
-        going, entries = NO_TOKEN, []
+    def _step(self, text: bytes) -> tuple[_State, tuple[_Entry, ...]]:
+        """The state behind the open bytes and one more: their longest end that can go on; and the entries that end."""
+        self.made += 1
+        going, ending = NO_TOKEN, []
         for start in range(len(text)):
             token = text[start:]
             kind = self.kinds.get(token, 0)
             if kind & _ENTRY:
-                entries.append(token)
+                if token not in self.entries:
+                    self.entries[token] = token, len(token), _Before(token, self._fit)
+                ending.append(self.entries[token])
             if not going and kind & _BEGINNING:
                 going = token
-        return going, tuple(entries)
-
-    def _rest(self, state: _State, rest: bytes) -> list[bytes]:
-        """The tokens of what is open and of the bytes behind it, up to the end of the piece."""
-        text, follow, fits, ends = state.open + rest, self.follow, self.fits, list(state.ends)
-        going = state.open[state.live[0] :] if state.live else NO_TOKEN
-        for at in range(len(ends), len(text)):
-            going, entries = follow[going + text[at : at + 1]]
-            for token in entries:
-                start = at + 1 - len(token)
-                before = text[start - ends[start - 1] : start] if start else state.last
-                if not before or fits[before, token]:
-                    ends.append(len(token))
-                    break
-            else:
-                raise ValueError(f"byte {text[at]} is not in the vocabulary")
-        return self._tokens(text, ends, len(text))
+        if going not in self.states:
+            self.states[going] = _State(going, self._step)
+        return self.states[going], tuple(ending)
 
-    @staticmethod
-    def _tokens(text: bytes, ends: Sequence[int], place: int) -> list[bytes]:
-        """The tokens up to a place, found from behind."""
-        tokens = []
+    def _given(self, tokens: list[bytes], place: int) -> list[bytes]:
+        """The ids up to a place, found from behind."""
+        ids, out = self.ids, []
         while place:
-            tokens.append(text[place - ends[place - 1] : place])
-            place -= ends[place - 1]
-        return tokens[::-1]
+            out.append(ids[tokens[place]])
+            place -= len(tokens[place])
+        return out[::-1]
+
+    @staticmethod
+    def _agreed(tokens: list[bytes], open_: int) -> int:
+        """The last place that the ways to all of the last `open_` places and to the end go through."""
+        places = set(range(len(tokens) - 1 - open_, len(tokens)))
+        while len(places) > 1:
+            last = max(places)
+            places.remove(last)
+            places.add(last - len(tokens[last]))
+        return places.pop()
 
     def encode(self, piece: bytes) -> bytes:
         """The ids of a piece. One that is an entry itself is that entry, even if no merges lead there."""
         if (whole := self.ids.get(piece)) is not None:
             return whole
-        if len(self.states) > self.limit:
+        if self.made > self.limit:
             self._restart()
-        state, out = self.start, []
-        for at, byte in enumerate(piece):
-            step = state.next.get(byte)
-            if not step:
-                if step is None:
-                    state.next[byte] = False
-                    out += [self.ids[token] for token in self._rest(state, piece[at:])]
-                    return b"".join(out)
-                step = self._step(state, byte)
-            state = step[0]
-            if step[1]:
-                out.append(step[1])
-        if state.flush is None:
-            tail = self._tokens(state.open, state.ends, len(state.open))
-            state.flush = b"".join([self.ids[token] for token in tail])
-        out.append(state.flush)
+        # The last token of the BPE up to each place, from the last one given out on.
+        state, tokens, out, most = self.start, [NO_TOKEN], [], HELD
+        for byte in piece:
+            state, entries = state[byte]
+            place = len(tokens)
+            for token, length, fits in entries:
+                if fits[tokens[place - length]]:
+                    tokens.append(token)
+                    break
+            else:
+                raise ValueError(f"byte {byte} is not in the vocabulary")
+            if place >= most:
+                agreed = self._agreed(tokens, len(state.open))
+                out += self._given(tokens, agreed)
+                del tokens[:agreed]
+                most = HELD + 2 * len(tokens)
+        out += self._given(tokens, len(tokens) - 1)
         return b"".join(out)
 
 

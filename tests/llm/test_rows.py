@@ -46,6 +46,16 @@ def test_transducer_forgets_and_goes_on():
         assert list(ids) == THEIRS._encode_single_piece(piece)
 
 
+def test_transducer_gives_tokens_out_early(monkeypatch):
+    monkeypatch.setattr(bpe, "HELD", 8)
+    rnd = random.Random(4)
+    for letters in ("aeinrst ", "x", "ab", "日本語é"):
+        for _ in range(60):
+            piece = "".join(rnd.choice(letters) for _ in range(rnd.randint(1, 400))).encode()
+            ids = OURS.transducer.encode(piece)
+            assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == THEIRS._encode_single_piece(piece)
+
+
 def test_bpe_query_on_edge_cases(docs, by_id):
     df = docs(EDGE).withColumn("N_Tokens", F.lit("clash"))
     rows = by_id(bpe.encode_texts(df, *vocabulary(), keep=["doc_id", "N_Tokens"], with_ids=True))
