@@ -68,16 +68,17 @@ class Finder:
     """The items that whole texts contain."""
 
     def __init__(self, items: list[tuple[int, str]], most_changed: float):
-        self.items: dict[int, tuple[list[str], int]] = {}
+        # By their place in the list: an id may come with several texts.
+        self.items: dict[int, tuple[int, list[str], int]] = {}
         pieces: dict[str, list[tuple[int, int]]] = {}
-        for number, text in items:
+        for place, (number, text) in enumerate(items):
             words = words_of(text)
             if len(words) < LEAST_WORDS:
                 continue
             errors = int(len(words) * most_changed)
-            self.items[number] = words, errors
+            self.items[place] = number, words, errors
             for first, piece in pieces_of(words, errors):
-                pieces.setdefault(f" {' '.join(piece)} ", []).append((number, first))
+                pieces.setdefault(f" {' '.join(piece)} ", []).append((place, first))
         self.automaton = ahocorasick.Automaton()
         for piece, places in pieces.items():
             self.automaton.add_word(piece, (len(piece), places))
@@ -96,13 +97,14 @@ class Finder:
             start = end - length + 1  # of the blank before the piece
             seen += line.count(" ", at, start) if start >= at else -line.count(" ", start, at)
             at = start
-            for number, first in places:
-                hits.setdefault(number, set()).add(seen - first)
-        return sorted(number for number, starts in hits.items() if self._occurs(number, sorted(starts), words))
+            for place, first in places:
+                hits.setdefault(place, set()).add(seen - first)
+        found = (place for place, starts in hits.items() if self._occurs(place, sorted(starts), words))
+        return sorted({self.items[place][0] for place in found})
 
-    def _occurs(self, number: int, starts: list[int], words: list[str]) -> bool:
+    def _occurs(self, place: int, starts: list[int], words: list[str]) -> bool:
         """Whether the item is within its errors near one of the starts. Starts that are close share a stretch."""
-        item, errors = self.items[number]
+        _, item, errors = self.items[place]
         i = 0
         while i < len(starts):
             j = i
@@ -141,7 +143,7 @@ def contaminated(
     """Every row's columns `keep` (default doc_id) and item_ids: the items its whole text contains, ascending.
 
     A null or empty text contains none. Items that are null, or have no id or fewer than LEAST_WORDS
-    words, are found nowhere; an id that comes repeatedly has the text that comes last. The test set goes
+    words, are found nowhere; an id that comes repeatedly is found by any of its texts. The test set goes
     to the workers in blocks of bounded size, and the texts pass one block after the other. One row
     comes out for each row that goes in; a kept column named item_ids is left out.
     """

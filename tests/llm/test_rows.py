@@ -115,6 +115,13 @@ def test_contaminated_texts_are_found(spark, docs, by_id):
     assert decontaminate.contaminated(docs(texts), items.where("false")).where(F.size("item_ids") > 0).count() == 0
 
 
+def test_an_id_with_several_texts_is_found_by_each(spark, docs, by_id):
+    texts = [" ".join(f"{c}{i}" for i in range(20)) for c in "abc"]
+    items = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (1, texts[1])], "item_id long, text string")
+    rows = by_id(decontaminate.contaminated(docs(texts), items))
+    assert [rows[i]["item_ids"] for i in range(3)] == [[1], [1], []]
+
+
 def test_blocks_of_items_give_the_same(spark, docs, by_id, monkeypatch):
     texts = [" ".join(f"{c}{i}" for i in range(20)) for c in "abc"]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
