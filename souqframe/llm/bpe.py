@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from souqframe.llm.rows import Memo, map_texts, once
 
 PIECES = 300_000  # pieces of text a worker remembers
-STATES = 400_000  # transitions and answers a worker keeps before it starts anew
+STATES = 1_000_000  # transitions and answers a worker keeps before it starts anew
 HELD = 256  # bytes of a piece that are held before tokens are given out
 LONG_TEXT = 1 << 20  # longer texts are cut into pieces bit by bit
 
