@@ -26,6 +26,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from souqframe.llm.rows import Memo, map_texts, once
 
 PIECES = 300_000  # pieces of text a worker remembers
+SHORT = 100  # characters of the longest piece that is remembered
 STATES = 400_000  # transitions and answers a worker keeps before it starts anew
 HELD = 256  # bytes of a piece that are held before tokens are given out
 LONG_TEXT = 1 << 20  # longer texts are cut into pieces bit by bit
@@ -235,7 +236,10 @@ class Decoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.states: dict[bytes, dict] = {b"": {}}
-        self.complete = Memo(self._complete, len(ranks) + 1)
+        # By id: the text of one that leads from no open bytes to no open bytes, and which ids are like that.
+        size = max(ranks.values(), default=-1) + 1
+        self.texts = np.full(size, None, object)
+        self.seen, self.parts = np.zeros(size, bool), np.zeros(size, bool)
 
     def _learn(self, open_: bytes, number: int) -> tuple[str, bytes]:
         given, state = [], open_
@@ -247,24 +251,41 @@ class Decoder:
         return self.states[open_][number]
 
     def stream(self, ids: Iterable[int]) -> Iterator[str]:
-        state, known = b"", self.states[b""]
+        """The text of one id after the other, as far as it is certain."""
+        state = b""
         for number in ids:
-            text, after = known.get(number) or self._learn(state, number)
-            if after != state:
-                state, known = after, self.states[after]
+            text, state = self.states[state].get(number) or self._learn(state, number)
             yield text
         if state:
             yield "�"
 
-    def _complete(self, number: int) -> str | None:
-        """The text of an id that leads from no open bytes to no open bytes; None of any other."""
-        text, after = self.states[b""].get(number) or self._learn(b"", number)
-        return None if after else text
+    def decode(self, ids: np.ndarray | list[int]) -> str:
+        """The same for all ids of a text.
 
-    def decode(self, ids: list[int]) -> str:
-        complete = self.complete
-        texts = [complete[number] for number in ids]
-        return "".join(self.stream(ids) if None in texts else texts)
+        Ids that are complete characters are looked up together; the machine runs where one is not.
+        """
+        ids = np.asarray(ids, np.uint32)
+        if not self.seen[ids].all():
+            for number in np.unique(ids[~self.seen[ids]]).tolist():
+                text, after = self._learn(b"", number)
+                self.texts[number], self.parts[number], self.seen[number] = text, bool(after), True
+        texts, state, done = self.texts[ids].tolist(), b"", 0
+        for place in np.flatnonzero(self.parts[ids]).tolist():
+            if place < done:
+                continue
+            done = place
+            while done == place or (state and done < len(ids)):
+                number = int(ids[done])
+                texts[done], state = self.states[state].get(number) or self._learn(state, number)
+                done += 1
+        return "".join(texts) + ("�" if state else "")
+
+
+class _Pieces(Memo):
+    """Remembers the ids of pieces; long ones, which could fill the memory, are worked out each time."""
+
+    def __missing__(self, piece: str) -> bytes:
+        return super().__missing__(piece) if len(piece) <= SHORT else self.function(piece)
 
 
 class Codec:
@@ -273,7 +294,7 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer, self.decoder = Transducer(ranks), Decoder(ranks)
         self.pattern = regex.compile(pattern)
-        self.pieces = Memo(lambda piece: self.transducer.encode(piece.encode()), PIECES)
+        self.pieces = _Pieces(lambda piece: self.transducer.encode(piece.encode()), PIECES)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -287,7 +308,7 @@ class Codec:
         return bytes(out)
 
     def decode(self, ids: bytes) -> str:
-        return self.decoder.decode(np.frombuffer(ids, "<u4").tolist())
+        return self.decoder.decode(np.frombuffer(ids, "<u4"))
 
 
 DIGESTS = [
