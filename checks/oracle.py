@@ -231,7 +231,7 @@ _rule("rule6", 6, "rule5", [("customer_email", "EMAIL_NORMALIZATION", _email)])
 _rule("rule7", 7, "rule6", [("order_date", "DATE_NORMALIZATION", _date)])
 _rule("rule8", 8, "rule7", [(f, "SPACES_SYNONYMS", _tidy) for f in TIDIED])
 
-_STEPS["items"] = f"""
+_STEPS["parsed"] = f"""
 SELECT *, {_double(_numeric(_now["delivery_cost"]))} AS delivery,
   CASE WHEN json_valid(items_json)
        THEN from_json(items_json, '[{{"qty":"VARCHAR","unit_price":"VARCHAR"}}]') END AS items
@@ -240,7 +240,7 @@ FROM rule8
 _STEPS["priced"] = f"""
 SELECT *, list_transform(items, lambda i: {{'qty': {_double(_numeric("i.qty"))},
                                            'price': {_double(_numeric("i.unit_price"))}}}) AS lines
-FROM items
+FROM parsed
 """
 _STEPS["judged"] = """
 SELECT *,
@@ -319,11 +319,14 @@ def _rule_check(*numbered: str) -> str:
     return with_(f"rule{number}", f"SELECT number_row_source, {values} FROM rule{number}")
 
 
-_AVG = "((2 * cents + n) // (2 * n))::DOUBLE / 100"
+_AVG = (
+    "(cents // n + CASE WHEN 2 * (cents % n) > n OR (2 * (cents % n) = n AND (cents // n) % 2 = 1) "
+    "THEN 1 ELSE 0 END)::DOUBLE / 100"
+)
 
 
 def _sales(key: str, total: str) -> str:
-    """Count, sum and average by key; averages in whole cents, halves up."""
+    """Count, sum and average by key; averages in whole cents, halves to the even one."""
     return (
         f"SELECT {key}, n AS total_orders, (cents::DOUBLE / 100) AS {total}, {_AVG} AS avg_order_value "
         f"FROM (SELECT {key}, count(*) AS n, (sum(amount) * 100)::HUGEINT AS cents FROM accepted GROUP BY 1)"
@@ -404,6 +407,13 @@ def oracle_sql() -> dict[str, str]:
             "SELECT number_row_source, at_ingested, 'pyspark' AS engine_used, "
             f"'orders.parquet' AS file_source, 'derived-orders' AS id_run, {_FIELDS} FROM dirty",
         ),
+        "envelope": with_(
+            "dirty",
+            "SELECT 'wrapped' AS id_run, 'orders.csv' AS file_source, 'pyspark' AS engine_used, "
+            f"{_FIELDS} FROM dirty",
+        ),
+        "correction_entry": "SELECT c_custkey, 'balance' AS field, c_custkey::VARCHAR AS original_value, "
+        "(c_custkey + 1)::VARCHAR AS corrected_value, 'RULE' AS rule_code FROM customer",
         "csv_round_trip": with_(
             "dirty",
             "SELECT {} FROM dirty".format(", ".join(f"coalesce({f}, '') AS {f}" for f in ORDER_FIELDS)),

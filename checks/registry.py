@@ -91,7 +91,7 @@ def helper_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def raw_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw orders appended to the raw table, read back and flattened."""
+    """Raw orders appended to the raw table, read back and flattened."""
     path = f"{workspace(spark)}/orders_raw"
     raw_orders.append_raw(dirty_orders(spark, sf_dir), path)
     return validation.flatten_raw(raw_orders.read_orders_raw(spark, path, "derived-orders"))
@@ -103,6 +103,14 @@ def _order_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@query
+def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order fields wrapped as raw orders of one run."""
+    fields = dirty_order_fields(spark, sf_dir).select(ORDER_FIELDS).withColumn("file_source", F.lit("orders.csv"))
+    wrapped = raw_orders.with_envelope(fields, "wrapped")
+    return wrapped.select("id_run", "file_source", "engine_used", "record_raw.*")
+
+
 @query
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as CSV, loaded into the raw table, read back."""
@@ -151,12 +159,20 @@ for _number, _rule in enumerate(cleaning.NINE_RULES, start=1):
 
 @query
 def audit_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1, H6: every correction with its place in the trail."""
+    """A1: every correction with its place in the trail."""
     return _cleaned(spark, sf_dir).select(
         "number_row_source", F.posexplode("corrections").alias("position", "c")
     ).select("number_row_source", "position", "c.*")
 
 
+@query
+def correction_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H6: the entry for a changed balance of every customer."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    entry = T.correction_struct("balance", F.col("c_custkey"), F.col("c_custkey") + 1, "RULE")
+    return customer.select("c_custkey", entry.alias("c")).select("c_custkey", "c.*")
+
+
 # --- validation, classification, outcomes ----------------------------------------------------------
 
 
@@ -307,6 +323,7 @@ def repeated_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse, accepted = _new_warehouse(spark), _stored(_accepted(spark, sf_dir))
     warehouse.validated.upsert(accepted)
     same = outcomes.upsert_is_idempotent(warehouse.validated, accepted)
+    outcomes.check_stored_counts(warehouse.validated, accepted.select("order_id").distinct().count())
     return warehouse.validated.read().agg(
         F.lit(same).alias("idempotent"),
         F.count(F.lit(1)).alias("orders"),
@@ -335,9 +352,10 @@ def missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def csv_elt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From an order file to the stored tables."""
+    """From an order file to the stored tables."""
     warehouse = _new_warehouse(spark)
-    result = elt.run_csv_elt(warehouse, _order_csv(spark, sf_dir))
+    path, expected = _order_csv(spark, sf_dir), dirty_orders(spark, sf_dir).count()
+    result = elt.run_csv_elt(warehouse, path, expected_rows=expected)
     stored = reports.system_counts(warehouse.validated.read(), warehouse.quarantine.read())
     return stored.select(
         F.lit(result["raw"]).cast("long").alias("raw"),

@@ -17,5 +17,5 @@ def numeric_amount(text: Column | str) -> Column:
 
 
 def rounded_average(total: Column, rows: Column) -> Column:
-    """total / rows to two decimals, halves up, worked out in decimals."""
-    return F.round(total / rows.cast("decimal(20,0)"), 2).cast("double")
+    """total / rows to two decimals, halves to the even cent, worked out in decimals."""
+    return F.bround(total / rows.cast("decimal(20,0)"), 2).cast("double")

@@ -6,6 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 from souqframe.plans.views import refresh_daily_sales_summary
 from souqframe.plans.warehouse import Warehouse
 from souqframe.sources.tables import COMMITS
+from souqframe.sources.workspace import exists
 
 
 def stream_daily_sales(
@@ -22,9 +23,12 @@ def stream_daily_sales(
     def refresh(_commits: DataFrame, _batch_id: int) -> None:
         refresh_daily_sales_summary(warehouse, incremental=True)
 
+    commits = f"{warehouse.validated.path}/commits"
+    if not exists(warehouse.spark, commits):  # nothing stored yet: an empty list of commits
+        warehouse.spark.createDataFrame([], COMMITS).write.mode("append").parquet(commits)
     return (
         warehouse.spark.readStream.schema(COMMITS)
-        .parquet(f"{warehouse.validated.path}/commits")
+        .parquet(commits)
         .writeStream.foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

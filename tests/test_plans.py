@@ -159,3 +159,12 @@ def test_a_commit_during_a_refresh_is_counted_once(spark, warehouse, monkeypatch
     views.refresh_daily_sales_summary(warehouse)
     row = warehouse.daily_sales.read().first()
     assert (row["total_orders"], str(row["total_revenue"])) == (2, "50.00")
+
+
+def test_a_stream_may_start_before_the_first_order_is_stored(spark, warehouse, tmp_path):
+    checkpoint = str(tmp_path / "checkpoint")
+    stream_daily_sales(warehouse, checkpoint).awaitTermination()
+    assert warehouse.daily_sales.read().count() == 0
+    elt.run_elt(warehouse, raw_orders(spark, [{"order_id": "A"}]))
+    stream_daily_sales(warehouse, checkpoint).awaitTermination()
+    assert warehouse.daily_sales.read().count() == 1

@@ -88,10 +88,12 @@ def test_lookup_filters_reach_the_scan(orders, tmp_path, spark):
     assert "ReadSchema: struct<city:string,amount:decimal(28,2)>" in report
 
 
-def test_averages_round_halves_up(spark):
-    rows = spark.createDataFrame([("x", "0.50"), ("x", "0.51")], "city string, total_amount string")
-    sales = reports.get_sales_by_city(rows.withColumn("amount", numeric_amount("total_amount"))).first()
-    assert (sales["total_orders"], sales["total_revenue"], sales["avg_order_value"]) == (2, 1.01, 0.51)
+def test_averages_round_halves_to_even(spark):
+    amounts = [("x", "0.50"), ("x", "0.51"), ("y", "40.00"), ("y", "0.25"), ("z", "0.01"), ("z", "0.02")]
+    rows = spark.createDataFrame(amounts, "city string, total_amount string")
+    sales = reports.get_sales_by_city(rows.withColumn("amount", numeric_amount("total_amount"))).collect()
+    found = [(row[0], row["total_orders"], row["total_revenue"], row["avg_order_value"]) for row in sales]
+    assert found == [("y", 2, 40.25, 20.12), ("x", 2, 1.01, 0.5), ("z", 2, 0.03, 0.02)]
 
 
 def test_very_large_quantities_and_amounts_are_not_lost(spark):
