@@ -1,12 +1,14 @@
 """Benchmark passages in documents: exact hits of pieces, confirmed by Myers' bit-parallel edit distance.
 
-Texts are compared as sequences of words, lower-cased and without punctuation. An item of n words may
-differ in up to e words (substituted, missing or additional). Cut into e + 1 pieces, at least one piece
-of an occurrence is unchanged, so an automaton of all pieces finds the place; the distance of the whole
-item to the words around it, with free ends, decides.
+Texts are compared as sequences of words, lower-cased and without punctuation; in scripts that set no
+blanks between words, each letter with its marks is a word. An item of n words may differ in up to e
+words (substituted, missing or additional). Cut into e + 1 pieces, at least one piece of an occurrence
+is unchanged, so an automaton of all pieces finds the place; the distance of the whole item to the words
+around it, with free ends, decides. A short item may not differ at all: it is one piece, whose hit decides.
 """
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from uuid import uuid4
 
@@ -18,14 +20,28 @@ from pyspark.sql.types import ArrayType, LongType, StructField
 from souqframe.llm.rows import map_texts, once, unused
 
 MOST_CHANGED = 0.2  # share of an item's words that may differ
-LEAST_WORDS = 8  # items with fewer words would be found by chance
+LEAST_WORDS = 8  # items with fewer words are found only as they stand
 BLOCK_BYTES = 8 << 20  # item texts that are sent to the workers at a time
 
 WORD = re.compile(r"[^\W_]+")
 
+# Scripts without blanks between words, as ranges of code points: Thai, Lao, Tibetan, Burmese, Khmer, Tai,
+# Balinese, Chinese characters, kana, bopomofo, Yi, Javanese and halfwidth kana.
+_RANGES = [
+    (0x0E01, 0x0EFF), (0x0F40, 0x0FBC), (0x1000, 0x109F), (0x1780, 0x17DD), (0x1950, 0x19DF), (0x1A20, 0x1AAD),
+    (0x1B00, 0x1B4C), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3035), (0x3038, 0x303C), (0x3041, 0x30FF),
+    (0x3105, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF),
+    (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF),
+]
+_LETTERS = "".join(f"{chr(a)}-{chr(b)}" for a, b in _RANGES)
+_MARKS = "".join(chr(c) for a, b in _RANGES if b < 0xFFFF for c in range(a, b + 1) if unicodedata.category(chr(c))[0] == "M")
+_NO_BLANKS = re.compile(f"[{_LETTERS}]")
+_UNIT = re.compile(rf"[^\W_{_LETTERS}]+|(?=[^\W_])[{_LETTERS}][{_MARKS}]*")
+
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    text = (text or "").lower()
+    return (WORD if text.isascii() or not _NO_BLANKS.search(text) else _UNIT).findall(text)
 
 
 def pieces_of(words: list[str], errors: int) -> list[tuple[int, list[str]]]:
@@ -70,18 +86,23 @@ class Finder:
     def __init__(self, items: list[tuple[int, str]], most_changed: float):
         # By their place in the list: an id may come with several texts.
         self.items: dict[int, tuple[int, list[str], int]] = {}
-        pieces: dict[str, list[tuple[int, int]]] = {}
+        # Places of the items with the piece, and the numbers of those that it is the whole of.
+        pieces: dict[str, tuple[list[tuple[int, int]], set[int]]] = {}
         for place, (number, text) in enumerate(items):
             words = words_of(text)
-            if len(words) < LEAST_WORDS:
+            if not words:
                 continue
-            errors = int(len(words) * most_changed)
+            errors = int(len(words) * most_changed) if len(words) >= LEAST_WORDS else 0
             self.items[place] = number, words, errors
             for first, piece in pieces_of(words, errors):
-                pieces.setdefault(f" {' '.join(piece)} ", []).append((place, first))
+                places, whole = pieces.setdefault(f" {' '.join(piece)} ", ([], set()))
+                if errors:
+                    places.append((place, first))
+                else:
+                    whole.add(number)
         self.automaton = ahocorasick.Automaton()
-        for piece, places in pieces.items():
-            self.automaton.add_word(piece, (len(piece), places))
+        for piece, (places, whole) in pieces.items():
+            self.automaton.add_word(piece, (len(piece), places, whole))
         if pieces:
             self.automaton.make_automaton()
 
@@ -92,15 +113,19 @@ class Finder:
         words = words_of(text)
         line = f" {' '.join(words)} "
         hits: dict[int, set[int]] = {}
+        numbers: set[int] = set()
         seen, at = 0, 0
-        for end, (length, places) in self.automaton.iter(line):
+        for end, (length, places, whole) in self.automaton.iter(line):
+            numbers |= whole
+            if not places:
+                continue
             start = end - length + 1  # of the blank before the piece
             seen += line.count(" ", at, start) if start >= at else -line.count(" ", start, at)
             at = start
             for place, first in places:
                 hits.setdefault(place, set()).add(seen - first)
         found = (place for place, starts in hits.items() if self._occurs(place, sorted(starts), words))
-        return sorted({self.items[place][0] for place in found})
+        return sorted(numbers.union(self.items[place][0] for place in found))
 
     def _occurs(self, place: int, starts: list[int], words: list[str]) -> bool:
         """Whether the item is within its errors near one of the starts. Starts that are close share a stretch."""
@@ -142,9 +167,9 @@ def contaminated(
 ) -> DataFrame:
     """Every row's columns `keep` (default doc_id) and item_ids: the items its whole text contains, ascending.
 
-    A null or empty text contains none. Items that are null, or have no id or fewer than LEAST_WORDS
-    words, are found nowhere; an id that comes repeatedly is found by any of its texts. The test set goes
-    to the workers in blocks of bounded size, and the texts pass one block after the other. One row
+    A null or empty text contains none. Items that are null, or have no id or no word, are found nowhere,
+    and those of fewer than LEAST_WORDS words where all their words stand one after the other; an id that
+    comes repeatedly is found by any of its texts. The test set goes to the workers in blocks of bounded size, and the texts pass one block after the other. One row
     comes out for each row that goes in; a kept column named item_ids is left out.
     """
     spark = df.sparkSession

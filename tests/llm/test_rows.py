@@ -116,6 +116,25 @@ def test_contaminated_texts_are_found(spark, docs, by_id):
     assert decontaminate.contaminated(docs(texts), items.where("false")).where(F.size("item_ids") > 0).count() == 0
 
 
+def test_short_items_are_found_as_they_stand(spark, docs, by_id):
+    chinese = "中国的首都是哪一座城市请写出它的名字吧"
+    items = [(1, "What is the capital of France?"), (2, chinese), (3, "首都在哪"), (4, "คำถามสั้น"), (5, "?!"), (6, "Why")]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    texts = [
+        "He asked: what is the CAPITAL of France - Paris.",
+        "what is the capital city of france, what is the capital of",
+        f"问题是{chinese.replace('城市', '地方')}完。",
+        f"{chinese[:9]}。",
+        "请问首都在哪里",
+        "请问首都,在那",
+        "ตอบคำถามสั้นๆ",
+        "ตอบคำถามสิ้นๆ",
+        "whyever not? Why not, why",
+    ]
+    rows = by_id(decontaminate.contaminated(docs(texts), items))
+    assert [rows[i]["item_ids"] for i in range(len(texts))] == [[1], [], [2], [], [3], [], [4], [], [6]]
+
+
 def test_an_id_with_several_texts_is_found_by_each(spark, docs, by_id):
     texts = [" ".join(f"{c}{i}" for i in range(20)) for c in "abc"]
     items = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (1, texts[1])], "item_id long, text string")
