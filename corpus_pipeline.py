@@ -16,8 +16,12 @@ def reject_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their site; n_chars is counted anew."""
-    left, _, _ = line_dedup.drop_boilerplate(docs, workspace(spark))
+    """All documents, without the boilerplate lines of their site; n_chars is counted anew.
+
+    A page all of whose lines with a word would go stays as it is: copies of a page on a large share of a
+    site make all its lines boilerplate, and near-dedup then leaves one of them.
+    """
+    left, _, _ = line_dedup.drop_boilerplate(docs, workspace(spark), spare_whole=True)
     return left.select(*docs.columns).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -54,11 +54,13 @@ def drop_boilerplate(
     host: str = "source",
     most_share: float = MOST_SHARE,
     least_pages: int = LEAST_PAGES,
+    spare_whole: bool = False,
 ) -> tuple[DataFrame, str, str]:
     """Every row without its site's boilerplate lines, and the names of two columns: lines of the text, lines dropped.
 
     All columns stay; the text has the other lines in their order, joined by line feeds. A null text
-    stays null, with 0 lines. A site's lines are written to `folder`, which all executors share.
+    stays null, with 0 lines. With `spare_whole`, a text all of whose lines with a word would go stays as
+    it is. A site's lines are written to `folder`, which all executors share.
     """
     spark = df.sparkSession
     sites = boilerplate(df, text, host, most_share, least_pages)
@@ -79,9 +81,14 @@ def drop_boilerplate(
             F.when(bad.isNull(), all_lines).otherwise(kept).alias(left),
         )
     )
+    lines, dropped = F.array_join(left, "\n"), F.col(n_lines) - F.size(left)
+    if spare_whole:
+        spared = (dropped > 0) & ~F.exists(left, lambda line: line.rlike(_HAS_WORD))
+        lines = F.when(spared, F.col(f"`{text}`").cast("string")).otherwise(lines)
+        dropped = F.when(spared, 0).otherwise(dropped)
     columns = [
-        F.when(F.col(f"`{name}`").isNotNull(), F.array_join(left, "\n")).alias(name) if name == text else F.col(f"`{name}`")
+        F.when(F.col(f"`{name}`").isNotNull(), lines).alias(name) if name == text else F.col(f"`{name}`")
         for name in df.columns
     ]
-    dropped = F.when(F.col(left).isNull(), 0).otherwise(F.col(n_lines) - F.size(left)).cast("bigint")
+    dropped = F.when(F.col(left).isNull(), 0).otherwise(dropped).cast("bigint")
     return joined.select(*columns, n_lines, dropped.alias(n_dropped)), n_lines, n_dropped

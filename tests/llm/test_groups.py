@@ -79,6 +79,19 @@ def test_line_dedup(docs, by_id, tmp_path):
     assert empty.count() == 0
 
 
+def test_copies_on_a_third_of_a_site_leave_one(spark, docs, by_id):
+    whole = "menu\n" + "\n".join(f"line {i} of a page that was copied often" for i in range(9))
+    others = [f"menu\npage {i} has its own words: {' '.join(f'w{i}x{k}' for k in range(20))}" for i in range(20)]
+    df = docs([whole] * 10 + others + [None, " \n"])
+    left = corpus_pipeline.drop_lines(spark, df, SF)
+    rows = by_id(left)
+    assert all(rows[i]["text"] == whole and rows[i]["n_chars"] == len(whole) for i in range(10))
+    assert all(rows[10 + i]["text"] == text.removeprefix("menu\n") for i, text in enumerate(others))
+    assert rows[30]["text"] is None and rows[31]["text"] == " \n"
+    kept = by_id(corpus_pipeline.drop_near_duplicates(spark, left, SF))
+    assert [kept[i]["text"] for i in range(10) if i in kept] == [whole] and set(range(10, 32)) <= set(kept)
+
+
 def test_quality_of_sites_and_documents(spark, docs, by_id, tmp_path):
     rnd = random.Random(6)
 
