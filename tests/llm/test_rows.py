@@ -230,6 +230,37 @@ def test_field_learns_and_decodes():
     assert [field.decode(features) for features, _ in examples[:4]] == [labels for _, labels in examples[:4]]
 
 
+def test_field_labels_every_token(docs, by_id):
+    rnd = random.Random(8)
+    letters = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+
+    def secret():
+        return "".join(rnd.choice(letters) for _ in range(12))
+
+    def words(n):
+        return " ".join(rnd.choice(["the", "house", "Market", "open", "on", "days,", "with", "and", "bread."]) for _ in range(n))
+
+    kinds = ["token: ", "secret: ", "password: ", "token=", "secret=", "password="]
+    texts = [f"{words(30)} {kinds[i % 6]}{secret()} {words(30)}" for i in range(240)] + [words(60) for _ in range(200)]
+    hidden = [f"auth: {secret()}", f"credential={secret()}"]  # without a digit, and in no fixed pattern
+    new = [f"{words(20)} {one} {words(20)}" for one in hidden] + [words(50)]
+    rows = by_id(secret_scan.scan_secrets(docs([*texts, *new]), secret_scan.train_field(docs(texts), rate=1)))
+    for i, one in enumerate(hidden):
+        start = new[i].index(one)
+        assert rows[440 + i]["spans"] == f"crf:{start}:{start + len(one)}"
+    assert all(rows[i]["spans"] == "" for i in [*range(240, 440), 442])
+
+    # The labels are those of Viterbi over the whole text, whatever the weights.
+    for seed in range(40):
+        noise = np.random.default_rng(seed)
+        field = secret_scan.ChainField(noise.normal(0, 0.4, (secret_scan.FEATURES, 3)), noise.normal(0, 1, (3, 3)))
+        field.weights[:, 0] += noise.choice([0, 0.1, 0.3])
+        parts = secret_scan.Parts(f"{texts[0]} key=\t'é' x9 passecret {secret()}; 12:30 {texts[seed]}")
+        features = secret_scan.features_of(parts, [(0, len(parts.tokens))])[0]
+        assert np.allclose(field.scores_of(parts), field._scores(features))
+        assert field.label(parts) == [(i, label) for i, label in enumerate(field.decode(features)) if label]
+
+
 def test_licenses(docs, by_id):
     mit = licenses.TEMPLATES["mit"][0]
     texts = [
