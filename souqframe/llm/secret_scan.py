@@ -39,7 +39,7 @@ SAMPLE_RUNS = 4000  # windows around open tokens and spans that the field is tra
 SAMPLE_ORDINARY = 1000  # windows at any place besides, at most one of a text
 BESIDE = 3  # tokens on either side of an open one or a span that belong to its window
 ORDINARY = 16  # tokens of a window at any place
-SAMPLE_RATE = 8  # one text in so many is looked at for them, where there are very many texts
+MOST_TOKENS = 24  # of a window; longer ones are cut, for training only
 ROUNDS = 12
 FEATURES = 1 << 16
 LABELS = 3  # outside, begin, inside
@@ -359,7 +359,7 @@ def _labels(parts: Parts, spans: list[tuple[int, int, str]], first: int, end: in
 
 
 def _taught(parts: Parts, spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Windows (first token, end) around open tokens and spans; those that meet are one."""
+    """Windows (first token, end) around open tokens and spans; those that meet are one, of MOST_TOKENS at most."""
     places = [m.span() for m in OPEN.finditer(parts.text) if m.end() - m.start() >= LEAST_OPEN]
     starts, ends = parts.starts.tolist(), parts.ends.tolist()
     windows: list[tuple[int, int]] = []
@@ -370,7 +370,7 @@ def _taught(parts: Parts, spans: list[tuple[int, int, str]]) -> list[tuple[int,
             windows[-1] = windows[-1][0], max(stop, windows[-1][1])
         else:
             windows.append((first, stop))
-    return windows
+    return [(at, min(at + MOST_TOKENS, end)) for first, end in windows for at in range(first, end, MOST_TOKENS)]
 
 
 def _anywhere(parts: Parts, spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
@@ -410,11 +410,12 @@ def _examples(df: DataFrame, windows_of: Callable, most: int) -> list[tuple[list
     return examples
 
 
-def train_field(df: DataFrame, text: str = "text", runs: int = SAMPLE_RUNS, rate: int = SAMPLE_RATE) -> ChainField:
+def train_field(df: DataFrame, text: str = "text", runs: int = SAMPLE_RUNS, rate: int = 1) -> ChainField:
     """A field trained on at most `runs` windows around open tokens and spans, and SAMPLE_ORDINARY at any place.
 
-    They are of one text in `rate`, chosen by hash. Texts that are equal teach once each time they are
-    chosen. With no window at all, everything is outside.
+    They are those with the smallest hashes over all texts, or over one text in `rate`, itself chosen by
+    hash. Texts that are equal teach once each time they are chosen. With no window at all, everything
+    is outside.
     """
     sample = df.select(F.col(f"`{text}`").cast("string").alias("text")).where(
         F.pmod(F.xxhash64("text"), F.lit(rate)) == 0

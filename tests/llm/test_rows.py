@@ -261,6 +261,19 @@ def test_field_labels_every_token(docs, by_id):
         assert field.label(parts) == [(i, label) for i, label in enumerate(field.decode(features)) if label]
 
 
+def test_training_takes_from_all_texts_in_short_windows(docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(secret_scan.ChainField, "train", classmethod(lambda cls, examples: seen.append(examples)))
+    table = " ".join(f"{i}.{i % 7}e9" for i in range(100_000, 103_000))
+    texts = [f"words before password=abc{i}defgh and behind" for i in range(100)]
+    secret_scan.train_field(docs([*texts, table]))
+    secret_scan.train_field(docs([*texts, table]), runs=20)
+    assert sum(1 in labels for _, labels in seen[0]) >= 100
+    assert max(len(labels) for _, labels in seen[0]) <= 24
+    assert sum(len(labels) for _, labels in seen[0]) >= 3000 + 100 * 4
+    assert len(seen[1]) <= 20 + 101
+
+
 def test_licenses(docs, by_id):
     mit = licenses.TEMPLATES["mit"][0]
     texts = [
