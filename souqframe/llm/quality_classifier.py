@@ -158,6 +158,7 @@ def classify_quality(
     quality 1 that are not toxic. Rows with a null id or quality are unlabelled. Without both kinds of
     labels the evidence is 0 and the prior one half. The classifier is fitted on at most SAMPLE_LABELS
     labelled documents; all statistics of sites and sections are over all documents. Sites and sections may be null: those form one.
+    The documents have no path: `source` stands for the host and `lang` for the path within it.
     A null text has no evidence of its own. Repeated rows come back as often. `folder` is shared.
     """
     spark = df.sparkSession
