@@ -15,6 +15,7 @@ from souqframe.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    sequence_score,
     token_counts,
 )
 from souqframe.llm.oracle import ORACLE_SQL
@@ -108,6 +109,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op13_sequence_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How likely every text is, learned from nine tenths of them."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(True))
+    return sequence_score.score_texts(_table(spark, sf_dir, "documents"), held_out, workspace(spark))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py, one after the other."""
     import corpus_pipeline
@@ -127,6 +134,7 @@ def queries() -> dict[str, Query]:
         op8_language_id,
         op9_secret_scan,
         op10_license_scan,
+        op13_sequence_score,
         pipeline,
     ]
     return {function.__name__: function for function in functions}
