@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -63,18 +63,36 @@ def one_list(values: pa.Array, kind: pa.ListType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values, type=kind)
 
 
-def answers(entries: DataFrame, known: DataFrame, key: list[str], values: list[str]) -> DataFrame:
-    """For each chunk, `places` of its things that are known, and a list of each of `values` in the same order.
+def compact(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on as bytes: two each if all are small, else four behind a byte that says so."""
+    small = not len(numbers) or numbers.max() < 1 << 16
+    return numbers.astype(np.uint16).tobytes() if small else b"4" + numbers.astype(np.uint32).tobytes()
 
-    `entries` has chunk, place and the key. A thing that is in very many chunks makes a hot key on the
-    side of the entries, which adaptive execution splits; the known side has a row a key. What is
-    gathered for a chunk is no larger than the chunk.
+
+def numbers_in(stored: pa.Scalar) -> np.ndarray:
+    """What `compact` was given."""
+    held = stored.as_buffer()
+    return np.frombuffer(held[1:], np.uint32) if len(held) % 2 else np.frombuffer(held, np.uint16)
+
+
+def with_totals(entries: DataFrame, key: list[str], amount: str) -> DataFrame:
+    """Entries with `total`, the sum of `amount` over all chunks for the same thing, and whether they are its `first`.
+
+    Entries have chunk, place and key, and are shuffled once. A thing has one row a chunk at most, so
+    however usual it is, its share of the rows is one in as many as a chunk has things.
     """
-    found = entries.join(known, key).groupBy("chunk").agg(
-        F.collect_list(F.struct("place", *values)).alias("found")
+    same = Window.partitionBy(*key)
+    return entries.withColumns(
+        {
+            "total": F.sum(amount).over(same),
+            "first": F.row_number().over(same.orderBy("chunk")) == 1,
+        }
     )
+
+
+def answers(totals: DataFrame, values: list[str]) -> DataFrame:
+    """For each chunk, the `places` of its things and a list of each of `values`, in the same order."""
+    found = totals.groupBy("chunk").agg(F.collect_list(F.struct("place", *values)).alias("found"))
     return found.select(
-        "chunk",
-        F.col("found.place").alias("places"),
-        *[F.col(f"found.{name}").alias(name) for name in values],
+        "chunk", F.col("found.place").alias("places"), *[F.col(f"found.{name}").alias(name) for name in values]
     )

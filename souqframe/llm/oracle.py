@@ -29,5 +29,30 @@ page AS (
 SELECT d.doc_id, coalesce(p.n_lines, 0)::BIGINT AS n_lines, coalesce(p.n_dropped, 0)::BIGINT AS n_dropped,
        CASE WHEN d.text IS NOT NULL THEN sha256(p.left_text) END AS text_sha256
 FROM documents AS d LEFT JOIN page AS p USING (doc_id)
+""",
+    "op11_hard_negatives": r"""
+WITH vector AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS whole
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, v.vec_id AS other_id, a.label = v.label AS same,
+           list_inner_product(a.whole, v.whole)::BIGINT AS score
+    FROM vector AS a JOIN vector AS v ON a.vec_id <> v.vec_id
+    WHERE a.vec_id % 100 = 0
+),
+positive AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id))::INTEGER AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positive AS p JOIN scored AS s ON p.anchor_id = s.anchor_id
+WHERE NOT s.same AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) <= 5
 """,
 }

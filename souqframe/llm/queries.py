@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as queries over the given tables, and SQL for those that it can express."""
+"""The thirteen operators and the pipeline as queries over the given tables, and SQL for those that it can express."""
 
 from collections.abc import Callable
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from souqframe.llm import (
     bpe,
     decontaminate,
+    hard_negatives,
     language_id,
     licenses,
     line_dedup,
@@ -16,6 +17,7 @@ from souqframe.llm import (
     quality_rules,
     secret_scan,
     sequence_score,
+    token_alignment,
     token_counts,
 )
 from souqframe.llm.oracle import ORACLE_SQL
@@ -24,6 +26,7 @@ from souqframe.sources.workspace import workspace
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+WORDS, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def vocabulary() -> tuple[str, str]:
@@ -109,6 +112,26 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector among all of them; every seventh label is moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(
+        _table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, workspace(spark), label=label
+    )
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers cut every text, and how usual their pairs of ids are."""
+    import public_tokenizers
+
+    return token_alignment.align_tokenizers(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path(WORDS),
+        public_tokenizers.path(PIECES),
+        workspace(spark),
+    )
+
+
 def op13_sequence_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How likely every text is, learned from nine tenths of them."""
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(True))
@@ -134,6 +157,8 @@ def queries() -> dict[str, Query]:
         op8_language_id,
         op9_secret_scan,
         op10_license_scan,
+        op11_hard_negatives,
+        op12_token_alignment,
         op13_sequence_score,
         pipeline,
     ]
