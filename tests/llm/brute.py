@@ -1,6 +1,10 @@
 """Plain versions of what the queries return."""
 
+import hashlib
+import math
 import re
+from collections import Counter
+from itertools import accumulate, product
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -74,3 +78,103 @@ def edit_places(item, words):
             row.append(min(before[j - 1] + (word != other), before[j] + 1, row[j - 1] + 1))
         before = row
     return min(before)
+
+
+def hard_negatives(rows, percent=80):
+    """[(anchor, positive, rank, negative, positive's score, negative's score)] of (id, label, vector), all pairs scored."""
+    taking = []
+    for id, label, vector in rows:
+        if id is None or label is None or vector is None:
+            continue
+        if any(x is None or x != x or abs(x) == float("inf") for x in vector):
+            continue
+        taking.append((id, (label + 1) % 10 if id % 7 == 0 else label, [math.floor(256 * x) for x in vector]))
+    out = []
+    anchors = {(id, label, tuple(vector)) for id, label, vector in taking if id % 100 == 0}
+    for anchor, own, vector in sorted(anchors):
+        scored = [
+            (-sum(x * y for x, y in zip(vector, other, strict=False)), id, label)
+            for id, label, other in taking
+            if id != anchor
+        ]
+        positives = sorted((s, id) for s, id, label in scored if label == own)[:5]
+        negatives = sorted((s, id) for s, id, label in scored if label != own)
+        for top, positive in positives:
+            inside = [(-s, id) for s, id in negatives if percent * -top <= 100 * -s <= 100 * -top][:5]
+            out += [(anchor, positive, rank, id, -top, s) for rank, (s, id) in enumerate(inside, start=1)]
+    return sorted(out)
+
+
+def alignments(texts, encode_a, bytes_a, encode_b, bytes_b):
+    """(n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of each text; whole texts encoded, every row counted."""
+    found, counts = [], Counter()
+    for text in texts:
+        a, b = (encode_a(" " + text), encode_b(text)) if text else ([], [])
+        parts = [[bytes_a(i) for i in a], [bytes_b(i) for i in b]]
+        if not text or any(b"".join(part) != (" " + text).encode() for part in parts):
+            found.append(([], "", 0, 0, 0))
+            continue
+        owners = [[i for i, token in enumerate(part) for _ in token] for part in parts]
+        links = list(dict.fromkeys(zip(*owners, strict=True)))
+        groups, first, last = [], (0, 0), [len(a), len(b)]
+        ends = [set(accumulate(map(len, part))) for part in parts]
+        for cut in sorted(ends[0] & ends[1]):
+            last = [owner[cut - 1] + 1 for owner in owners]
+            groups.append(
+                ",".join(map(str, a[first[0] : last[0]])) + "|" + ",".join(map(str, b[first[1] : last[1]]))
+            )
+            first = last
+        pairs = [(a[i], b[j]) for i, j in links]
+        counts.update(pairs)
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+        found.append((pairs, digest, len(a), len(b), len(groups)))
+    most = {}
+    for (_, b), count in counts.items():
+        most[b] = max(most.get(b, 0), count)
+    return [
+        (n_a, n_b, n_groups, len(pairs), sum(counts[p] == most[p[1]] for p in pairs), sum(counts[p] for p in pairs), digest)
+        for pairs, digest, n_a, n_b, n_groups in found
+    ]
+
+
+def markov_likelihood(first, moves, symbols, sequence):
+    """The probability of a short sequence, all ways through the states added up."""
+    total = 0.0
+    for way in product(range(len(first)), repeat=len(sequence)):
+        chance = first[way[0]]
+        for i, (state, symbol) in enumerate(zip(way, sequence, strict=True)):
+            chance *= symbols[symbol][state] * (moves[way[i - 1]][state] if i else 1)
+        total += chance
+    return total
+
+
+def markov_counts(first, moves, symbols, sequence):
+    """Expected counts of first states, moves and (symbol, state), all ways weighted by their share."""
+    begun, moved, shown, whole = Counter(), Counter(), Counter(), 0.0
+    for way in product(range(len(first)), repeat=len(sequence)):
+        chance = first[way[0]]
+        for i, (state, symbol) in enumerate(zip(way, sequence, strict=True)):
+            chance *= symbols[symbol][state] * (moves[way[i - 1]][state] if i else 1)
+        whole += chance
+        begun[way[0]] += chance
+        for one, other in zip(way, way[1:], strict=False):
+            moved[one, other] += chance
+        for state, symbol in zip(way, sequence, strict=True):
+            shown[symbol, state] += chance
+    return [{key: value / whole for key, value in counts.items()} for counts in (begun, moved, shown)]
+
+
+def unigram_scores(texts, held_out):
+    """(n_tokens, n_known, train_tokens, base_score) of each text."""
+    words = [(text or "").encode().lower().split() + [None] for text in texts]
+    counts = Counter(word for text, held in zip(words, held_out, strict=True) if not held for word in text)
+    total, kinds = sum(counts.values()), len(counts)
+    return [
+        (
+            len(text),
+            sum(counts[word] > 0 for word in text),
+            total,
+            sum(math.log10((counts[word] + 0.1) / (total + 0.1 * (kinds + 1))) for word in text),
+        )
+        for text in words
+    ]
