@@ -13,6 +13,8 @@ import numpy as np
 
 GROUP = 1 << 19  # symbols of a group of sequences, about; a longer sequence ends its group
 STRETCH = 1 << 19  # symbols whose states are held while looking back
+LONG = 1 << 11  # symbols of a sequence from which on it is long
+WAITING = 1 << 22  # symbols of long sequences that wait for each other
 EVERY = 8  # steps from one scaling to the next
 SMOOTH = 0.1  # added to each expected count
 
@@ -63,14 +65,14 @@ def estimate(counts: Counts) -> Model:
     return Model(first / first.sum(), moves / moves.sum(axis=1, keepdims=True), symbols / symbols.sum(axis=0))
 
 
-def _groups(lengths: np.ndarray) -> Iterator[np.ndarray]:
-    """Sequences in groups of similar length, longest first."""
+def _groups(lengths: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """Sequences in groups of similar length, longest first; empty ones are left out."""
     order = np.argsort(-lengths, kind="stable")
     at, total = 0, 0
     order = order[lengths[order] > 0]
     for end, length in enumerate(lengths[order].tolist(), start=1):
         total += length
-        if total >= GROUP:
+        if total >= size:
             yield order[at:end]
             at, total = end, 0
     if at < len(order):
@@ -130,7 +132,7 @@ def _ends(group: _Group, first: int, last: int) -> tuple[slice, np.ndarray]:
 def likelihoods(model: Model, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The natural logarithm of each sequence's probability; the sequences stand one behind the other."""
     starts, found = lengths.cumsum() - lengths, np.zeros(len(lengths))
-    for which in _groups(lengths):
+    for which in _groups(lengths, GROUP):
         group, before, total = _Group(symbols, starts[which], lengths[which]), None, np.zeros(len(which))
         for first, last in group.stretches():
             seen = model.symbols[group.symbols[group.reach[first] : group.reach[last]]]
@@ -144,13 +146,41 @@ def likelihoods(model: Model, symbols: np.ndarray, lengths: np.ndarray) -> np.nd
     return found
 
 
-def count(model: Model, symbols: np.ndarray, lengths: np.ndarray, counts: Counts) -> None:
+def count(model: Model, symbols: np.ndarray, lengths: np.ndarray, counts: Counts, group: int | None = None) -> None:
     """Adds the sequences' expected counts under the model to `counts`."""
     starts = lengths.cumsum() - lengths
-    for which in _groups(lengths):
+    for which in _groups(lengths, group or GROUP):
         _count_group(model, _Group(symbols, starts[which], lengths[which]), counts)
 
 
+class Counter:
+    """Counts sequences as they come. Long ones wait for others, as a step takes as long for one as for many."""
+
+    def __init__(self, model: Model, symbols: int):
+        self.model, self.counts = model, Counts.none(model.states, symbols)
+        self.waiting, self.size = [], 0
+
+    def add(self, symbols: np.ndarray, lengths: np.ndarray) -> None:
+        long = lengths > LONG
+        which = np.repeat(long, lengths)
+        count(self.model, symbols[~which], lengths[~long], self.counts)
+        if long.any():
+            self.waiting.append((symbols[which], lengths[long]))
+            self.size += int(lengths[long].sum())
+            if self.size > WAITING:
+                self._count_waiting()
+
+    def _count_waiting(self) -> None:
+        if self.waiting:
+            symbols, lengths = map(np.concatenate, zip(*self.waiting, strict=True))
+            count(self.model, symbols, lengths, self.counts, len(symbols))
+            self.waiting, self.size = [], 0
+
+    def result(self) -> Counts:
+        self._count_waiting()
+        return self.counts
+
+
 def _count_group(model: Model, group: _Group, counts: Counts) -> None:
     reach, going, stretches = group.reach, group.going, group.stretches()
     before, borders, held = None, [], None

@@ -2,7 +2,7 @@
 
 A word is drawn in two steps: the latent state gives one of CLASSES classes, the class gives the word.
 The classes are hashes of the words, so the model that is sent around has a fixed size whatever the
-vocabulary; the words within the classes are counted over the whole vocabulary, which is joined and
+vocabulary; the words within the classes are counted over the whole vocabulary, which is shuffled and
 never sent. The second step does not depend on the state, so the probability of a text is that of its
 classes, by the forward recursion, times that of its words within their classes: nothing is approximated.
 
@@ -24,6 +24,7 @@ from pyspark.sql.types import (
     BinaryType,
     BooleanType,
     DoubleType,
+    FloatType,
     IntegerType,
     LongType,
     StructField,
@@ -31,7 +32,7 @@ from pyspark.sql.types import (
 )
 
 from souqframe.llm import hidden_markov as markov
-from souqframe.llm.chunks import ChunkNumbers, Numbering, answers, gather, one_list
+from souqframe.llm.chunks import ChunkNumbers, Numbering, answers, compact, gather, numbers_in, one_list, with_totals
 
 CLASSES = 1 << 15
 STATES = 8
@@ -71,10 +72,10 @@ class _Words:
         return {
             "lengths": [len(text) for text in self.texts],
             "taught": self.taught,
-            "ids": np.concatenate(self.texts).tobytes(),
+            "ids": compact(np.concatenate(self.texts)),
             "words": list(self.numbers),
             "counts": counts,
-            "classes": np.fromiter((crc32(word) % classes for word in self.numbers), np.int32).tobytes(),
+            "classes": compact(np.fromiter((crc32(word) % classes for word in self.numbers), np.int64)),
         }
 
 
@@ -116,10 +117,10 @@ def _sequences(batch: pa.RecordBatch, classes: int) -> Iterator[tuple[np.ndarray
     for number in range(len(batch)):
         row = {name: batch.column(name)[number] for name in batch.schema.names}
         lengths = row["lengths"].values.to_numpy()
-        ids, class_of = (np.frombuffer(row[name].as_buffer(), np.int32) for name in ("ids", "classes"))
+        ids, class_of = numbers_in(row["ids"]), numbers_in(row["classes"]).astype(np.int32)
         symbols = np.insert(class_of[ids], lengths.cumsum(), classes)
         taught = row["taught"].values.to_numpy(zero_copy_only=False)
-        yield symbols.astype(np.int32), lengths + 1, taught, row | {"ids": ids}
+        yield symbols, lengths + 1, taught, row | {"ids": ids, "classes": class_of}
 
 
 def _train(chunks: DataFrame, symbol_counts: np.ndarray, states: int, rounds: int) -> markov.Model:
@@ -127,17 +128,18 @@ def _train(chunks: DataFrame, symbol_counts: np.ndarray, states: int, rounds: in
     spark, classes = chunks.sparkSession, len(symbol_counts) - 1
     model = markov.start(symbol_counts, states)
     names = [f"s{state}" for state in range(states)]
-    schema = StructType([StructField("symbol", LongType()), *[StructField(name, DoubleType()) for name in names]])
+    schema = StructType([StructField("symbol", LongType()), *[StructField(name, FloatType()) for name in names]])
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            counts = markov.Counts.none(states, classes + 1)
+            counter = markov.Counter(sent.value, classes + 1)
             for batch in batches:
                 for symbols, lengths, taught, _ in _sequences(batch, classes):
-                    markov.count(sent.value, symbols[np.repeat(taught, lengths)], lengths[taught], counts)
+                    counter.add(symbols[np.repeat(taught, lengths)], lengths[taught])
+            counts = counter.result()
             # Symbols, then a row for the first states and one for each state that is moved from.
-            rows = np.concatenate([counts.symbols, counts.first[None, :], counts.moves])
+            rows = np.concatenate([counts.symbols, counts.first[None, :], counts.moves]).astype(np.float32)
             used = np.flatnonzero(rows.any(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used), *[pa.array(rows[used, state]) for state in range(states)]], ["symbol", *names]
@@ -173,7 +175,7 @@ def score_texts(
     `held_out` must not be null. A null text counts as an empty one, whose only token is the end. Rows that
     come again teach and are scored as often. Other columns are not read, and of `keep` those named like
     a result are left out. With nothing to learn from, all classes are equally likely. An empty table
-    gives no rows. `folder` is where the chunks and the vocabulary are written.
+    gives no rows. `folder` is where the chunks and the words' counts are written.
     """
     spark = df.sparkSession
     new = {field.name.lower() for field in RESULTS} | {"held_out"}
@@ -185,13 +187,13 @@ def score_texts(
     entries = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "entry")).select(
         "chunk", "place", F.col("entry.words").alias("word"), F.col("entry.counts").alias("n")
     )
-    entries.where("n > 0").groupBy("word").agg(F.sum("n").alias("n")).write.parquet(f"{folder}/vocabulary")
-    vocabulary = spark.read.parquet(f"{folder}/vocabulary")
+    with_totals(entries, ["word"], "n").select(
+        "chunk", "place", F.col("total").alias("n"), "first", (F.crc32("word") % classes).alias("class")
+    ).write.parquet(f"{folder}/totals")
+    totals = spark.read.parquet(f"{folder}/totals").where("n > 0")
 
     # A row for each class, and one number of texts.
-    by_class = vocabulary.groupBy((F.crc32("word") % classes).alias("class")).agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")
-    )
+    by_class = totals.where("first").groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words"))
     found = by_class.toArrow()
     of_class, words_of_class = np.zeros(classes + 1), np.zeros(classes + 1)
     of_class[found["class"].to_numpy()] = found["n"].to_numpy()
@@ -201,7 +203,7 @@ def score_texts(
     total, kinds = int(of_class.sum()), int(words_of_class.sum())
 
     model = _train(chunks, of_class, states, rounds)
-    known = answers(entries.select("chunk", "place", "word"), vocabulary, ["word"], ["n"])
+    known = answers(totals, ["n"])
     sent = spark.sparkContext.broadcast((model, of_class + ADDED * (words_of_class + 1)))
     everything, end_known = total + ADDED * (kinds + 1), texts > 0
     end_score = math.log10((texts + ADDED) / everything)
@@ -213,7 +215,7 @@ def score_texts(
         model, of_class = sent.value
         for batch in batches:
             for symbols, lengths, _, row in _sequences(batch, classes):
-                ids, class_of = row["ids"], np.frombuffer(row["classes"].as_buffer(), np.int32)
+                ids, class_of = row["ids"], row["classes"]
                 counts = np.zeros(len(class_of))
                 if row["places"].is_valid:
                     counts[row["places"].values.to_numpy()] = row["n"].values.to_numpy()
