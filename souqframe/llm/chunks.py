@@ -83,10 +83,7 @@ def with_totals(entries: DataFrame, key: list[str], amount: str) -> DataFrame:
     """
     same = Window.partitionBy(*key)
     return entries.withColumns(
-        {
-            "total": F.sum(amount).over(same),
-            "first": F.row_number().over(same.orderBy("chunk")) == 1,
-        }
+        {"total": F.sum(amount).over(same), "first": F.min("chunk").over(same) == F.col("chunk")}
     )
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 
 GROUP = 1 << 19  # symbols of a group of sequences, about; a longer sequence ends its group
-STRETCH = 1 << 19  # symbols whose states are held while looking back
+STRETCH = 1 << 16  # symbols whose states are held while looking back, few enough for a processor's cache
 LONG = 1 << 11  # symbols of a sequence from which on it is long
 WAITING = 1 << 22  # symbols of long sequences that wait for each other
 EVERY = 8  # steps from one scaling to the next

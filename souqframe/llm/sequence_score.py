@@ -38,7 +38,7 @@ CLASSES = 1 << 15
 STATES = 8
 ROUNDS = 5  # of Baum-Welch
 ADDED = 0.1  # to the count of each word and of one that is not known
-CHUNK = 1 << 19  # tokens of a chunk, about; a text is never split
+CHUNK = 1 << 20  # tokens of a chunk, about; a text is never split
 ROWS = 1 << 15  # rows of results at once
 
 RESULTS = [
