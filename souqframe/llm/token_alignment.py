@@ -1,21 +1,19 @@
 """Two tokenizers aligned on the same bytes, and which of their ids belong together in the whole corpus.
 
 Texts are shuffled by their full text, so that each distinct one is tokenised and aligned once and its
-pairs of ids count as often as it has copies. At a single blank between two other characters both
-tokenizers start a token, whatever stands around it: the pre-tokenizer of the byte-level one does, and no
-piece of the other one has a blank behind anything else. So a text is tokenised part by part between such
-blanks, and what is known of a part is remembered.
+pairs of ids count as often as it has copies. Between two neighbouring places where a token of either
+tokenizer ends lie bytes of one token of each, so the places are the links, and the alignment of a text is
+a few operations on arrays.
 
-Texts are written down in chunks with the numbers of their parts. Counts of pairs then move as a row for
+Texts are written down in chunks that number their pairs of ids. Counts of pairs then move as a row for
 each chunk and pair, and so do the answers: how often a pair is linked, and whether it is its id's best.
 """
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from souqframe.llm.chunks import ChunkNumbers, Numbering, answers, compact, gather, numbers_in, one_list, with_totals
+from souqframe.llm.chunks import ChunkNumbers, answers, compact, gather, numbers_in, one_list, with_totals
 from souqframe.llm.rows import once
 
-CHUNK = 1 << 19  # parts of texts in a chunk, about; a text is never split
-PARTS = 150_000  # that a worker remembers
-SHORT = 64  # characters of the longest part that is remembered
+CHUNK = 1 << 20  # links of a chunk, about; a text is never split
 ROWS = 1 << 15  # rows of results at once
 
-BETWEEN = re.compile(r" (?<=\S )(?=\S)")
+# Characters that all engines of regular expressions put into the same classes.
+ODD = re.compile(r"[^\t\n\r\x20-\x7e\u00a1-\u024f\u2010-\u2027\u2030-\u205e]")
 MEASURES = ["n_a", "n_b", "n_groups", "n_links"]
 
 
@@ -43,8 +40,26 @@ def byte_letters() -> dict[str, int]:
     return {chr(byte): byte for byte in seen} | {chr(256 + place): byte for place, byte in enumerate(rest)}
 
 
-class ByteTokens:
-    """The byte-level tokenizer: ids of texts, a blank put before each, and the bytes of each id."""
+class Tokens:
+    """What the ids of a vocabulary are: their bytes, how many those are, and their numbers as text."""
+
+    def __init__(self, entries: dict[int, bytes]):
+        size = max(entries) + 1
+        self.bytes = [entries.get(number, b"") for number in range(size)]
+        self.lengths = np.fromiter(map(len, self.bytes), np.int64, size)
+        self.inner, self.last = (
+            np.array([f"{number}{behind}" for number in range(size)], object) for behind in (",", self.LAST)
+        )
+
+
+class ByteTokens(Tokens):
+    """The byte-level tokenizer: ids of texts, a blank put before each.
+
+    Where the ids of its entries are in the order of their merges, they are ranks, and a text of usual
+    characters is encoded by those; others go through the tokenizer itself, which is slower.
+    """
+
+    LAST = "|"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
@@ -54,129 +69,108 @@ class ByteTokens:
         self.tokenizer.encode_special_tokens = True
         letters = byte_letters()
         special = {number for number, token in self.tokenizer.get_added_tokens_decoder().items() if token.special}
-        self.bytes = {
+        entries = {
             number: entry.encode() if number in special else bytes(letters[letter] for letter in entry)
             for entry, number in self.tokenizer.get_vocab(with_added_tokens=True).items()
         }
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)
-        return [tokens.ids for tokens in found]
-
-
-class PieceTokens:
+        super().__init__(entries)
+        self.by_rank = self._by_rank(path, {entry: n for n, entry in entries.items() if n not in special})
+
+    def _by_rank(self, path: str, ranks: dict[bytes, int]):
+        """The same vocabulary by ranks, if that is the same, else None."""
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            held = json.load(file)
+        merges = [merge.split(" ") if isinstance(merge, str) else merge for merge in held["model"]["merges"]]
+        made = [held["model"]["vocab"]["".join(merge)] for merge in merges]
+        before = held.get("pre_tokenizer") or {}
+        usual = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        if not usual or held.get("normalizer") or made != sorted(made) or len(ranks) != 256 + len(made):
+            return None
+        return tiktoken.Encoding(
+            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+
+    def encode(self, text: str) -> list[int]:
+        if self.by_rank is not None and not ODD.search(text):
+            return self.by_rank.encode_ordinary(f" {text}")
+        return self.tokenizer.encode_batch_fast([f" {text}"], add_special_tokens=False)[0].ids
+
+
+class PieceTokens(Tokens):
     """The tokenizer of pieces, which puts a blank before a text itself."""
 
+    LAST = ";"
+
     def __init__(self, path: str):
         import sentencepiece
 
         self.processor = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.bytes = {}
+        entries = {}
         for number in range(self.processor.get_piece_size()):
             piece = self.processor.id_to_piece(number)
             is_byte = self.processor.is_byte(number)
-            self.bytes[number] = bytes((int(piece[1:-1], 16),)) if is_byte else piece.replace("▁", " ").encode()
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.processor.encode(texts, num_threads=1)
-
-
-@dataclass(frozen=True, slots=True)
-class Aligned:
-    """A part of a text: counts of tokens and groups, its links in order, and its groups as text."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    links: list[int]  # the first id, 32 bits, the second one
-    groups: str
-
-
-class Aligner:
-    """Aligns parts of texts; short ones are remembered until there are too many."""
-
-    def __init__(self, a, b):
-        self.a, self.b, self.known = a, b, {}
-
-    def align(self, parts: list[str]) -> Iterator[Aligned | None]:
-        """The alignment of each part, or None where the tokens are not its bytes."""
-        for part, a, b in zip(parts, self.a.encode(parts), self.b.encode(parts), strict=True):
-            bytes_a, bytes_b = [self.a.bytes[number] for number in a], [self.b.bytes[number] for number in b]
-            same = b"".join(bytes_a) == b"".join(bytes_b) == b" " + part.encode()
-            yield aligned(a, list(map(len, bytes_a)), b, list(map(len, bytes_b))) if same else None
-
-    def of(self, parts: list[str]) -> list[Aligned | None]:
-        if len(self.known) > PARTS:
-            self.known = {}
-        missing = [part for part in parts if part not in self.known]
-        fresh = dict(zip(missing, self.align(missing), strict=True))
-        found = [fresh[part] if part in fresh else self.known[part] for part in parts]
-        self.known |= {part: whole for part, whole in fresh.items() if len(part) <= SHORT}
-        return found
-
-
-def aligned(a: list[int], lengths_a: list[int], b: list[int], lengths_b: list[int]) -> Aligned:
-    """Walks along both sequences of tokens, which have the same bytes: each step is a link."""
-    links, groups, i, j, first_i, first_j = [], [], 0, 0, 0, 0
-    end_a, end_b = (lengths[0] if lengths else 0 for lengths in (lengths_a, lengths_b))
-    while i < len(a):
-        links.append(a[i] << 32 | b[j])
-        step_a, step_b = end_a <= end_b, end_b <= end_a
-        if step_a and step_b:
-            one, other = a[first_i : i + 1], b[first_j : j + 1]
-            groups.append(f"{','.join(map(str, one))}|{','.join(map(str, other))}")
-            first_i, first_j = i + 1, j + 1
-        if step_a:
-            i += 1
-            end_a += lengths_a[i] if i < len(a) else 0
-        if step_b:
-            j += 1
-            end_b += lengths_b[j] if j < len(b) else 0
-    return Aligned(len(a), len(b), len(groups), links, ";".join(groups))
+            entries[number] = bytes((int(piece[1:-1], 16),)) if is_byte else piece.replace("▁", " ").encode()
+        super().__init__(entries)
+
+    def encode(self, text: str) -> list[int]:
+        return self.processor.encode([text], num_threads=1)[0]
+
+
+def align(text: str, a: Tokens, b: Tokens) -> tuple[int, int, int, np.ndarray, str] | None:
+    """Counts of tokens and groups, the links (first id, 32 bits, second id) and the groups as text.
+
+    None where the tokens of either are not the text's bytes behind a blank.
+    """
+    ids, whole = (a.encode(text), b.encode(text)), f" {text}".encode()
+    if any(b"".join([of.bytes[n] for n in own]) != whole for own, of in zip(ids, (a, b), strict=True)):
+        return None
+    ids_a, ids_b = (np.array(own, np.int64) for own in ids)
+    ends_a, ends_b = a.lengths[ids_a].cumsum(), b.lengths[ids_b].cumsum()
+    of_b = np.searchsorted(ends_b, ends_a)  # the token of b that holds the last byte of each of a
+    cut_a = ends_b[of_b] == ends_a
+    of_a = np.searchsorted(ends_a, ends_b)
+    cut_b = ends_a[of_a] == ends_b
+    # Each end is a link; one that both have counts once.
+    link_b = ids_a[of_a[~cut_b]] << 32 | ids_b[~cut_b]
+    links = np.concatenate([ids_a << 32 | ids_b[of_b], link_b])
+    groups_a, groups_b = cut_a.cumsum() - cut_a, cut_b.cumsum() - cut_b
+    order = np.argsort(np.concatenate([2 * groups_a, 2 * groups_b + 1]), kind="stable")
+    names = np.concatenate(
+        [
+            np.where(cut_a, a.last[ids_a], a.inner[ids_a]),
+            np.where(cut_b, b.last[ids_b], b.inner[ids_b]),
+        ]
+    )
+    return len(ids_a), len(ids_b), int(cut_a.sum()), links, "".join(names[order].tolist())[:-1]
 
 
 class _Texts:
-    """Distinct texts of a chunk: the numbers of their parts, and what can be said of them at once."""
+    """Distinct texts of a chunk: their measures, and their links by the numbers of the chunk's pairs."""
 
-    def __init__(self, aligner: Aligner):
-        self.aligner, self.numbers = aligner, Numbering()
-        self.parts: list[Aligned | None] = []
-        self.texts, self.copies, self.digests = [], [], []
+    def __init__(self, a: Tokens, b: Tokens):
+        self.a, self.b = a, b
+        self.measures, self.links, self.copies, self.digests = [], [], [], []
 
     def add(self, text: str, copies: int) -> int:
-        ids = self.numbers.of(BETWEEN.split(text))
-        new = list(islice(reversed(self.numbers), len(self.numbers) - len(self.parts)))
-        self.parts += self.aligner.of(new[::-1])
-        found = [self.parts[number] for number in ids.tolist()]
-        if None in found:
-            self.texts.append(ids[:0])
-            self.digests.append("")
-        else:
-            self.texts.append(ids)
-            whole = ";".join([part.groups for part in found])
-            self.digests.append(hashlib.sha256(whole.encode()).hexdigest())
+        found = align(text, self.a, self.b)
+        *counts, links, groups = found or (0, 0, 0, np.empty(0, np.int64), None)
+        self.measures.append((*counts, len(links)))
+        self.links.append(links)
         self.copies.append(copies)
-        return len(ids) + 1
+        self.digests.append("" if groups is None else hashlib.sha256(groups.encode()).hexdigest())
+        return len(links) + 1
 
     def row(self) -> dict:
-        lengths = np.array([len(ids) for ids in self.texts], np.int64)
-        ids = np.concatenate(self.texts)
-        text = np.repeat(np.arange(len(lengths)), lengths)
-        row = {"lengths": lengths.astype(np.int32), "ids": compact(ids), "groups_sha256": self.digests}
-        for name in MEASURES:
-            of_part = [0 if p is None else len(p.links) if name == "n_links" else getattr(p, name) for p in self.parts]
-            of_text = np.bincount(text, np.array(of_part, float)[ids], len(lengths))
-            row[name] = of_text.astype(np.int64)
-        # The links of the parts, one part behind the other, as numbers of the chunk's pairs.
-        used = np.bincount(ids, np.array(self.copies, float)[text], len(self.parts)).astype(np.int64)
-        links = [[] if part is None or not used[number] else part.links for number, part in enumerate(self.parts)]
-        sizes = np.fromiter(map(len, links), np.int64, len(links))
-        flat = np.array([pair for part in links for pair in part], np.int64)
-        pairs, place = np.unique(flat, return_inverse=True)
+        lengths = np.fromiter(map(len, self.links), np.int64, len(self.links))
+        pairs, place = np.unique(np.concatenate(self.links), return_inverse=True)
         weights = np.zeros(len(pairs), np.int64)
-        np.add.at(weights, place, np.repeat(used, sizes))
-        return row | {
-            "sizes": compact(sizes),
+        np.add.at(weights, place, np.repeat(np.array(self.copies, np.int64), lengths))
+        return {
+            **dict(zip(MEASURES, np.array(self.measures, np.int64).T, strict=True)),
+            "groups_sha256": self.digests,
             "links": compact(place),
             "a": (pairs >> 32).astype(np.int32),
             "b": (pairs & 0xFFFFFFFF).astype(np.int32),
@@ -190,11 +184,8 @@ def _chunked(distinct: DataFrame, path_a: str, path_b: str) -> DataFrame:
         [
             StructField("chunk", LongType()),
             StructField("digests", ArrayType(StringType())),
-            StructField("lengths", ArrayType(IntegerType())),
-            StructField("ids", BinaryType()),
             *[StructField(name, ArrayType(LongType())) for name in MEASURES],
             StructField("groups_sha256", ArrayType(StringType())),
-            StructField("sizes", BinaryType()),
             StructField("links", BinaryType()),
             StructField("a", ArrayType(IntegerType())),
             StructField("b", ArrayType(IntegerType())),
@@ -204,9 +195,9 @@ def _chunked(distinct: DataFrame, path_a: str, path_b: str) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = once(("align", path_a, path_b), lambda: Aligner(ByteTokens(path_a), PieceTokens(path_b)))
+        a, b = once(("align", path_a, path_b), lambda: (ByteTokens(path_a), PieceTokens(path_b)))
         number = ChunkNumbers()
-        for collector, digests in gather(batches, CHUNK, lambda: _Texts(aligner)):
+        for collector, digests in gather(batches, CHUNK, lambda: _Texts(a, b)):
             row = {"chunk": number(), **collector.row()}
             columns = [
                 one_list(digests, field.type) if field.name == "digests" else pa.array([row[field.name]], field.type)
@@ -229,18 +220,15 @@ def _measured(chunks: DataFrame) -> DataFrame:
         for batch in batches:
             for place in range(len(batch)):
                 row = {name: batch.column(name)[place] for name in batch.schema.names}
-                ids, sizes, links = (numbers_in(row[name]) for name in ("ids", "sizes", "links"))
-                lengths = row["lengths"].values.to_numpy()
+                links, lengths = numbers_in(row["links"]), row["n_links"].values.to_numpy()
                 text = np.repeat(np.arange(len(lengths)), lengths)
-                part = np.repeat(np.arange(len(sizes)), sizes)
                 sums = []
                 for name in ("best", "count"):
                     of_pair = np.zeros(int(links.max(initial=0)) + 1, np.int64)
                     if row["places"].is_valid:
                         of_pair[row["places"].values.to_numpy()] = row[name].values.to_numpy(zero_copy_only=False)
-                    of_part, of_text = np.zeros(len(sizes), np.int64), np.zeros(len(lengths), np.int64)
-                    np.add.at(of_part, part, of_pair[links])
-                    np.add.at(of_text, text, of_part[ids])
+                    of_text = np.zeros(len(lengths), np.int64)
+                    np.add.at(of_text, text, of_pair[links])
                     sums.append(of_text)
                 measures = [row[name].values for name in MEASURES]
                 columns = [row["digests"].values, *measures, *map(pa.array, sums), row["groups_sha256"].values]
