@@ -9,7 +9,6 @@ around it, with free ends, decides. A short item may not differ at all: it is on
 
 import re
 import unicodedata
-from collections.abc import Iterator
 from uuid import uuid4
 
 import ahocorasick
@@ -17,11 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
-from souqframe.llm.rows import map_texts, once, unused
+from souqframe.llm.rows import map_texts, once
+from souqframe.sources.workspace import workspace
 
 MOST_CHANGED = 0.2  # share of an item's words that may differ
 LEAST_WORDS = 8  # items with fewer words are found only as they stand
-BLOCK_BYTES = 8 << 20  # item texts that are sent to the workers at a time
+BLOCK_BYTES = 8 << 20  # of a test set that is sent to the workers
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -80,6 +80,25 @@ def least_distance(item: list[str], words: list[str], most: int) -> tuple[int, i
     return best
 
 
+def errors_of(words: list[str], most_changed: float) -> int:
+    """How many words of an item may differ."""
+    return int(len(words) * most_changed) if len(words) >= LEAST_WORDS else 0
+
+
+def occurs(item: list[str], errors: int, starts: list[int], words: list[str]) -> bool:
+    """Whether the item is within its errors near one of the ascending starts. Starts that are close share a stretch."""
+    i = 0
+    while i < len(starts):
+        j = i
+        while j + 1 < len(starts) and starts[j + 1] - starts[j] <= len(item) + 2 * errors:
+            j += 1
+        stretch = words[max(0, starts[i] - errors) : max(0, starts[j] + len(item) + errors)]
+        if least_distance(item, stretch, errors) is not None:
+            return True
+        i = j + 1
+    return False
+
+
 class Finder:
     """The items that whole texts contain."""
 
@@ -92,7 +111,7 @@ class Finder:
             words = words_of(text)
             if not words:
                 continue
-            errors = int(len(words) * most_changed) if len(words) >= LEAST_WORDS else 0
+            errors = errors_of(words, most_changed)
             self.items[place] = number, words, errors
             for first, piece in pieces_of(words, errors):
                 places, whole = pieces.setdefault(f" {' '.join(piece)} ", ([], set()))
@@ -124,37 +143,9 @@ class Finder:
             at = start
             for place, first in places:
                 hits.setdefault(place, set()).add(seen - first)
-        found = (place for place, starts in hits.items() if self._occurs(place, sorted(starts), words))
+        found = (place for place, starts in hits.items() if occurs(*self.items[place][1:], sorted(starts), words))
         return sorted(numbers.union(self.items[place][0] for place in found))
 
-    def _occurs(self, place: int, starts: list[int], words: list[str]) -> bool:
-        """Whether the item is within its errors near one of the starts. Starts that are close share a stretch."""
-        _, item, errors = self.items[place]
-        i = 0
-        while i < len(starts):
-            j = i
-            while j + 1 < len(starts) and starts[j + 1] - starts[j] <= len(item) + 2 * errors:
-                j += 1
-            stretch = words[max(0, starts[i] - errors) : max(0, starts[j] + len(item) + errors)]
-            if least_distance(item, stretch, errors) is not None:
-                return True
-            i = j + 1
-        return False
-
-
-def _blocks(items: DataFrame, id: str, text: str) -> Iterator[list[tuple[int, str]]]:
-    """The items, in blocks of at most BLOCK_BYTES of text (or one item), partition by partition."""
-    block, size = [], 0
-    rows = items.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    for row in rows.where("id IS NOT NULL AND text IS NOT NULL").toLocalIterator():
-        more = len(row["text"].encode())
-        if block and size + more > BLOCK_BYTES:
-            yield block
-            block, size = [], 0
-        block.append((row["id"], row["text"]))
-        size += more
-    yield block
-
 
 def contaminated(
     df: DataFrame,
@@ -164,28 +155,33 @@ def contaminated(
     item_id: str = "item_id",
     item_text: str = "text",
     most_changed: float = MOST_CHANGED,
+    folder: str | None = None,
 ) -> DataFrame:
     """Every row's columns `keep` (default doc_id) and item_ids: the items its whole text contains, ascending.
 
-    A null or empty text contains none. Items that are null, or have no id or no word, are found nowhere,
-    and those of fewer than LEAST_WORDS words where all their words stand one after the other; an id that
-    comes repeatedly is found by any of its texts. The test set goes to the workers in blocks of bounded size, and the texts pass one block after the other. One row
-    comes out for each row that goes in; a kept column named item_ids is left out.
+    A null or empty text contains none, a long one is searched as a whole. Items that are null, or have no
+    id or no word, are found nowhere, and those of fewer than LEAST_WORDS words where all their words stand
+    one after the other; an id that comes repeatedly is found by any of its texts. An empty test set is
+    found nowhere. One row comes out for each row that goes in, so rows that come again come out as often;
+    a kept column named item_ids is left out, others that are not kept are not read.
+
+    The test set's bytes are counted first. Up to BLOCK_BYTES it is sent to the workers, and the texts need
+    no shuffle; a larger one is met by a join of piece hashes, with intermediate tables in `folder` (default: one of its own in the shared folder).
     """
     spark = df.sparkSession
-    keep = keep or ["doc_id"]
-    out, found = df, []
-    for block in _blocks(items, item_id, item_text):
-        sent, key = spark.sparkContext.broadcast(block), uuid4().hex
-
-        def make(sent=sent, key=key):
-            finder = once(("items", key), lambda: Finder(sent.value, most_changed))
-            return lambda value: (finder.find(value),)
-
-        name = unused(out, "item_ids")
-        columns = list(dict.fromkeys([*keep, *found, text]))
-        out = map_texts(out, text, columns, make, [StructField(name, ArrayType(LongType()))])
-        found.append(name)
-    kept = [F.col(f"`{name}`") for name in keep if name.lower() != "item_ids"]
-    together = F.array_sort(F.array_distinct(F.concat(*[F.col(f"`{name}`") for name in found])))
-    return out.select(*kept, together.alias("item_ids"))
+    keep = [name for name in keep or ["doc_id"] if name.lower() != "item_ids"]
+    rows = items.select(
+        F.col(f"`{item_id}`").cast("long").alias("id"), F.col(f"`{item_text}`").cast("string").alias("text")
+    ).where("id IS NOT NULL AND text IS NOT NULL")
+    size = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    if size > BLOCK_BYTES:
+        from souqframe.llm.piece_join import contaminated_by_join
+
+        return contaminated_by_join(df, rows, folder or workspace(spark), text, keep, most_changed)
+    sent, key = spark.sparkContext.broadcast([tuple(row) for row in rows.collect()]), uuid4().hex
+
+    def make():
+        finder = once(("items", key), lambda: Finder(sent.value, most_changed))
+        return lambda value: (finder.find(value),)
+
+    return map_texts(df, text, keep, make, [StructField("item_ids", ArrayType(LongType()))])
