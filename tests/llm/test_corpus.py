@@ -10,7 +10,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from souqframe.llm import chunks, hard_negatives, hidden_markov, sequence_score, token_alignment
+from souqframe.llm import chunks, decontaminate, hard_negatives, hidden_markov, sequence_score, token_alignment
 from souqframe.llm.queries import PIECES, WORDS, queries
 
 SF = "/root/testdata/sf0.001"
@@ -101,8 +101,8 @@ def _plain(texts, tokenizers):
     whole.encode_special_tokens = True
     return brute.alignments(
         texts,
-        lambda text: whole.encode(text, add_special_tokens=False).ids, a.bytes.get,
-        b.processor.encode, b.bytes.get,
+        lambda text: whole.encode(text, add_special_tokens=False).ids, a.bytes.__getitem__,
+        b.processor.encode, b.bytes.__getitem__,
     )
 
 
@@ -131,12 +131,15 @@ def test_alignment_query(spark, by_id, tokenizers, monkeypatch):
     assert len(found) == len(rows)
 
 
-def test_alignment_forgets_and_goes_on(tokenizers, monkeypatch):
-    monkeypatch.setattr(token_alignment, "PARTS", 3)
-    aligner, parts = token_alignment.Aligner(*tokenizers), ["one", "two", "x" * 100, "three", "one", "four▁"] * 3
-    assert aligner.of(parts) == list(aligner.align(parts))
-    for part in parts:
-        assert aligner.of([part]) == list(aligner.align([part]))
+def test_ranks_give_the_same_tokens(tokenizers):
+    a, rnd = tokenizers[0], random.Random(3)
+    assert a.by_rank is not None
+    letters = "abcABC'  \n\t.,;:!?0123456789éßñÄ²½ºµ-_/\\\"“”…" + "the and of "
+    for _ in range(3000):
+        text = "".join(rnd.choice(letters) for _ in range(rnd.randrange(1, 40)))
+        assert not token_alignment.ODD.search(text)
+        whole = a.tokenizer.encode(f" {text}", add_special_tokens=False).ids
+        assert a.encode(text) == whole, text
 
 
 # --- sequence scores ---------------------------------------------------------------------------------
@@ -267,3 +270,65 @@ def test_chunks_take_every_row_in_order(spark):
     batch = [pa.RecordBatch.from_arrays([pa.array(range(i, i + 4)), pa.array([1, 2, 3, 4])], ["k", "v"]) for i in (0, 4)]
     found = [(collector.seen, kept.to_pylist()) for collector, kept in chunks.gather(iter(batch), 5, Two)]
     assert found == [([1, 2, 3], [0, 1, 2]), ([4, 1], [3, 4]), ([2, 3], [5, 6]), ([4], [7])]
+
+
+# --- decontamination -------------------------------------------------------------------------------
+
+
+def _benchmark(rnd, vocabulary, count):
+    return [" ".join(rnd.choice(vocabulary) for _ in range(rnd.choice([1, 3, 7, 8, 12, 20, 41]))) for _ in range(count)]
+
+
+def _altered(rnd, vocabulary, words, changes):
+    words = list(words)
+    for _ in range(changes):
+        at = rnd.randrange(len(words))
+        kind = rnd.randrange(3)
+        words[at : at + (kind != 1)] = [] if kind == 0 else [rnd.choice(vocabulary)]
+        words = words or ["x"]
+    return words
+
+
+@pytest.mark.parametrize("sent_bytes", [8 << 20, 0])
+def test_decontamination_is_that_of_all_distances(spark, docs, by_id, monkeypatch, sent_bytes):
+    # Once with the test set sent around, once by a join: the same as edit distances of all pairs.
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", sent_bytes)
+    rnd = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(40)] + ["日", "本", "語"]
+    items = _benchmark(rnd, vocabulary, 40)
+    texts = [None, "", " . "]
+    for _ in range(120):
+        words = [rnd.choice(vocabulary) for _ in range(rnd.randrange(60))]
+        for item in rnd.sample(items, rnd.randrange(3)):
+            own = item.split()
+            at = rnd.randrange(len(words) + 1)
+            words[at:at] = _altered(rnd, vocabulary, own, rnd.randrange(len(own) // 4 + 2))
+        texts.append(" ".join(words).replace(" w1 ", ", W1! "))
+    rows = [(i % 37 if i < 37 else 900 + i, text) for i, text in enumerate(items)] + [(None, "w1"), (7, None), (8, " ")]
+    rows += [(3, items[5])]  # an id with two texts
+    table = spark.createDataFrame(rows, "item_id long, text string")
+    df = docs(texts).withColumn("item_ids", F.lit("x")).withColumn("hits", F.lit(1)).withColumn("row", F.lit(2))
+    found = by_id(decontaminate.contaminated(df, table, keep=["doc_id", "item_ids", "hits", "row"]))
+    for i, text in enumerate(texts):
+        words, expected = decontaminate.words_of(text), set()
+        for id, item in rows:
+            own = decontaminate.words_of(item)
+            errors = int(len(own) * decontaminate.MOST_CHANGED) if len(own) >= decontaminate.LEAST_WORDS else 0
+            if id is not None and own and brute.edit_places(own, words) <= errors:
+                expected.add(id)
+        assert found[i]["item_ids"] == sorted(expected), text
+        assert (found[i]["hits"], found[i]["row"]) == (1, 2)
+    assert sum(bool(row["item_ids"]) for row in found.values()) > 40
+    assert decontaminate.contaminated(docs([]), table).collect() == []
+    none = decontaminate.contaminated(docs(["w1 w2"]), table.where("false")).collect()
+    assert [row["item_ids"] for row in none] == [[]]
+
+
+def test_decontamination_by_join_reads_the_texts_once(spark, docs, monkeypatch, tmp_path):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 0)
+    items = spark.createDataFrame([(i, f"only item {i} has these words in this order, item {i}") for i in range(300)], "item_id long, text string")
+    texts = [f"before {item['text']} after" for item in items.limit(20).collect()] + ["nothing to find"] * 20
+    result = decontaminate.contaminated(docs(texts), items, folder=str(tmp_path))
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "LogicalRDD" not in plan and "Scan ExistingRDD" not in plan  # the texts themselves are not read again
+    assert sum(row["item_ids"] != [] for row in result.collect()) == 20
