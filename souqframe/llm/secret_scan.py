@@ -1,30 +1,26 @@
 """Secrets in texts: fixed patterns, and a linear-chain conditional random field that adds to them.
 
-Tokens are runs of characters that secrets are made of; the field labels every token of a text, in one
-chain. What a token, or the characters before a token, add to the scores is remembered, so that a text
-is scored by a few array operations. Tokens that are outside on every best path, whatever the labels
-around them, are found by their scores alone; Viterbi decides the stretches between them, with the
-transitions at their borders: the same labels as over the whole text.
-
-The field is trained here, on what the fixed patterns say about a bounded sample: windows around tokens
-that hold a digit, are long or belong to a span, and windows at any place.
+Tokens are runs of characters that secrets are made of; the field (secret_field.py) labels every token of a
+text, in one chain. It is trained here, on a bounded sample: windows of texts chosen by their hash, into
+which made-up secrets and harmless things are put (secret_samples.py). What the fixed patterns find in
+the windows is taught as well.
 """
 
-import math
+import random
 import re
-from bisect import bisect_left, bisect_right
-from collections import defaultdict
-from collections.abc import Callable
-from hashlib import blake2b
-from string import ascii_letters, digits
-from zlib import crc32
+from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from souqframe.llm.rows import Memo, map_texts
+from souqframe.llm import secret_field as field_of
+from souqframe.llm.secret_field import BEGIN, FEATURES, INSIDE, LABELS, OUT, ChainField, Texts
+from souqframe.llm.secret_samples import planted
 
 # The patterns of the three base kinds, in the order of the kinds.
 ASSIGN = re.compile(
@@ -33,41 +29,26 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ["assign", "access", "hex", "crf"]
-LEAST_ASSIGN, LEAST_ACCESS = 6, 20
-
-SAMPLE_RUNS = 4000  # windows around open tokens and spans that the field is trained on, at most
-SAMPLE_ORDINARY = 1000  # windows at any place besides, at most one of a text
-BESIDE = 3  # tokens on either side of an open one or a span that belong to its window
-ORDINARY = 16  # tokens of a window at any place
-MOST_TOKENS = 24  # of a window; longer ones are cut, for training only
-ROUNDS = 12
-FEATURES = 1 << 16
-LABELS = 3  # outside, begin, inside
-OUT, BEGIN, INSIDE = range(LABELS)
-
-TOKEN = re.compile(r"([A-Za-z0-9+/_=.-]+)")
-OPEN = re.compile(
-    r"(?<![A-Za-z0-9+/_=.-])(?:[A-Za-z+/_=.-]*+[0-9][A-Za-z0-9+/_=.-]*+|[A-Za-z0-9+/_=.-]{28,}+)"
-)
-LEAST_OPEN = 6
-NEAR = 24  # characters before a token in which a keyword counts
-KEYWORD = re.compile(r"(?ai)(?=(pass|secret|token|key|credential|auth|bearer))")  # also those that overlap
-REMEMBERED = 64 << 20  # characters of tokens (or of what is between them) whose scores are remembered, about
-
+LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
+KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-_SIGNS = {ord(c): "A" if c.isupper() else "a" if c.islower() else "9" for c in ascii_letters + digits}
-_SAME = re.compile(r"(.)\1+")
+WINDOWS = 1500  # of texts that the field is trained on, about
+WIDE = 500  # characters of a window
+SEED = 7  # of what is put into them
+AT_ONCE = 1 << 20  # characters of texts that are scored at once, about
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the fixed patterns, each kind leftmost first and without overlaps."""
     found = []
     if "=" in text or ":" in text:
-        found += [
-            (m.start(), m.end(), "assign")
-            for m in ASSIGN.finditer(text)
-            if len(m.group(2)) >= LEAST_ASSIGN
-        ]
+        small = text.lower()
+        if any(word in small for word in KEYWORDS):
+            found += [
+                (m.start(), m.end(), "assign")
+                for m in ASSIGN.finditer(text)
+                if len(m.group(2)) >= LEAST_ASSIGN
+            ]
     if "AKIA" in text:
         found += [
             (m.start(), m.end(), "access")
@@ -78,366 +59,77 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda span: (span[0], KINDS.index(span[2]), span[1]))
 
 
-def _shape(token: str) -> str:
-    return _SAME.sub(r"\1", token[:64].translate(_SIGNS))
-
-
-def _entropy(token: str) -> float:
-    counts = [token.count(c) for c in sorted(set(token))]
-    return -sum(n / len(token) * math.log2(n / len(token)) for n in counts)
-
-
-class Parts:
-    """A text's tokens, what is around them (one more than tokens), and where they start and end."""
-
-    def __init__(self, text: str):
-        parts = TOKEN.split(text)
-        reach = np.fromiter(map(len, parts), np.int64, len(parts)).cumsum()
-        self.text, self.gaps, self.tokens = text, parts[0::2], parts[1::2]
-        self.starts, self.ends = reach[0::2][: len(self.tokens)], reach[1::2]
-
-    def near_keyword(self, holders) -> np.ndarray:
-        """Whether a keyword is in the last NEAR characters before each token; `holders` are the tokens with one."""
-        found = [
-            (self.starts[i] + m.start(), self.starts[i] + m.end(1))
-            for i in holders
-            for m in KEYWORD.finditer(self.tokens[i])
-        ]
-        if not found:
-            return np.zeros(len(self.tokens), np.int64)
-        begin, end = np.array(found).T
-        last = np.searchsorted(end, self.starts, "right") - 1
-        return ((last >= 0) & (begin[last] >= self.starts - NEAR)).astype(np.int64)
-
-
-def _hashed(names: list[str]) -> list[int]:
-    return [crc32(name.encode()) % FEATURES for name in names]
-
-
-def _kind(token: str) -> tuple:
-    """What most features of a token by itself are made of: many tokens have the same."""
-    shape = _shape(token)
-    n_digits = 0 if token.isalpha() else sum(map(token.count, digits))
-    return (
-        shape[:8],
-        "".join(sorted(set(shape)))[:8],
-        min(10, len(token) // 4),
-        8 * n_digits // max(1, len(token)),
-        not token.strip("0123456789abcdef"),
-        bool(KEYWORD.search(token)),
-        "=" in token[1:-1],
-    )
-
-
-def _of_kind(kind: tuple) -> list[int]:
-    names = ("shape", "kinds", "length", "digits", "hex", "holds", "assigned")
-    return _hashed(["bias", *(f"{name}:{value}" for name, value in zip(names, kind, strict=True))])
-
-
-def _start(start: str) -> list[int]:
-    return _hashed([f"start:{start}"])
-
-
-def _disorder(entropy: int) -> list[int]:
-    return _hashed([f"entropy:{entropy}"])
-
-
-def _own(token: str) -> list[int]:
-    """Hashed features of a token by itself."""
-    return _of_kind(_kind(token)) + _start(token[:4]) + _disorder(int(2 * _entropy(token)))
-
-
-def _before(token: str) -> list[int]:
-    """Features of the token that follows this one; there is an empty one before the first."""
-    return _hashed([f"before:{token.lower() if token.isalpha() else '-'}"])
-
-
-def _mark(mark: str, keyword: bool) -> list[int]:
-    """Features of a token by the last character before it that is no blank, and whether a keyword is near."""
-    return _hashed([f"mark:{mark}", f"keyword:{keyword}", f"keyword+mark:{keyword}{mark in '=:' if mark else False}"])
-
-
-def _after(gap: str) -> list[int]:
-    return _hashed([f"after:{gap[:1]}"])
-
-
-def _file(text: str) -> list[int]:
-    """Features of all tokens of a text."""
-    lines = "file:code" if text.count("=") * 40 > text.count(" ") + 40 else "file:prose"
-    return _hashed([f"file:{min(6, len(text).bit_length() // 3)}", lines])
-
-
-def features_of(parts: Parts, windows: list[tuple[int, int]]) -> list[list[list[int]]]:
-    """Hashed features of each token of the windows: its own, those of what is beside it, and the file's."""
-    file, out = _file(parts.text), []
-    beside = {i for first, end in windows for i in range(max(0, first - NEAR), end)}
-    near = parts.near_keyword(i for i in sorted(beside) if KEYWORD.search(parts.tokens[i]))
-    for first, end in windows:
-        window = []
-        for i in range(first, end):
-            last, gap = parts.tokens[i - 1] if i else "", parts.gaps[i].rstrip()
-            mark = _mark(gap[-1:] or last[-1:], bool(near[i]))
-            window.append(_own(parts.tokens[i]) + _before(last) + mark + _after(parts.gaps[i + 1]) + file)
-        out.append(window)
-    return out
-
-
-class Rows(dict):
-    """Remembers the row of a growing table that `function` fills for a key."""
-
-    def __init__(self, function: Callable, width: int):
-        super().__init__()
-        self.function, self.table, self.size = function, np.empty((1024, width)), 0
-
-    def __missing__(self, key: str) -> int:
-        row = len(self)
-        if row == len(self.table):
-            self.table = np.concatenate([self.table, np.empty_like(self.table)])
-        self.table[row] = self.function(key)
-        self.size += len(key) + 200
-        self[key] = row
-        return row
-
-    def of(self, keys: list[str]) -> np.ndarray:
-        """The rows of the keys. Forgets the others first if there are too many."""
-        if self.size > REMEMBERED:
-            width = self.table.shape[1]
-            self.clear()
-            self.table, self.size = np.empty((1024, width)), 0
-        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
-
-
-class ChainField:
-    """Weights of features and of label pairs; forward-backward to train, Viterbi to decode."""
-
-    def __init__(self, weights: np.ndarray, pairs: np.ndarray):
-        self.weights, self.pairs = weights, pairs
-        # An inside needs a begin or an inside before it.
-        self.allowed = np.zeros((LABELS, LABELS))
-        self.allowed[OUT, INSIDE] = -1e9
-        self.first = np.array([0.0, 0.0, -1e9])
-        self.tokens, self.gaps = Rows(self._of_token, 13), Rows(self._of_gap, 10)
-        self.kinds, self.starts, self.disorders = (
-            Memo(lambda key, of=of: self._sum(of(key)), 1 << 15) for of in (_of_kind, _start, _disorder)
-        )
-        self.marks = Memo(lambda mark: self._sum(_mark(mark, False)) + self._sum(_mark(mark, True)), 1 << 12)
-
-    def _sum(self, features: list[int]) -> list[float]:
-        return self.weights[features].sum(axis=0).tolist()
-
-    def _of_token(self, token: str) -> list[float]:
-        """What a token adds to itself, to the next one, to the next by its last character without and with a keyword; whether it has one."""
-        kind = _kind(token)
-        parts = self.kinds[kind], self.starts[token[:4]], self.disorders[int(2 * _entropy(token))]
-        own = [a + b + c for a, b, c in zip(*parts, strict=True)]
-        return [*own, *self._sum(_before(token)), *self.marks[token[-1:]], kind[5]]
-
-    def _of_gap(self, gap: str) -> list[float]:
-        """What a gap adds to the token before it, to the next one without and with a keyword; whether it is blank."""
-        mark = gap.rstrip()[-1:]
-        return [*self._sum(_after(gap)), *self.marks[mark], not mark]
-
-    def scores_of(self, parts: Parts) -> np.ndarray:
-        """The scores of every token of a text."""
-        n = len(parts.tokens)
-        tokens, gaps = self.tokens.of(["", *parts.tokens]), self.gaps.of(parts.gaps)
-        of_token, of_gap = self.tokens.table[tokens], self.gaps.table[gaps]
-        near = parts.near_keyword(np.flatnonzero(of_token[1:, 12]).tolist())[:, None] > 0
-        blank = of_gap[:n, 9:] > 0
-        by_token = np.where(near, of_token[:n, 9:12], of_token[:n, 6:9])
-        by_gap = np.where(near, of_gap[:n, 6:9], of_gap[:n, 3:6])
-        beside = of_token[:n, 3:6] + np.where(blank, by_token, by_gap) + of_gap[1:, :3]
-        return of_token[1:, :3] + beside + self._sum(_file(parts.text))
-
-    def _outside(self, scores: np.ndarray) -> np.ndarray:
-        """Whether each token is outside on every best path.
-
-        A begin and its insides are on a best path only if they gain something over as many outside
-        tokens, whatever the labels around them. The most that any such stretch over a token can gain is
-        that of the best start up to it and the best end from it on.
-        """
-        moves = self.pairs + self.allowed
-        begin = scores[:, BEGIN] - scores[:, OUT] + max(0, (moves[:, BEGIN] - moves[:, OUT]).max())
-        inside = scores[:, INSIDE] - scores[:, OUT] + moves[BEGIN:, INSIDE].max() - moves[OUT, OUT]
-        leave = max(0, (moves[BEGIN:, :INSIDE] - moves[OUT, :INSIDE]).max())
-        total = inside.cumsum()
-        most = np.maximum.accumulate(total[::-1])[::-1] + np.maximum.accumulate(begin - total)
-        return most + leave < -1e-6
-
-    def label(self, parts: Parts) -> list[tuple[int, int]]:
-        """(token, label) of those tokens of a text that are not outside on the best path over all its tokens."""
-        if not parts.tokens or not (self.weights.any() or self.pairs.any()):
-            return []
-        scores, found = self.scores_of(parts), []
-        open_ = np.flatnonzero(~self._outside(scores))
-        if not len(open_):
-            return []
-        breaks = np.flatnonzero(np.diff(open_) > 1) + 1
-        firsts, lasts = open_[[0, *breaks]], open_[[*(breaks - 1), -1]]
-        # Tokens between two outside ones are decided together.
-        moves = self.pairs + self.allowed
-        single = (firsts == lasts) & (firsts > 0) & (lasts < len(scores) - 1)
-        alone = firsts[single]
-        labels = (scores[alone] + moves[OUT] + moves[:, OUT]).argmax(axis=1)
-        found += zip(alone[labels != OUT].tolist(), labels[labels != OUT].tolist(), strict=True)
-        for first, last in zip(firsts[~single].tolist(), lasts[~single].tolist(), strict=True):
-            path = self._best(scores[first : last + 1], first == 0, last + 1 == len(scores))
-            found += [(first + i, label) for i, label in enumerate(path) if label != OUT]
-        return sorted(found)
-
-    def _best(self, scores: np.ndarray, starts: bool, ends: bool) -> list[int]:
-        """The best path over a stretch that starts and ends the text, or else has outside tokens around it."""
-        moves = self.pairs + self.allowed
-        into = moves.T.tolist()
-        rows = scores.tolist()
-        best, back = [a + b for a, b in zip(rows[0], self.first if starts else moves[OUT], strict=True)], []
-        for row in rows[1:]:
-            ways = [[a + b for a, b in zip(best, to, strict=True)] for to in into]
-            most = [max(way) for way in ways]
-            back.append([way.index(top) for way, top in zip(ways, most, strict=True)])
-            best = [a + b for a, b in zip(most, row, strict=True)]
-        if not ends:
-            best = [a + b for a, b in zip(best, into[OUT], strict=True)]
-        labels = [best.index(max(best))]
-        for pointers in reversed(back):
-            labels.append(pointers[labels[-1]])
-        return labels[::-1]
-
-    def _scores(self, features: list[list[int]]) -> np.ndarray:
-        return np.array([self.weights[token].sum(axis=0) for token in features])
-
-    def decode(self, features: list[list[int]]) -> list[int]:
-        """The labels of the best path; of equal ones, that with the smaller labels."""
-        return self._best(self._scores(features), True, True)
-
-    def _expected(self, features: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        scores, moves = self._scores(features), self.pairs + self.allowed
-        forward, backward = [scores[0] + self.first], [np.zeros(LABELS)]
-        for row in scores[1:]:
-            forward.append(np.logaddexp.reduce(forward[-1][:, None] + moves, axis=0) + row)
-        for row in scores[:0:-1]:
-            backward.append(np.logaddexp.reduce(moves + (row + backward[-1])[None, :], axis=1))
-        backward.reverse()
-        total = np.logaddexp.reduce(forward[-1])
-        single = np.exp(np.array(forward) + np.array(backward) - total)
-        double = np.zeros((LABELS, LABELS))
-        for i in range(1, len(scores)):
-            double += np.exp(
-                forward[i - 1][:, None] + moves + (scores[i] + backward[i])[None, :] - total
-            )
-        return single, double
-
-    @classmethod
-    def train(cls, runs: list[tuple[list[list[int]], list[int]]], rounds: int = ROUNDS) -> "ChainField":
-        """Gradient steps on the log-likelihood, run by run in the given order, with smaller steps each round."""
-        field = cls(np.zeros((FEATURES, LABELS)), np.zeros((LABELS, LABELS)))
-        for turn in range(rounds):
-            rate = 0.3 / (1 + turn)
-            for features, labels in runs:
-                single, double = field._expected(features)
-                for token, label, share in zip(features, labels, single, strict=True):
-                    step = -share
-                    step[label] += 1
-                    field.weights[token] += rate * step
-                for one, other in zip(labels, labels[1:], strict=False):
-                    double[one, other] -= 1
-                field.pairs -= rate * double
-        return field
-
-
-def _labels(parts: Parts, spans: list[tuple[int, int, str]], first: int, end: int) -> list[int]:
-    """What the fixed patterns say about tokens; the first one in a span begins it."""
-    labels, of, at = [], None, 0
-    for start, stop in zip(parts.starts[first:end].tolist(), parts.ends[first:end].tolist(), strict=True):
-        while at < len(spans) and spans[at][1] <= start:
-            at += 1
-        near = (spans[i] for i in range(at, bisect_left(spans, (stop,))))
-        inside = next((span for span in near if start < span[1]), None)
-        labels.append(OUT if inside is None else INSIDE if inside == of and labels[-1] != OUT else BEGIN)
-        of = inside
+def labels_of(texts: Texts, number: int, spans: list[tuple[int, int]]) -> np.ndarray:
+    """What spans say about the tokens of one of the texts; the first token that one touches begins it."""
+    tokens = slice(texts.firsts[number], texts.firsts[number] + texts.counts[number])
+    starts, ends = texts.starts[tokens], texts.ends[tokens]
+    labels = np.full(len(starts), OUT)
+    for start, end in spans:
+        touched = np.flatnonzero((starts < end) & (ends > start) & (labels == OUT))
+        labels[touched] = INSIDE
+        labels[touched[:1]] = BEGIN
     return labels
 
 
-def _taught(parts: Parts, spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Windows (first token, end) around open tokens and spans; those that meet are one, of MOST_TOKENS at most."""
-    places = [m.span() for m in OPEN.finditer(parts.text) if m.end() - m.start() >= LEAST_OPEN]
-    starts, ends = parts.starts.tolist(), parts.ends.tolist()
-    windows: list[tuple[int, int]] = []
-    for start, end in sorted(places + [span[:2] for span in spans]):
-        first = max(0, bisect_right(ends, start) - BESIDE)
-        stop = min(len(starts), bisect_left(starts, end) + BESIDE)
-        if windows and first <= windows[-1][1]:
-            windows[-1] = windows[-1][0], max(stop, windows[-1][1])
-        else:
-            windows.append((first, stop))
-    return [(at, min(at + MOST_TOKENS, end)) for first, end in windows for at in range(first, end, MOST_TOKENS)]
+def _windows(df: DataFrame, text: str, windows: int) -> list[str]:
+    """Windows of some texts: those whose hash is below a share of all, each at a place that its hash says.
 
-
-def _anywhere(parts: Parts, spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """One window of the text, at a place that its hash says."""
-    first = crc32(parts.text.encode()) % len(parts.tokens)
-    return [(first, min(len(parts.tokens), first + ORDINARY))]
-
-
-def _examples(df: DataFrame, windows_of: Callable, most: int) -> list[tuple[list[list[int]], list[int]]]:
-    """Features and labels of at most `most` of the windows of all texts, those with the smallest hashes."""
-
-    def make():
-        def run(value: str | None) -> tuple[list[str]]:
-            parts = Parts(value or "")
-            if not parts.tokens:
-                return ([],)
-            spans = base_spans(parts.text)
-            keys = {}
-            for first, end in windows_of(parts, spans):
-                seen = parts.text[parts.starts[first] : parts.ends[end - 1]]
-                keys[first, end] = blake2b(seen.encode(), digest_size=8).hexdigest()
-            windows = sorted(keys, key=lambda window: (keys[window], window))[:most]
-            rows = []
-            for window, features in zip(windows, features_of(parts, windows), strict=True):
-                labels = "".join(map(str, _labels(parts, spans, *window)))
-                rows.append(f"{keys[window]}|{';'.join(' '.join(map(str, t)) for t in features)}|{labels}")
-            return (rows,)
-
-        return run
-
-    sample = map_texts(df, "text", [], make, [StructField("runs", ArrayType(StringType()))])
-    examples = []
-    for row in sample.select(F.explode("runs").alias("run")).orderBy("run").limit(most).collect():
-        _, features, labels = row["run"].split("|")
-        tokens = [list(map(int, token.split(" "))) for token in features.split(";")]
-        examples.append((tokens, list(map(int, labels))))
-    return examples
-
-
-def train_field(df: DataFrame, text: str = "text", runs: int = SAMPLE_RUNS, rate: int = 1) -> ChainField:
-    """A field trained on at most `runs` windows around open tokens and spans, and SAMPLE_ORDINARY at any place.
-
-    They are those with the smallest hashes over all texts, or over one text in `rate`, itself chosen by
-    hash. Texts that are equal teach once each time they are chosen. With no window at all, everything
-    is outside.
+    The texts are counted and hashed where they are; only windows reach the driver, equal ones once.
     """
-    sample = df.select(F.col(f"`{text}`").cast("string").alias("text")).where(
-        F.pmod(F.xxhash64("text"), F.lit(rate)) == 0
-    )
-    examples = _examples(sample, _taught, runs) + _examples(sample, _anywhere, SAMPLE_ORDINARY)
-    # From both kinds in turn, as steps go example by example.
-    order = sorted(range(len(examples)), key=lambda i: (crc32(str(i).encode()), i))
-    return ChainField.train([examples[i] for i in order])
-
-
-def scan(text: str, field: ChainField) -> tuple:
-    base = base_spans(text)
-    parts, added, last, before = Parts(text), [], 0, -2
-    for token, label in field.label(parts):
-        start, end = int(parts.starts[token]), int(parts.ends[token])
-        if label == INSIDE and before == token - 1:
-            added[-1] = added[-1][0], end
+    texts = df.select(F.col(f"`{text}`").cast("string").alias("text")).where(F.length("text") > 0)
+    share = min(1.0, windows / max(1, texts.count()))
+    chosen = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    room = F.greatest(F.length("text") - WIDE, F.lit(1))
+    start = F.pmod(F.xxhash64("text", F.lit(SEED)), room).cast("int") + 1
+    found = chosen.select(F.substring("text", start, F.lit(WIDE)).alias("window")).distinct().collect()
+    return sorted(row["window"] for row in found)
+
+
+def examples(windows: list[str], seed: int = SEED) -> list[tuple[str, list[tuple[int, int]]]]:
+    """The windows with made-up secrets in them; where those and the patterns' finds are."""
+    rnd, made = random.Random(seed), []
+    for window in windows:
+        text, spans = planted(window, rnd)
+        # Of an assignment the value is the secret, which need not be all of a token.
+        base = [
+            (m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if len(m.group(2)) >= LEAST_ASSIGN
+        ] + [span[:2] for span in base_spans(text) if span[2] != "assign"]
+        made.append((text, sorted({*spans, *base})))
+    return made
+
+
+def train_field(df: DataFrame, text: str = "text", windows: int = WINDOWS, seed: int = SEED) -> ChainField:
+    """A field trained on about `windows` windows of WIDE characters, whatever the size of the table.
+
+    They are those of the texts with the smallest hashes. With no text at all, everything is outside.
+    """
+    made = examples(_windows(df, text, windows), seed)
+    texts = Texts([text for text, _ in made])
+    labels = [labels_of(texts, number, spans) for number, (_, spans) in enumerate(made)]
+    if not labels:
+        return ChainField(np.zeros((FEATURES, LABELS)), np.zeros((LABELS, LABELS)))
+    some = texts.counts > 0
+    return field_of.train(field_of.features_of(texts), np.concatenate(labels), texts.counts[some])
+
+
+def scan(values: list[str], field: ChainField) -> list[tuple]:
+    """The counts and spans of some texts."""
+    texts = Texts(values)
+    found: list[list[list[int]]] = [[] for _ in values]
+    before = -2
+    for token, label in field.label(texts):
+        of, start, end = found[texts.text[token]], int(texts.starts[token]), int(texts.ends[token])
+        if label == INSIDE and before == token - 1 and of:
+            of[-1][1] = end
         else:
-            added.append((start, end))
+            of.append([start, end])
         before = token
+    return [_merged(base_spans(text), added) for text, added in zip(values, found, strict=True)]
+
+
+def _merged(base: list[tuple[int, int, str]], added: list[list[int]]) -> tuple:
     # A span of the field is new if no base span touches it; both lists run by their start.
-    new, reach = [], 0
+    new, last, reach = [], 0, 0
     for start, end in added:
         while last < len(base) and base[last][0] < end:
             reach = max(reach, base[last][1])
@@ -463,18 +155,33 @@ def scan_secrets(df: DataFrame, field: ChainField, text: str = "text", keep: lis
 
     Spans are kind:start:end in code points, the end behind the last one, by start and kind, joined by
     commas. The field's spans (`crf`) are those that no base span touches. A null text has none, as an
-    empty one. One row comes out for each row that goes in; other columns are not read.
+    empty one; a long text is one chain like any other. One row comes out for each row that goes in, so
+    rows that come again come out as often and an empty table gives none. Columns of `keep` that are named
+    like a result are left out; others are not read.
     """
+    new = {one.name.lower() for one in FIELDS}
+    keep = [name for name in keep or ["doc_id"] if name.lower() not in new]
+    inner = df.select(
+        F.struct(*[F.col(f"`{name}`") for name in keep]).alias("kept"),
+        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
+    )
+    schema = StructType([*inner.schema["kept"].dataType.fields, *FIELDS])
+    arrow = to_arrow_schema(schema)
     used = np.flatnonzero(field.weights.any(axis=1))
-    parts = used, field.weights[used], field.pairs
-
-    def make():
-        def whole():
-            weights = np.zeros((FEATURES, LABELS))
-            weights[parts[0]] = parts[1]
-            return ChainField(weights, parts[2])
-
-        made = whole()
-        return lambda value: scan(value or "", made)
-
-    return map_texts(df, text, keep or ["doc_id"], make, FIELDS)
+    sent = df.sparkSession.sparkContext.broadcast((used, field.weights[used], field.pairs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = np.zeros((FEATURES, LABELS))
+        weights[sent.value[0]] = sent.value[1]
+        own = ChainField(weights, sent.value[2])
+        for batch in batches:
+            sizes = np.fromiter((len(text.as_buffer() or b"") for text in batch.column(1)), np.int64, len(batch))
+            cuts = np.flatnonzero(np.diff(sizes.cumsum() // AT_ONCE)) + 1
+            for first, end in pairwise([0, *cuts.tolist(), len(batch)]):
+                part = batch.slice(first, end - first)
+                rows = scan(part.column(1).to_pylist(), own)
+                columns = list(zip(*rows, strict=True)) if rows else [()] * len(FIELDS)
+                new = [pa.array(column, one.type) for column, one in zip(columns, list(arrow)[len(keep) :], strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.column(0).flatten(), *new], schema=arrow)
+
+    return inner.mapInArrow(run, schema)
