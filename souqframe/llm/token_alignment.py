@@ -1,11 +1,13 @@
 """Two tokenizers aligned on the same bytes, and which of their ids belong together in the whole corpus.
 
 Texts are shuffled by their full text, so that each distinct one is tokenised and aligned once and its
-pairs of ids count as often as it has copies. Between two neighbouring places where a token of either
-tokenizer ends lie bytes of one token of each, so the places are the links, and the alignment of a text is
-a few operations on arrays.
+pairs of ids count as often as it has copies. At a single blank between two other characters both
+tokenizers start a token, whatever stands around it: the pre-tokenizer of the byte-level one does, and no
+piece of the other one has a blank behind anything else. So a text is put together from the parts between
+such blanks. Parts that are not remembered are aligned many at once: between two neighbouring places where
+a token of either tokenizer ends lie bytes of one token of each, so the places are the links.
 
-Texts are written down in chunks that number their pairs of ids. Counts of pairs then move as a row for
+Texts are written down in chunks that number their parts and pairs of ids. Counts of pairs then move as a row for
 each chunk and pair, and so do the answers: how often a pair is linked, and whether it is its id's best.
 """
 
@@ -14,6 +16,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +25,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from souqframe.llm.chunks import ChunkNumbers, answers, compact, gather, numbers_in, one_list, with_totals
+from souqframe.llm.chunks import ChunkNumbers, Numbering, answers, compact, gather, numbers_in, one_list, with_totals
 from souqframe.llm.rows import once
 
-CHUNK = 1 << 20  # links of a chunk, about; a text is never split
+CHUNK = 1 << 19  # parts of texts in a chunk, about; a text is never split
+PARTS = 120_000  # that a worker remembers, to twice as many
+SHORT = 64  # characters of the longest part that is remembered
 ROWS = 1 << 15  # rows of results at once
 
 # Characters that all engines of regular expressions put into the same classes.
 ODD = re.compile(r"[^\t\n\r\x20-\x7e\u00a1-\u024f\u2010-\u2027\u2030-\u205e]")
+BETWEEN = re.compile(r" (?<=\S )(?=\S)")
 MEASURES = ["n_a", "n_b", "n_groups", "n_links"]
 
 
@@ -119,58 +125,127 @@ class PieceTokens(Tokens):
         return self.processor.encode([text], num_threads=1)[0]
 
 
-def align(text: str, a: Tokens, b: Tokens) -> tuple[int, int, int, np.ndarray, str] | None:
-    """Counts of tokens and groups, the links (first id, 32 bits, second id) and the groups as text.
-
-    None where the tokens of either are not the text's bytes behind a blank.
-    """
-    ids, whole = (a.encode(text), b.encode(text)), f" {text}".encode()
-    if any(b"".join([of.bytes[n] for n in own]) != whole for own, of in zip(ids, (a, b), strict=True)):
-        return None
-    ids_a, ids_b = (np.array(own, np.int64) for own in ids)
-    ends_a, ends_b = a.lengths[ids_a].cumsum(), b.lengths[ids_b].cumsum()
-    of_b = np.searchsorted(ends_b, ends_a)  # the token of b that holds the last byte of each of a
-    cut_a = ends_b[of_b] == ends_a
-    of_a = np.searchsorted(ends_a, ends_b)
-    cut_b = ends_a[of_a] == ends_b
-    # Each end is a link; one that both have counts once.
-    link_b = ids_a[of_a[~cut_b]] << 32 | ids_b[~cut_b]
-    links = np.concatenate([ids_a << 32 | ids_b[of_b], link_b])
-    groups_a, groups_b = cut_a.cumsum() - cut_a, cut_b.cumsum() - cut_b
-    order = np.argsort(np.concatenate([2 * groups_a, 2 * groups_b + 1]), kind="stable")
-    names = np.concatenate(
-        [
-            np.where(cut_a, a.last[ids_a], a.inner[ids_a]),
-            np.where(cut_b, b.last[ids_b], b.inner[ids_b]),
-        ]
-    )
-    return len(ids_a), len(ids_b), int(cut_a.sum()), links, "".join(names[order].tolist())[:-1]
+Part = tuple[int, int, int, bytes, str]  # tokens of a and of b, groups, links (first id, 32 bits, second id), groups as text
+
+
+class Aligner:
+    """Aligns parts of texts, many at once. Short ones are remembered until there are too many."""
+
+    def __init__(self, a: ByteTokens, b: PieceTokens):
+        self.a, self.b, self.known, self.older = a, b, {}, {}
+
+    def of(self, parts: list[str]) -> list[Part | None]:
+        """The alignment of each part, or None where the tokens of either are not its bytes behind a blank."""
+        known, older = self.known, self.older
+        found = [known.get(part) or older.get(part) for part in parts]
+        missing = [part for part, whole in zip(parts, found, strict=True) if whole is None]
+        fresh = dict(zip(missing, self.align(missing), strict=True))
+        known |= {part: whole for part, whole in zip(parts, found, strict=True) if whole}
+        known |= {part: whole for part, whole in fresh.items() if whole and len(part) <= SHORT}
+        if len(known) > PARTS:
+            self.known, self.older = {}, known
+        return [whole or fresh[part] for part, whole in zip(parts, found, strict=True)]
+
+    def align(self, parts: list[str]) -> list[Part | None]:
+        """All parts at once, put together to a text again; one by one where that cannot be."""
+        plain = [part for part in parts if part and not part[0].isspace() and not part[-1].isspace()]
+        if len(plain) < len(parts) or len(parts) == 1:
+            together = dict(zip(plain, self.align(plain), strict=True)) if 0 < len(plain) < len(parts) else {}
+            return [together[part] if part in together else self._alone(part) for part in parts]
+        found = self._together(parts) if parts else []
+        return [self._alone(part) for part in parts] if found is None else found
+
+    def _alone(self, part: str) -> Part | None:
+        found = self._together([part])
+        return None if found is None else found[0]
+
+    def _together(self, parts: list[str]) -> list[Part] | None:
+        """The alignments, or None if tokens are not the parts' bytes or do not end where parts do."""
+        text = " ".join(parts)
+        tokens = self.a.encode(text), self.b.encode(text)
+        whole = f" {text}".encode()
+        if any(b"".join([of.bytes[n] for n in ids]) != whole for ids, of in zip(tokens, (self.a, self.b), strict=True)):
+            return None
+        ids_a, ids_b = (np.array(ids, np.int64) for ids in tokens)
+        ends = (np.fromiter((len(part.encode()) for part in parts), np.int64, len(parts)) + 1).cumsum()
+        ends_a, ends_b = self.a.lengths[ids_a].cumsum(), self.b.lengths[ids_b].cumsum()
+        upto_a, upto_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        if (ends_a[upto_a] != ends).any() or (ends_b[upto_b] != ends).any():
+            return None
+        return self._aligned(ids_a, ids_b, ends_a, ends_b, np.diff(upto_a, prepend=-1), np.diff(upto_b, prepend=-1))
+
+    def _aligned(self, ids_a, ids_b, ends_a, ends_b, n_a, n_b) -> list[Part]:
+        """From the ids of all parts and where they end, and how many tokens each part has."""
+        a, b = self.a, self.b
+        in_b = np.searchsorted(ends_b, ends_a)  # the token of b that holds the last byte of each of a
+        cut_a = ends_b[in_b] == ends_a
+        in_a = np.searchsorted(ends_a, ends_b)
+        cut_b = ends_a[in_a] == ends_b
+        part_a, part_b = np.repeat(np.arange(len(n_a)), n_a), np.repeat(np.arange(len(n_b)), n_b)
+        # Each end is a link; one that both have counts once.
+        links = np.concatenate([ids_a << 32 | ids_b[in_b], ids_a[in_a[~cut_b]] << 32 | ids_b[~cut_b]])
+        of_part = np.concatenate([part_a, part_b[~cut_b]])
+        links = links[np.argsort(of_part, kind="stable")]
+        link_ends = np.bincount(of_part, minlength=len(n_a)).cumsum().tolist()
+        groups = np.bincount(part_a[cut_a], minlength=len(n_a)).tolist()
+        groups_a, groups_b = cut_a.cumsum() - cut_a, cut_b.cumsum() - cut_b
+        order = np.argsort(np.concatenate([2 * groups_a, 2 * groups_b + 1]), kind="stable")
+        names = np.concatenate(
+            [np.where(cut_a, a.last[ids_a], a.inner[ids_a]), np.where(cut_b, b.last[ids_b], b.inner[ids_b])]
+        )[order].tolist()
+        name_ends = (n_a + n_b).cumsum().tolist()
+        made, link, name = [], 0, 0
+        rows = zip(n_a.tolist(), n_b.tolist(), groups, link_ends, name_ends, strict=True)
+        for count_a, count_b, count, link_end, name_end in rows:
+            text = "".join(names[name:name_end])[:-1]
+            made.append((count_a, count_b, count, links[link:link_end].tobytes(), text))
+            link, name = link_end, name_end
+        return made
 
 
 class _Texts:
-    """Distinct texts of a chunk: their measures, and their links by the numbers of the chunk's pairs."""
+    """Distinct texts of a chunk: the numbers of their parts, and what can be said of them at once."""
 
-    def __init__(self, a: Tokens, b: Tokens):
-        self.a, self.b = a, b
-        self.measures, self.links, self.copies, self.digests = [], [], [], []
+    def __init__(self, aligner: Aligner):
+        self.aligner, self.numbers = aligner, Numbering()
+        self.parts: list[Part | None] = []
+        self.groups: list[str | None] = []
+        self.texts, self.copies, self.digests = [], [], []
 
     def add(self, text: str, copies: int) -> int:
-        found = align(text, self.a, self.b)
-        *counts, links, groups = found or (0, 0, 0, np.empty(0, np.int64), None)
-        self.measures.append((*counts, len(links)))
-        self.links.append(links)
+        ids = self.numbers.of(BETWEEN.split(text))
+        new = list(islice(reversed(self.numbers), len(self.numbers) - len(self.parts)))
+        if new:
+            found = self.aligner.of(new[::-1])
+            self.parts += found
+            self.groups += [part and part[4] for part in found]
+        groups = [self.groups[number] for number in ids.tolist()]
+        if None in groups:
+            self.texts.append(ids[:0])
+            self.digests.append("")
+        else:
+            self.texts.append(ids)
+            self.digests.append(hashlib.sha256(";".join(groups).encode()).hexdigest())
         self.copies.append(copies)
-        self.digests.append("" if groups is None else hashlib.sha256(groups.encode()).hexdigest())
-        return len(links) + 1
+        return len(ids) + 1
 
     def row(self) -> dict:
-        lengths = np.fromiter(map(len, self.links), np.int64, len(self.links))
-        pairs, place = np.unique(np.concatenate(self.links), return_inverse=True)
+        lengths, ids = np.fromiter(map(len, self.texts), np.int64, len(self.texts)), np.concatenate(self.texts)
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        used = np.bincount(ids, np.array(self.copies, float)[text], len(self.parts)).astype(np.int64)
+        parts = [part if part and count else (0, 0, 0, b"", "") for part, count in zip(self.parts, used.tolist(), strict=True)]
+        sizes = np.fromiter((len(part[3]) >> 3 for part in parts), np.int64, len(parts))
+        measures = {name: np.array([part[i] for part in parts], np.int64) for i, name in enumerate(MEASURES[:3])}
+        measures["n_links"] = sizes
+        pairs, place = np.unique(np.frombuffer(b"".join([part[3] for part in parts]), np.int64), return_inverse=True)
         weights = np.zeros(len(pairs), np.int64)
-        np.add.at(weights, place, np.repeat(np.array(self.copies, np.int64), lengths))
+        np.add.at(weights, place, np.repeat(used, sizes))
         return {
-            **dict(zip(MEASURES, np.array(self.measures, np.int64).T, strict=True)),
+            **{name: np.bincount(text, of[ids], len(lengths)).astype(np.int64) for name, of in measures.items()},
             "groups_sha256": self.digests,
+            "lengths": lengths.astype(np.int32),
+            "ids": compact(ids),
+            "sizes": compact(sizes),
             "links": compact(place),
             "a": (pairs >> 32).astype(np.int32),
             "b": (pairs & 0xFFFFFFFF).astype(np.int32),
@@ -184,6 +259,9 @@ def _chunked(distinct: DataFrame, path_a: str, path_b: str) -> DataFrame:
         [
             StructField("chunk", LongType()),
             StructField("digests", ArrayType(StringType())),
+            StructField("lengths", ArrayType(IntegerType())),
+            StructField("ids", BinaryType()),
+            StructField("sizes", BinaryType()),
             *[StructField(name, ArrayType(LongType())) for name in MEASURES],
             StructField("groups_sha256", ArrayType(StringType())),
             StructField("links", BinaryType()),
@@ -195,9 +273,9 @@ def _chunked(distinct: DataFrame, path_a: str, path_b: str) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = once(("align", path_a, path_b), lambda: (ByteTokens(path_a), PieceTokens(path_b)))
+        aligner = once(("align", path_a, path_b), lambda: Aligner(ByteTokens(path_a), PieceTokens(path_b)))
         number = ChunkNumbers()
-        for collector, digests in gather(batches, CHUNK, lambda: _Texts(a, b)):
+        for collector, digests in gather(batches, CHUNK, lambda: _Texts(aligner)):
             row = {"chunk": number(), **collector.row()}
             columns = [
                 one_list(digests, field.type) if field.name == "digests" else pa.array([row[field.name]], field.type)
@@ -220,15 +298,17 @@ def _measured(chunks: DataFrame) -> DataFrame:
         for batch in batches:
             for place in range(len(batch)):
                 row = {name: batch.column(name)[place] for name in batch.schema.names}
-                links, lengths = numbers_in(row["links"]), row["n_links"].values.to_numpy()
-                text = np.repeat(np.arange(len(lengths)), lengths)
+                ids, sizes, links = (numbers_in(row[name]) for name in ("ids", "sizes", "links"))
+                lengths = row["lengths"].values.to_numpy()
+                text, part = np.repeat(np.arange(len(lengths)), lengths), np.repeat(np.arange(len(sizes)), sizes)
                 sums = []
                 for name in ("best", "count"):
                     of_pair = np.zeros(int(links.max(initial=0)) + 1, np.int64)
                     if row["places"].is_valid:
                         of_pair[row["places"].values.to_numpy()] = row[name].values.to_numpy(zero_copy_only=False)
-                    of_text = np.zeros(len(lengths), np.int64)
-                    np.add.at(of_text, text, of_pair[links])
+                    of_part, of_text = np.zeros(len(sizes), np.int64), np.zeros(len(lengths), np.int64)
+                    np.add.at(of_part, part, of_pair[links])
+                    np.add.at(of_text, text, of_part[ids])
                     sums.append(of_text)
                 measures = [row[name].values for name in MEASURES]
                 columns = [row["digests"].values, *measures, *map(pa.array, sums), row["groups_sha256"].values]
