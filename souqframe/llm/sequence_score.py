@@ -75,7 +75,7 @@ class _Words:
             "ids": compact(np.concatenate(self.texts)),
             "words": list(self.numbers),
             "counts": counts,
-            "classes": compact(np.fromiter((crc32(word) % classes for word in self.numbers), np.int64)),
+            "classes": compact(np.fromiter(map(crc32, self.numbers), np.int64, len(self.numbers)) % classes),
         }
 
 
