@@ -1,14 +1,16 @@
 """Document quality: a classifier's evidence, with what is known of the site and its section as prior.
 
+There are two questions, whether a document is good and whether it is toxic, and the same steps for both.
 The classifier is a naive Bayes over hashed words and text shapes, of which only clear ones count; its
 sums are turned into log-likelihood ratios on labelled documents it has not seen. Sites (and sections
-within them) have Beta posteriors: the share of good documents that the evidence shows there, shrunk
+within them) have Beta posteriors: the share of such documents that the evidence shows there, shrunk
 towards the share of all documents (of the site) with a strength that is estimated from how much sites
-(sections) differ. A document's quality is its section's posterior, updated by its own evidence.
+(sections) differ. A document's answer is its section's posterior, from which the document itself is
+taken out, updated by its own evidence: so no evidence counts twice.
 """
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -25,6 +27,9 @@ SMOOTH = 0.5
 BINS = 64  # of the evidence, from -LIMIT to LIMIT
 LIMIT = 24.0
 SAMPLE_LABELS = 20_000  # labelled documents, chosen by hash, that the classifier is fitted on at most
+KINDS = 4  # of labels: quality, and twice toxic
+# The kinds of labels that say no and yes to a question.
+QUESTIONS = {"quality": ([0, 2], [1, 3]), "toxic": ([0, 1], [2, 3])}
 CALIBRATION = 4  # one labelled document in so many tells what the evidence is worth
 
 
@@ -50,58 +55,67 @@ def features_of(text: str) -> set[str]:
     return {word.strip(".,;:!?\"'()") for word in words} | {f" {name} {value}" for name, value in shapes.items()}
 
 
-def count_features(labelled: DataFrame, text: str, good: str) -> tuple[np.ndarray, np.ndarray]:
-    """Documents with each hashed feature, and documents: for each the good and the bad ones.
+def count_features(labelled: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Documents with each hashed feature, and documents: for each kind of the column `kind`, of KINDS.
 
-    Every task sums its documents into 2 ** BITS numbers, Spark sums the tasks'.
+    Every task sums its documents into 2 ** BITS numbers a kind, Spark sums the tasks'.
     """
-    inner = labelled.select(F.col(f"`{text}`").cast("string"), F.col(good)).where(f"`{text}` IS NOT NULL")
+    inner = labelled.select(F.col(f"`{text}`").cast("string"), F.col("kind")).where(f"`{text}` IS NOT NULL")
+    names = [f"k{kind}" for kind in range(KINDS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, totals = np.zeros((2, 1 << BITS), np.int64), [0, 0]
+        counts, totals = np.zeros((KINDS, 1 << BITS), np.int64), np.zeros(KINDS, np.int64)
         hashed = Memo(_hashed, 300_000)
         for batch in batches:
             for value, kind in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 found = {hashed[name] for name in features_of(value)}
-                counts[int(kind)][list(found)] += 1
-                totals[int(kind)] += 1
+                counts[kind][list(found)] += 1
+                totals[kind] += 1
         at = np.flatnonzero(counts.any(axis=0))
-        columns = [np.append(at, -1), np.append(counts[1][at], totals[1]), np.append(counts[0][at], totals[0])]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["feature", "good", "bad"])
+        columns = [np.append(at, -1), *(np.append(own[at], total) for own, total in zip(counts, totals, strict=True))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["feature", *names])
 
-    summed = inner.mapInArrow(run, "feature long, good long, bad long").groupBy("feature").agg(
-        F.sum("good").alias("good"), F.sum("bad").alias("bad")
-    )
-    counts, totals = np.zeros((2, 1 << BITS)), np.zeros(2)
-    for feature, n_good, n_bad in summed.collect():  # at most 2 ** BITS + 1 rows
+    schema = ", ".join(f"{name} long" for name in ["feature", *names])
+    summed = inner.mapInArrow(run, schema).groupBy("feature").agg(*[F.sum(name).alias(name) for name in names])
+    counts, totals = np.zeros((KINDS, 1 << BITS)), np.zeros(KINDS)
+    for feature, *numbers in summed.collect():  # at most 2 ** BITS + 1 rows
         if feature < 0:
-            totals[:] = n_good, n_bad
+            totals[:] = numbers
         else:
-            counts[:, feature] = n_good, n_bad
+            counts[:, feature] = numbers
     return counts, totals
 
 
 def weights_of(counts: np.ndarray, totals: np.ndarray) -> dict[int, float]:
-    """Log-likelihood ratio (good to bad) of the features that clearly tell good from bad."""
+    """Log-likelihood ratio (of the second kind to the first) of the features that clearly tell them apart."""
     if not totals.all():
         return {}
     share = (counts + SMOOTH) / (totals[:, None] + 2 * SMOOTH)
-    ratio = np.log(share[0]) - np.log(share[1])
+    ratio = np.log(share[1]) - np.log(share[0])
     deviation = np.sqrt((1 / (counts + SMOOTH)).sum(axis=0))
     clear = np.flatnonzero(np.abs(ratio) > CLEAR * deviation)
     return {int(at): float(ratio[at]) for at in clear}
 
 
-def add_evidence(df: DataFrame, weights: dict[int, float], text: str, keep: list[str], into: str) -> DataFrame:
-    """Sums of the weights of each whole text's features; null for a null text."""
+def add_evidence(df: DataFrame, weights: list[dict[int, float]], text: str, keep: list[str], into: list[str]) -> DataFrame:
+    """Sums of the weights of each whole text's features, one for each question; null for a null text."""
     sent = df.sparkSession.sparkContext.broadcast(weights)
 
     def make():
-        known = sent.value
-        weight = Memo(lambda name: known.get(_hashed(name), 0.0), 300_000)
-        return lambda value: (None if value is None else math.fsum(weight[f] for f in features_of(value)),)
+        def weigh(name: str) -> tuple[float, ...]:
+            number = _hashed(name)
+            return tuple(known.get(number, 0.0) for known in sent.value)
+
+        weight, none = Memo(weigh, 300_000), (None,) * len(into)
+
+        def run(value: str | None) -> tuple:
+            if value is None:
+                return none
+            return tuple(map(math.fsum, zip(*[weight[f] for f in features_of(value)], strict=True)))
+
+        return run
 
-    return map_texts(df, text, keep, make, [StructField(into, DoubleType())])
+    return map_texts(df, text, keep, make, [StructField(name, DoubleType()) for name in into])
 
 
 def _bin(evidence):
@@ -110,20 +124,20 @@ def _bin(evidence):
 
 
 def calibrated(rows: list[tuple[int, int, int]]) -> list[float]:
-    """Log-likelihood ratio of each bin from (bin, good, bad), made to rise with the bin by pooling."""
-    good, bad = np.zeros(BINS), np.zeros(BINS)
-    for place, n_good, n_bad in rows:
-        good[place], bad[place] = n_good, n_bad
-    if not good.sum() or not bad.sum():
+    """Log-likelihood ratio of each bin from (bin, yes, no), made to rise with the bin by pooling."""
+    yes, no = np.zeros(BINS), np.zeros(BINS)
+    for place, n_yes, n_no in rows:
+        yes[place], no[place] = n_yes, n_no
+    if not yes.sum() or not no.sum():
         return [0.0] * BINS
-    pools: list[list[float]] = []  # good share, weight, bins
-    for g, b in zip(good / good.sum(), bad / bad.sum(), strict=True):
+    pools: list[list[float]] = []  # shares of yes and of no, bins
+    for g, b in zip(yes / yes.sum(), no / no.sum(), strict=True):
         pools.append([g, b, 1])
         while len(pools) > 1 and pools[-2][0] * (pools[-1][0] + pools[-1][1]) >= pools[-1][0] * (pools[-2][0] + pools[-2][1]):
             g2, b2, n2 = pools.pop()
             pools[-1] = [pools[-1][0] + g2, pools[-1][1] + b2, pools[-1][2] + n2]
-    few_good, few_bad = 1 / (good.sum() + 1), 1 / (bad.sum() + 1)
-    return [math.log((g + few_good) / (b + few_bad)) for g, b, n in pools for _ in range(int(n))]
+    few_yes, few_no = 1 / (yes.sum() + 1), 1 / (no.sum() + 1)
+    return [math.log((g + few_yes) / (b + few_no)) for g, b, n in pools for _ in range(int(n))]
 
 
 def _strength(groups: DataFrame, mean: str) -> float:
@@ -143,6 +157,29 @@ def _strength(groups: DataFrame, mean: str) -> float:
     return min(1e4, max(1.0, row["within"] / between - 1))
 
 
+def _priors(scored: DataFrame, question: str, stored: Callable) -> tuple[DataFrame, float, float, float]:
+    """Sums of each section and its host, the share of all rows, and the strengths of hosts and of sections.
+
+    `scored` has host, path, and the share `soft_<question>` that each row adds to both.
+    """
+    soft = F.col(f"soft_{question}")
+    sections = stored(
+        scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(soft).alias("good")), f"sections_{question}"
+    )
+    hosts = sections.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    total = hosts.agg(F.sum("n"), F.sum("good")).first()
+    mean = total[1] / total[0] if total[0] else 0.5
+    of_hosts = _strength(hosts.withColumn("mean", F.lit(mean)), "mean")
+    hosts = hosts.withColumn("host_prior", (F.col("good") + of_hosts * mean) / (F.col("n") + of_hosts))
+    h = hosts.select(
+        F.col("host").alias("of_host"), "host_prior", F.col("n").alias("host_n"), F.col("good").alias("host_good")
+    )
+    sections = sections.join(h, F.col("host").eqNullSafe(F.col("of_host")))
+    of_sections = _strength(sections, "host_prior")
+    sums = sections.select("of_host", F.col("path").alias("of_path"), "n", "good", "host_n", "host_good")
+    return sums, mean, of_hosts, of_sections
+
+
 def classify_quality(
     df: DataFrame,
     labels: DataFrame,
@@ -152,14 +189,18 @@ def classify_quality(
     host: str = "source",
     path: str = "lang",
 ) -> DataFrame:
-    """doc_id, evidence, host_prior, path_prior, quality (0 to 1) and kept (quality of 0.5 or more) of every row.
-
-    `labels` has `id`, quality (1: good, 0: not) and toxic (1: toxic); good documents are those with
-    quality 1 that are not toxic. Rows with a null id or quality are unlabelled. Without both kinds of
-    labels the evidence is 0 and the prior one half. The classifier is fitted on at most SAMPLE_LABELS
-    labelled documents; all statistics of sites and sections are over all documents. Sites and sections may be null: those form one.
-    The documents have no path: `source` stands for the host and `lang` for the path within it.
-    A null text has no evidence of its own. Repeated rows come back as often. `folder` is shared.
+    """doc_id, evidence, host_prior, path_prior, quality (0 to 1), toxic (0 to 1) and kept of every row.
+
+    Kept are documents with a quality of 0.5 or more that are toxic with less than 0.5. evidence and the
+    priors are those of quality; the priors leave the row itself out. `labels` has `id`, quality (1: good,
+    0: not) and toxic (1: toxic, else not); rows with a null id or quality are unlabelled, and an id
+    with several labels is good if any says so, and toxic likewise. Without both kinds of labels of a
+    question its evidence is 0 and its share of all documents that of the labels, one half without any. The
+    classifier is fitted on at most SAMPLE_LABELS labelled documents; all statistics of sites and sections
+    are over all documents. Sites and sections may be null: those form one. The documents have no path:
+    `source` stands for the host and `lang` for the path within it. A null text has no evidence of its own,
+    an empty one that of its shape, a long one is read as a whole. Repeated rows come back as often, an
+    empty table gives none. Other columns are not read. `folder` is shared.
     """
     spark = df.sparkSession
 
@@ -173,57 +214,67 @@ def classify_quality(
         F.col(f"`{path}`").cast("string").alias("path"),
         F.col(f"`{text}`").cast("string").alias("text"),
     )
-    good = (
+    # Kinds: bad, good, bad and toxic, good and toxic.
+    kind = F.max(F.col("quality") == 1).cast("int") + 2 * F.max(F.coalesce("toxic", F.lit(0)) == 1).cast("int")
+    kinds = (
         labels.where("quality IS NOT NULL")
         .groupBy(F.col(id).alias("labelled_id"))
-        .agg((F.max((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) != 1))).alias("good"))
+        .agg(kind.alias("kind"))
         .where("labelled_id IS NOT NULL")
         .orderBy(F.xxhash64("labelled_id"), "labelled_id")
         .limit(SAMPLE_LABELS)
     )
-    # At most SAMPLE_LABELS ids and flags, so the texts stay where they are.
-    good = F.broadcast(stored(good, "labelled"))
-    labelled = rows.select("doc_id", "text").join(good, F.col("doc_id") == F.col("labelled_id"))
+    # At most SAMPLE_LABELS ids and kinds, so the texts stay where they are.
+    kinds = F.broadcast(stored(kinds, "labelled"))
+    labelled = rows.select("doc_id", "text").join(kinds, F.col("doc_id") == F.col("labelled_id"))
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)) == 0
-    counts, totals = count_features(labelled.where(~fold), "text", "good")
-    weights = weights_of(counts, totals)
-    scored = stored(add_evidence(rows, weights, "text", ["doc_id", "host", "path"], "sum"), "scored")
-
-    held = scored.join(good, F.col("doc_id") == F.col("labelled_id")).where(fold & F.col("sum").isNotNull())
-    bins = held.groupBy(_bin("sum").alias("bin")).agg(
-        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")
-    )
-    ratios = calibrated([tuple(row) for row in bins.collect()])  # at most BINS rows
-    share = (totals[0] + 1) / (totals.sum() + 2)
-    evidence = F.when(F.col("sum").isNull(), 0.0).otherwise(F.get(F.array(*map(F.lit, ratios)), _bin("sum")))
-    with_evidence = scored.withColumn("evidence", evidence)
-    soft = 1 / (1 + F.exp(-(F.lit(math.log(share / (1 - share))) + F.col("evidence"))))
-
-    sections = stored(
-        with_evidence.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(soft).alias("good")), "sections"
-    )
-    hosts = sections.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    total = hosts.agg(F.sum("n"), F.sum("good")).first()
-    mean = total[1] / total[0] if total[0] else 0.5
-    strength = _strength(hosts.withColumn("mean", F.lit(mean)), "mean")
-    hosts = hosts.withColumn("host_prior", (F.col("good") + strength * mean) / (F.col("n") + strength))
-    h = hosts.select(F.col("host").alias("of_host"), "host_prior")
-    sections = sections.join(h, F.col("host").eqNullSafe(F.col("of_host")))
-    strength = _strength(sections, "host_prior")
-    priors = stored(
-        sections.select(
-            F.col("host").alias("of_host"),
-            F.col("path").alias("of_path"),
-            "host_prior",
-            ((F.col("good") + strength * F.col("host_prior")) / (F.col("n") + strength)).alias("path_prior"),
-        ),
-        "priors",
-    )
-    joined = with_evidence.join(
-        priors, F.col("host").eqNullSafe(F.col("of_host")) & F.col("path").eqNullSafe(F.col("of_path"))
-    )
-    prior = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("path_prior")))
-    quality = 1 / (1 + F.exp(-(F.ln(prior / (1 - prior)) + F.col("evidence"))))
-    return joined.select(
-        "doc_id", "evidence", "host_prior", "path_prior", quality.alias("quality"), (quality >= 0.5).alias("kept")
+    counts, totals = count_features(labelled.where(~fold), "text")
+    weights, shares = [], []
+    for of_no, of_yes in QUESTIONS.values():
+        sums = np.array([counts[of_no].sum(axis=0), counts[of_yes].sum(axis=0)])
+        both = np.array([totals[of_no].sum(), totals[of_yes].sum()])
+        weights.append(weights_of(sums, both))
+        shares.append((both[1] + 1) / (both.sum() + 2))
+    sums = [f"sum_{question}" for question in QUESTIONS]
+    scored = stored(add_evidence(rows, weights, "text", ["doc_id", "host", "path"], sums), "scored")
+
+    held = scored.join(kinds, F.col("doc_id") == F.col("labelled_id")).where(fold & F.col(sums[0]).isNotNull())
+    for place, (question, (_, of_yes)) in enumerate(QUESTIONS.items()):
+        yes, total = F.col("kind").isin(of_yes), f"sum_{question}"
+        bins = held.groupBy(_bin(total).alias("bin")).agg(F.count_if(yes).alias("yes"), F.count_if(~yes).alias("no"))
+        ratios = calibrated([tuple(row) for row in bins.collect()])  # at most BINS rows
+        evidence = F.when(F.col(total).isNull(), 0.0).otherwise(F.get(F.array(*map(F.lit, ratios)), _bin(total)))
+        prior = math.log(shares[place] / (1 - shares[place]))
+        scored = scored.withColumn(f"evidence_{question}", evidence).withColumn(
+            f"soft_{question}", 1 / (1 + F.exp(-(F.lit(prior) + F.col(f"evidence_{question}"))))
+        )
+    answered = scored
+    for question in QUESTIONS:
+        sections, mean, of_hosts, of_sections = _priors(scored, question, stored)
+        sections = stored(sections, f"priors_{question}")
+        same = F.col("host").eqNullSafe(F.col("of_host")) & F.col("path").eqNullSafe(F.col("of_path"))
+        own = F.col(f"soft_{question}")
+        answered = (
+            answered.join(sections, same)
+            .withColumn(
+                f"host_{question}", (F.col("host_good") - own + of_hosts * mean) / (F.col("host_n") - 1 + of_hosts)
+            )
+            .withColumn(
+                f"path_{question}",
+                (F.col("good") - own + of_sections * F.col(f"host_{question}")) / (F.col("n") - 1 + of_sections),
+            )
+            .drop("of_host", "of_path", "n", "good", "host_n", "host_good")
+        )
+        prior = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col(f"path_{question}")))
+        answered = answered.withColumn(
+            question, 1 / (1 + F.exp(-(F.ln(prior / (1 - prior)) + F.col(f"evidence_{question}"))))
+        )
+    return answered.select(
+        "doc_id",
+        F.col("evidence_quality").alias("evidence"),
+        F.col("host_quality").alias("host_prior"),
+        F.col("path_quality").alias("path_prior"),
+        "quality",
+        "toxic",
+        ((F.col("quality") >= 0.5) & (F.col("toxic") < 0.5)).alias("kept"),
     )
