@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
+from souqframe.llm.licence_texts import TEMPLATES, all_templates  # noqa: F401
 from souqframe.llm.rows import map_texts, once
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -19,52 +20,9 @@ PHRASES = {
     "all rights reserved": "reserved",
 }
 
-# Notices by which works state their licence: label -> wordings.
-TEMPLATES = {
-    "apache-2.0": [
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in"
-        " compliance with the License. You may obtain a copy of the License at"
-        " http://www.apache.org/licenses/LICENSE-2.0",
-        "Licensed under the Apache License, Version 2.0.",
-    ],
-    "mit": [
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and"
-        " associated documentation files (the \"Software\"), to deal in the Software without restriction,"
-        " including without limitation the rights to use, copy, modify, merge, publish, distribute,"
-        " sublicense, and/or sell copies of the Software",
-        "Released under the MIT License.",
-        "Licensed under the MIT License.",
-    ],
-    "bsd": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted"
-        " provided that the following conditions are met",
-        "Licensed under the BSD License.",
-    ],
-    "gpl": [
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
-        " General Public License as published by the Free Software Foundation, either version 3 of the"
-        " License, or (at your option) any later version.",
-        "This work is licensed under the GNU General Public License, version 3.",
-    ],
-    "mpl-2.0": [
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    ],
-    "cc-by": [
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "Licensed under CC BY 4.0.",
-    ],
-    "cc-by-nc": [
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-        "Licensed under CC BY-NC 4.0.",
-    ],
-    "cc-by-sa": [
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-        "Licensed under CC BY-SA 4.0.",
-    ],
-}
-
 LEAST_MATCH = 3  # words of a match that can be chained
 LEAST_COVER = 0.75  # share of a template's words in a span that gives it its label
+WHOLE = 4  # words of a template up to which all of them have to be there
 MOST_GAP = 8  # words between two matches of a chain, in text and template
 
 
@@ -208,22 +166,40 @@ class Scanner:
             best_from: dict[int, tuple[int, int]] = {}
             for begun, value, end in zip(start, score, reach, strict=True):
                 best_from[begun] = max(best_from.get(begun, (0, 0)), (value, -end))
-            taken_to = -1
-            for begun, (value, end) in sorted(best_from.items()):
-                if begun >= taken_to:
+            # The best first; others where they leave room.
+            taken: list[tuple[int, int]] = []
+            for begun, (value, end) in sorted(best_from.items(), key=lambda chain: (-chain[1][0], chain[0])):
+                at = bisect_left(taken, (begun, 0))
+                if (at == 0 or taken[at - 1][1] <= begun) and (at == len(taken) or taken[at][0] >= -end):
+                    taken.insert(at, (begun, -end))
                     out.append((begun, -end, template, value))
-                    taken_to = -end
         return sorted(out)
 
+    @staticmethod
+    def best(spans: list[tuple[int, int, str, float]]) -> list[tuple[int, int, str, float]]:
+        """The spans (by their first word) without those that meet one of another label that is covered better."""
+        beaten, open_ = [False] * len(spans), []
+        for i, (first, _, label, share) in enumerate(spans):
+            open_ = [j for j in open_ if spans[j][1] > first]
+            for j in open_:
+                if spans[j][2] != label and spans[j][3] != share:
+                    beaten[i if spans[j][3] > share else j] = True
+            open_.append(i)
+        return [span for span, lost in zip(spans, beaten, strict=True) if not lost]
+
     def scan(self, text: str | None) -> tuple:
         words = words_of(text)
         base = self.base(words)
         places = [place for place, _ in base]
-        covered = [
-            (first, end, self.labels[template], round(size / self.sizes[template], 6))
-            for first, end, template, size in self.spans(words)
-        ]
-        good = [span for span in covered if span[3] >= LEAST_COVER]
+        found = self.spans(words)
+        shares = (round(size / self.sizes[template], 6) for _, _, template, size in found)
+        good = self.best(
+            [
+                (first, end, self.labels[template], size / self.sizes[template])
+                for first, end, template, size in found
+                if size >= (self.sizes[template] if self.sizes[template] <= WHOLE else LEAST_COVER * self.sizes[template])
+            ]
+        )
         base_labels = {label for _, label in base}
         labels = base_labels | {label for _, _, label, _ in good}
         return (
@@ -233,7 +209,7 @@ class Scanner:
             max(places, default=None),
             ",".join(sorted(base_labels)),
             ",".join(sorted(labels)),
-            min(1.0, max((share for *_, share in covered), default=0.0)),
+            min(1.0, max(shares, default=0.0)),
             ",".join(f"{label}:{first}:{end}" for first, end, label, _ in good),
         )
 
@@ -260,12 +236,13 @@ def scan_licenses(
     """Licences named in every whole text: the columns `keep` (default doc_id) and FIELDS.
 
     score is the largest share of a template's words that one chain covers; a chain that covers
-    LEAST_COVER gives its label and its span (label:first word:end). Several templates may have the
+    LEAST_COVER of them (of a template of WHOLE words or fewer, all) gives its label and its span (label:first
+    word:end), unless one of another label that is covered better meets it. Several templates may have the
     same label. A null text has no words: counts 0, first_word and last_word null, labels empty, score
     0. One row comes out for each row that goes in; other columns are not read. The templates are sent
     to the workers, so they should stay a few MB.
     """
-    templates = TEMPLATES if templates is None else templates
+    templates = all_templates() if templates is None else templates
     phrases = PHRASES if phrases is None else phrases
     key = ("licences", repr(templates), repr(phrases))
 
