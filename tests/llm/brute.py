@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from fractions import Fraction
 from itertools import accumulate, product
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -178,3 +179,64 @@ def unigram_scores(texts, held_out):
         )
         for text in words
     ]
+
+
+VALUE = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+
+
+def _run(text, at, allowed):
+    end = at
+    while end < len(text) and text[end] in allowed:
+        end += 1
+    return end
+
+
+def base_secrets(text):
+    """(start, end, kind) of the fixed patterns, matched character by character."""
+    found, at = [], 0
+    while at < len(text):
+        end = None
+        for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if "".join(c.lower() if c.isascii() else c for c in text[at : at + len(word)]) == word:
+                i = at + len(word)
+                i += text[i : i + 1] in ('"', "'") and i < len(text)
+                i = _run(text, i, {" "})
+                if text[i : i + 1] in (":", "=") and i < len(text):
+                    i = _run(text, i + 1, {" "})
+                    i += text[i : i + 1] in ('"', "'") and i < len(text)
+                    end = _run(text, i, VALUE)
+                    if end > i:
+                        if end - i >= 6:
+                            found.append((at, end, 0, "assign"))
+                        break
+                    end = None
+        at = end or at + 1
+    for first, allowed, least, order, kind in (
+        ("AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 20, 1, "access"),
+        ("", set("0123456789abcdef"), 24, 2, "hex"),
+    ):
+        at = 0
+        while at < len(text):
+            if text.startswith(first, at):
+                end = _run(text, at + len(first), allowed)
+                if end > at + len(first):
+                    if end - at >= least:
+                        found.append((at, end, order, kind))
+                    at = end
+                    continue
+            at += 1
+    return [(start, end, kind) for start, end, order, kind in sorted(found, key=lambda f: (f[0], f[2]))]
+
+
+def chosen_cutoffs(rows, chain, strata, allowed, error):
+    """{rule: cutoff} of one stratum by exact binomials; `rows` has the ratios of its good documents by rule."""
+    cutoffs, n = {}, len(rows)
+    for rule, cutoff in chain:
+        tightened = {**cutoffs, rule: cutoff}
+        k = sum(any(row[r] > c for r, c in tightened.items()) for row in rows)
+        rate = Fraction(allowed).limit_denominator(1000)
+        tail = sum(math.comb(n, i) * rate**i * (1 - rate) ** (n - i) for i in range(k + 1))
+        if not (k < n * rate and tail <= Fraction(error).limit_denominator(1000) / strata):
+            break
+        cutoffs = tightened
+    return cutoffs

@@ -131,6 +131,14 @@ def test_alignment_query(spark, by_id, tokenizers, monkeypatch):
     assert len(found) == len(rows)
 
 
+def test_alignment_forgets_and_goes_on(tokenizers, monkeypatch):
+    monkeypatch.setattr(token_alignment, "PARTS", 3)
+    aligner, parts = token_alignment.Aligner(*tokenizers), ["one", "two", "x" * 100, "three", "one", "four▁", "", "\x00"] * 3
+    assert aligner.of(parts) == [aligner.align([part])[0] for part in parts] == aligner.align(parts)
+    for part in parts:
+        assert aligner.of([part]) == aligner.align([part])
+
+
 def test_ranks_give_the_same_tokens(tokenizers):
     a, rnd = tokenizers[0], random.Random(3)
     assert a.by_rank is not None

@@ -127,3 +127,29 @@ def test_queries_return_whole_tables(spark):
     for name, query in queries.queries().items():
         if name != "pipeline":
             assert query(spark, SF).count() == count, name
+
+
+def test_quality_and_toxicity_of_held_out_documents(spark, tmp_path):
+    # Labels of sf0.1: taught by four fifths of them, judged by the others.
+    sf = "/root/testdata/sf0.1"
+    documents, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    taught = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(5)) > 0
+    judged = quality_classifier.classify_quality(documents, labels.where(taught), str(tmp_path / "q"))
+    kept = {True: [], False: []}
+    toxic = []
+    for row in judged.join(labels.where(~taught).selectExpr("doc_id", "quality AS good", "toxic AS bad"), "doc_id").collect():
+        kept[bool(row["good"]) and not row["bad"]].append(row["kept"])
+        if row["bad"]:
+            toxic.append(row["toxic"] >= 0.5)
+    assert len(toxic) > 50 and sum(toxic) >= 0.7 * len(toxic)  # 68 of 88 when it was written
+    assert sum(kept[True]) >= 0.97 * len(kept[True]) and sum(kept[False]) <= 0.2 * len(kept[False])
+
+
+def test_a_document_is_not_its_own_prior(docs, by_id, spark, tmp_path):
+    # One page sites: their prior is that of all documents, whatever the page itself says.
+    texts = [(f"{'nice' if i % 2 else 'awful'} text number {i}", f"l{i}", f"s{i}") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    rows = by_id(quality_classifier.classify_quality(docs(texts), labels, str(tmp_path / "q")))
+    priors = {round(row["path_prior"], 6) for row in rows.values()}
+    assert len(priors) <= 2 and max(priors) - min(priors) < 0.02
+    assert all(rows[i]["kept"] == bool(i % 2) for i in range(200))
