@@ -347,14 +347,23 @@ FROM (
 """
 
 
-def _top_products(limit: int) -> str:
+# Every third order with its first two items only.
+_FEWER_ITEMS = """(
+SELECT CASE WHEN number_row_source % 3 = 0 AND len(string_split(items_json, '}')) > 2
+            THEN string_split(items_json, '}')[1] || '}' || string_split(items_json, '}')[2] || '}]'
+            ELSE items_json END AS items_json
+FROM accepted)"""
+
+
+def _top_products(limit: int, source: str = "accepted") -> str:
+    products = _PRODUCTS.replace("FROM accepted", f"FROM {source}")
     return rf"""
 SELECT product_name,
   sum(CASE WHEN regexp_full_match(q, '\s*[+-]?\d+\s*') THEN try_cast(q AS BIGINT) ELSE 1 END)::BIGINT
     AS total_quantity_sold,
   round(sum(CASE WHEN regexp_full_match(r, '\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*')
                  THEN try_cast(r AS DECIMAL(28,6)) ELSE 0 END), 2)::DOUBLE AS total_revenue
-FROM ({_PRODUCTS}) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {limit}
+FROM ({products}) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {limit}
 """
 
 
@@ -418,6 +427,25 @@ def oracle_sql() -> dict[str, str]:
             "dirty",
             "SELECT {} FROM dirty".format(", ".join(f"coalesce({f}, '') AS {f}" for f in ORDER_FIELDS)),
         ),
+        "csv_line_breaks": with_(
+            "dirty",
+            "SELECT {} FROM dirty".format(
+                ", ".join(
+                    f"coalesce({f}, '') AS {f}"
+                    if f != "customer_name"
+                    else "CASE WHEN number_row_source % 3 = 0 THEN customer_name || chr(10) || 'line \"two\", of ' "
+                    "|| number_row_source ELSE customer_name END AS customer_name"
+                    for f in ORDER_FIELDS
+                )
+            ),
+        ),
+        "broken_records": "SELECT 'ORD-' || o_orderkey || CASE WHEN o_orderkey % 50 = 0 THEN ',CUST,only' "
+        "ELSE repeat(',x', 18) END AS record, (SELECT count(*) FROM orders) AS loaded, count(*) OVER () AS broken "
+        "FROM orders WHERE o_orderkey % 50 = 0 OR o_orderkey % 77 = 0",
+        "csv_count": "SELECT count(*) AS n_rows FROM orders",
+        "csv_sample": with_(
+            "dirty", f"SELECT order_id, items_json FROM ({_NUMBERED}) WHERE number_row_source <= 1000"
+        ),
         "exact_row_numbers": with_("dirty", f"SELECT number_row_source, order_id FROM ({_NUMBERED})"),
         "first_rows": with_(
             "dirty", f"SELECT order_id, items_json FROM ({_NUMBERED}) WHERE number_row_source <= 1000"
@@ -534,6 +562,25 @@ def oracle_sql() -> dict[str, str]:
             "SELECT quality_status <> 'quarantine' AS validated, "
             "coalesce(nullif(order_id, ''), 'orders.parquet#' || number_row_source) AS record_key FROM cleaned",
         ),
+        "elt_tables": with_(
+            "cleaned",
+            "SELECT CASE WHEN quality_status = 'quarantine' "
+            "THEN coalesce(nullif(order_id, ''), 'orders.parquet#' || number_row_source) ELSE order_id END AS record_key, "
+            f"quality_status, {_FIELDS}, len(corrections)::INTEGER AS corrections, "
+            "array_to_string(quarantine_reasons, ',') AS reasons, amount::DOUBLE AS amount FROM cleaned",
+        ),
+        "reset_tables": with_(
+            "accepted", "SELECT order_id, 0::BIGINT AS left_by_reset FROM accepted WHERE number_row_source % 3 = 0"
+        ),
+        "everything": with_(
+            "cleaned",
+            # In an order file a missing date is an empty text, and that is not a date.
+            "SELECT loaded, validated, loaded - validated AS quarantined, validated AS in_report, validated AS in_days, "
+            "3::BIGINT AS lookups, 2::BIGINT AS jobs_done, 2::BIGINT AS jobs_logged, true AS idempotent "
+            "FROM (SELECT count(*) AS loaded, "
+            "count(*) FILTER (quality_status <> 'quarantine' AND order_date IS NOT NULL) AS validated FROM cleaned)",
+        ),
+        "mv_top_products_incremental": with_("accepted", _top_products(50, _FEWER_ITEMS)),
         "daily_delta": with_(
             "accepted",
             "SELECT order_date, count(*) AS inc_orders, sum(amount)::DOUBLE AS inc_revenue, "
@@ -580,7 +627,7 @@ def oracle_sql() -> dict[str, str]:
             " UNION ALL ".join(
                 f"SELECT '{name}' AS query_id, '{layout}' AS layout, count(*) AS rows_stored, "
                 f"count(*) FILTER ({condition}) AS before_rows_returned, "
-                f"count(*) FILTER ({condition}) AS after_rows_returned, true AS no_more_examined FROM accepted"
+                f"count(*) FILTER ({condition}) AS after_rows_returned, true AS fewer_rows_examined, true AS fewer_files_examined FROM accepted"
                 for name, layout, condition in [
                     ("Q1_customer_orders", "customer_order_date", "customer_id = 'CUST-7'"),
                     ("Q2_city_status", "city", "city = 'NATION_3' AND status = 'DELIVERED'"),

@@ -30,23 +30,20 @@ def with_record_key(quarantined: DataFrame) -> DataFrame:
     )
 
 
-def correction_examples(cleaned: DataFrame, limit: int = 10) -> DataFrame:
-    """F8: some orders that were corrected, the first ones by id."""
-    return (
-        cleaned.where(F.size("corrections") > 0)
-        .orderBy("order_id", "number_row_source")
-        .limit(limit)
-        .select("order_id", "quality_status", "corrections")
-    )
+def _first(rows: DataFrame, limit: int, ordered: bool) -> DataFrame:
+    return (rows.orderBy("order_id", "number_row_source") if ordered else rows).limit(limit)
 
 
-def quarantine_examples(cleaned: DataFrame, limit: int = 10) -> DataFrame:
-    """some quarantined orders, the first ones by id."""
-    return (
-        quarantined_orders(cleaned)
-        .orderBy("order_id", "number_row_source")
-        .limit(limit)
-        .select("order_id", "customer_id", "quality_status", "quarantine_reasons")
+def correction_examples(cleaned: DataFrame, limit: int = 10, ordered: bool = True) -> DataFrame:
+    """F8: some orders that were corrected, the first ones by id; or, read no further than that, the first ones found."""
+    corrected = cleaned.where(F.size("corrections") > 0)
+    return _first(corrected, limit, ordered).select("order_id", "quality_status", "corrections")
+
+
+def quarantine_examples(cleaned: DataFrame, limit: int = 10, ordered: bool = True) -> DataFrame:
+    """some quarantined orders, the first ones by id; or, read no further than that, the first ones found."""
+    return _first(quarantined_orders(cleaned), limit, ordered).select(
+        "order_id", "customer_id", "quality_status", "quarantine_reasons"
     )
 
 

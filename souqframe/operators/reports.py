@@ -44,11 +44,8 @@ def get_sales_by_city(orders: DataFrame) -> DataFrame:
     return _sales_by(orders, "city", "total_revenue").orderBy(F.desc("total_revenue"), "city")
 
 
-def product_sales(orders: DataFrame) -> DataFrame:
-    """G2 without its limit: quantity and revenue by product over every line item.
-
-    Quantities are summed as decimals; a sum above the largest long is given as that.
-    """
+def product_lines(orders: DataFrame, *also: str) -> DataFrame:
+    """Product, quantity and revenue of every line item, with the columns `also` of its order."""
 
     def first_filled(line: Column, names: list[str]) -> Column:
         return F.coalesce(*[F.nullif(line[name], F.lit("")) for name in names])
@@ -59,9 +56,10 @@ def product_sales(orders: DataFrame) -> DataFrame:
     revenue = arabic_to_western(first_filled(line, REVENUE_FIELDS))
     return (
         orders.where(F.col("items_json").rlike(r"^\s*\["))
-        .select(F.explode(items).alias("line"))
+        .select(F.explode(items).alias("line"), *also)
         .where(line.isNotNull())
         .select(
+            *also,
             F.coalesce(first_filled(line, NAME_FIELDS), F.lit(UNNAMED_PRODUCT)).alias("product_name"),
             F.coalesce(
                 F.when(quantity.rlike(INTEGER_PATTERN), F.trim(quantity).try_cast("decimal(28,0)")), F.lit(1)
@@ -71,21 +69,40 @@ def product_sales(orders: DataFrame) -> DataFrame:
                 F.lit(0).cast("decimal(28,6)"),
             ).alias("revenue"),
         )
-        .groupBy("product_name")
-        .agg(
-            F.least(F.sum("quantity"), F.lit(MOST).cast("decimal(38,0)")).cast("long").alias("total_quantity_sold"),
-            _money(F.sum("revenue")).alias("total_revenue"),
-        )
     )
 
 
-def get_top_products(orders: DataFrame, limit: int = 10) -> DataFrame:
-    """The products sold most."""
+def product_sums(lines: DataFrame, sign: str | None = None) -> DataFrame:
+    """Lines, quantity and revenue by product; with `sign`, a column of 1 and -1, what they add and take off."""
+
+    def signed(value: Column | str) -> Column:
+        return F.sum(F.when(F.col(sign) < 0, -F.col(value)).otherwise(F.col(value))) if sign else F.sum(value)
+
+    return lines.groupBy("product_name").agg(
+        (F.sum(sign) if sign else F.count(F.lit(1))).cast("long").alias("lines"),
+        signed("quantity").cast("decimal(38,0)").alias("quantity"),
+        signed("revenue").cast("decimal(38,6)").alias("revenue"),
+    )
+
+
+def top_of_sums(sums: DataFrame, limit: int) -> DataFrame:
+    """The products sold most, from their sums. A quantity above the largest long is given as that."""
     return (
-        product_sales(orders).orderBy(F.desc("total_quantity_sold"), "product_name").limit(limit)
+        sums.select(
+            "product_name",
+            F.least("quantity", F.lit(MOST).cast("decimal(38,0)")).cast("long").alias("total_quantity_sold"),
+            _money(F.col("revenue")).alias("total_revenue"),
+        )
+        .orderBy(F.desc("total_quantity_sold"), "product_name")
+        .limit(limit)
     )
 
 
+def get_top_products(orders: DataFrame, limit: int = 10) -> DataFrame:
+    """The products sold most, over every line item."""
+    return top_of_sums(product_sums(product_lines(orders)), limit)
+
+
 def get_top_customers(orders: DataFrame, limit: int = 10) -> DataFrame:
     """The customers that spent most."""
     return (

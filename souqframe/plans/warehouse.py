@@ -6,14 +6,15 @@ from souqframe.schemas import (
     CLEAN_SCHEMA,
     DAILY_SALES_SCHEMA,
     JOB_LOG_SCHEMA,
+    PRODUCT_SUMS_SCHEMA,
     QUARANTINE_SCHEMA,
     RAW_SCHEMA,
     RECORD_KEY,
     TOP_PRODUCTS_SCHEMA,
-    WATERMARK_SCHEMA,
 )
 from souqframe.sources.raw_orders import read_orders_raw
 from souqframe.sources.tables import KeyedTable
+from souqframe.sources.watermarks import Watermarks
 
 
 class Warehouse:
@@ -25,7 +26,7 @@ class Warehouse:
         self.job_log_path = f"{self.root}/job_logs"
         self.validated = KeyedTable(
             spark, f"{self.root}/orders_validated", CLEAN_SCHEMA, "order_id",
-            tracked=("order_date", "amount", "at_ingested"), buckets=buckets,
+            tracked=("order_date", "amount", "at_ingested", "items_json"), buckets=buckets,
         )
         self.quarantine = KeyedTable(
             spark, f"{self.root}/orders_quarantine", QUARANTINE_SCHEMA, RECORD_KEY, buckets=buckets
@@ -36,9 +37,10 @@ class Warehouse:
         self.top_products = KeyedTable(
             spark, f"{self.root}/mv_top_products_summary", TOP_PRODUCTS_SCHEMA, "product_name", buckets=1
         )
-        self.watermarks = KeyedTable(
-            spark, f"{self.root}/mv_watermarks", WATERMARK_SCHEMA, "mv_name", buckets=1
+        self.product_sums = KeyedTable(
+            spark, f"{self.root}/mv_product_sums", PRODUCT_SUMS_SCHEMA, "product_name", buckets=1
         )
+        self.watermarks = Watermarks(spark, f"{self.root}/mv_watermarks")
 
     def raw(self, id_run: str | None = None) -> DataFrame:
         """Raw orders, of one run or of all."""

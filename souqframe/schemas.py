@@ -91,6 +91,16 @@ TOP_PRODUCTS_SCHEMA = T.StructType(
     ]
 )
 
+# What the product report is made of: kept up to date by what each change adds and takes off.
+PRODUCT_SUMS_SCHEMA = T.StructType(
+    [
+        T.StructField("product_name", T.StringType()),
+        T.StructField("lines", T.LongType()),
+        T.StructField("quantity", T.DecimalType(38, 0)),
+        T.StructField("revenue", T.DecimalType(38, 6)),
+    ]
+)
+
 WATERMARK_SCHEMA = T.StructType(
     [
         T.StructField("mv_name", T.StringType()),

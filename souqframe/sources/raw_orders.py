@@ -4,14 +4,18 @@ import time
 from math import ceil
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from souqframe.schemas import ENVELOPE_FIELDS, ORDER_FIELDS, RAW_SCHEMA
+from souqframe.sources.records import leading_records, read_records
 from souqframe.sources.workspace import exists, workspace
 
 # Doubled quotes inside a quoted field are how the order files carry JSON.
-_CSV = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+_QUOTES = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+_CSV = {"header": True, **_QUOTES}
+BROKEN = "_broken"  # the text of a record that has more or fewer fields than the header
+POSITION = "_position"  # where a record stands in its file, if that is known
 
 
 def read_orders_raw(spark: SparkSession, path: str, id_run: str | None = None) -> DataFrame:
@@ -20,30 +24,48 @@ def read_orders_raw(spark: SparkSession, path: str, id_run: str | None = None) -
     return raw if id_run is None else raw.where(F.col("id_run") == id_run)
 
 
-def read_order_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_order_csv(spark: SparkSession, path: str, multi_line: bool = False, broken: bool = False) -> DataFrame:
     """An order file as text columns, found by the names in its header.
 
     Nothing is inferred, so the file is read once. A field that is empty or absent is an empty text.
-    With `multi_line`, quoted fields may hold line breaks, but Spark then reads each file in one task.
+    With `multi_line`, quoted fields may hold line breaks: see `read_records`. With `broken`, a record
+    that has more or fewer fields than the header also comes as text; it is read as far as it goes.
     """
     if "*" not in path and not exists(spark, path):
         raise FileNotFoundError(f"no order file at {path}")
     header = spark.read.options(**_CSV).csv(path).columns
     if not header:
         raise ValueError(f"{path} has no header")
-    schema = ", ".join(f"`{name}` string" for name in header)
+    if multi_line:
+        return _parsed(read_records(spark, path), header, broken)
+    schema = ", ".join(f"`{name}` string" for name in [*header, *([BROKEN] if broken else [])])
     rows = (
         spark.read.schema(schema)
-        .options(**_CSV, multiLine=multi_line, enforceSchema=False)
+        .options(**_CSV, columnNameOfCorruptRecord=BROKEN, enforceSchema=False)
         .csv(path)
     )
-    present = set(header)
     return rows.select(
-        *[
-            (F.coalesce(F.col(name), F.lit("")) if name in present else F.lit("")).alias(name)
-            for name in ORDER_FIELDS
-        ],
-        F.col("_metadata.file_path").alias("file_source"),
+        *_fields(header), F.col("_metadata.file_path").alias("file_source"), *([BROKEN] if broken else [])
+    )
+
+
+def _fields(header: list[str], of: str = "") -> list[Column]:
+    return [
+        (F.coalesce(F.col(f"{of}`{name}`"), F.lit("")) if name in header else F.lit("")).alias(name)
+        for name in ORDER_FIELDS
+    ]
+
+
+def _parsed(records: DataFrame, header: list[str], broken: bool) -> DataFrame:
+    """The fields of records that come as text, with file and position."""
+    schema = ", ".join(f"`{name}` string" for name in [*header, BROKEN])
+    options = {**_QUOTES, "columnNameOfCorruptRecord": BROKEN}
+    parsed = F.from_csv("record", schema, {key: str(value) for key, value in options.items()})
+    return records.withColumn("_parsed", parsed).select(
+        *_fields(header, "_parsed."),
+        "file_source",
+        POSITION,
+        *([F.col(f"_parsed.{BROKEN}").alias(BROKEN)] if broken else []),
     )
 
 
@@ -54,12 +76,13 @@ def with_envelope(
 
     Row numbers rise through each file but have gaps; see `exact_row_numbers`.
     """
+    number = F.col(POSITION) if POSITION in rows.columns else F.monotonically_increasing_id()
     return rows.select(
         F.lit(time.time() if at_ingested is None else at_ingested).alias("at_ingested"),
         F.lit(engine_used).alias("engine_used"),
         "file_source",
         F.lit(id_run).alias("id_run"),
-        F.monotonically_increasing_id().alias("number_row_source"),
+        number.alias("number_row_source"),
         F.struct(*ORDER_FIELDS).alias("record_raw"),
     )
 
@@ -112,18 +135,26 @@ def load_csv_to_raw(
 ) -> dict:
     """Appends an order file to the raw table without cleaning anything.
 
+    Records with more or fewer fields than the header are loaded as far as they go, counted as `broken`,
+    and their text is stored next to the raw table, by run.
     `batch_size` only counts the batches reported; Spark sizes its own writes.
     """
     if batch_size <= 0:
         raise ValueError("batch_size must be greater than zero")
     id_run = id_run or str(uuid4())
     started = time.perf_counter()
-    raw = with_envelope(read_order_csv(spark, file_path, multi_line), id_run)
+    rows, seen = read_order_csv(spark, file_path, multi_line, broken=True), Observation()
+    counted = rows.observe(seen, F.count(BROKEN).alias("broken"))
+    raw = with_envelope(counted, id_run)
     loaded = append_raw(exact_row_numbers(raw) if exact_rows else raw, raw_path)
+    broken = seen.get["broken"]
+    if broken:
+        store_broken(rows, id_run, broken_path(raw_path))
     seconds = time.perf_counter() - started
     return {
         "id_run": id_run,
         "loaded_raw": loaded,
+        "broken": broken,
         "batches": ceil(loaded / batch_size),
         "seconds_elapsed": seconds,
         "throughput": loaded / seconds if seconds > 0 else 0,
@@ -141,6 +172,20 @@ def count_order_csv(spark: SparkSession, path: str, expected_rows: int | None =
     return {"rows": rows, "seconds": seconds, "throughput": rows / seconds if seconds > 0 else 0}
 
 
+def broken_path(raw_path: str) -> str:
+    """Where the texts of a raw table's broken records are."""
+    return f"{raw_path.rstrip('/')}_broken"
+
+
+def store_broken(rows: DataFrame, id_run: str, path: str) -> None:
+    """The text of broken records, one folder for each run. Reads the file once more, so only if there are some."""
+    # Only a record that is parsed as a whole tells whether it is broken.
+    parsed = F.length(F.concat(*ORDER_FIELDS)) >= 0
+    rows.where(parsed & F.col(BROKEN).isNotNull()).select(
+        "file_source", F.col(BROKEN).alias("record"), F.lit(id_run).alias("id_run")
+    ).write.mode("append").partitionBy("id_run").parquet(path)
+
+
 def first_rows(raw: DataFrame, rows: int) -> DataFrame:
     """The first rows of a file as text columns, from raw orders with exact row numbers.
 
@@ -167,12 +212,15 @@ def create_sample(
 ) -> int:
     """Copies the first rows of an order file, header included.
 
-    With `exactly`, a file that has fewer rows is an error and nothing is written.
+    With `exactly`, a file that has fewer rows is an error and nothing is written. Only the first splits
+    of the file are read, as many as it takes: see `leading_records`.
     """
-    raw = exact_row_numbers(with_envelope(read_order_csv(spark, input_file), "sample"))
-    sample = first_rows(raw, rows)
-    if exactly and (found := sample.count()) != rows:
+    if rows <= 0:
+        raise ValueError("rows must be greater than zero")
+    header = spark.read.options(**_CSV).csv(input_file).columns
+    records, found = leading_records(spark, input_file, rows)
+    if exactly and found < rows:
         raise RuntimeError(f"expected {rows:,} rows but found only {found:,}")
-    written = Observation()
+    sample, written = _parsed(records, header, broken=False).select(*ORDER_FIELDS), Observation()
     write_order_csv(sample.observe(written, F.count(F.lit(1)).alias("rows")), output_path)
     return written.get["rows"]

@@ -2,32 +2,37 @@
 
 A table is a folder:
 
-    data/gen=7/origin=batch/bucket=3/   rows that upsert 7 brought
-    data/gen=7/origin=kept/bucket=3/    rows of the same buckets that it left alone
-    changes/gen=7/                      tracked columns of the changed rows, before and after
-    commits/                            one small file per upsert: which buckets it rewrote
-
-A row's bucket is a hash of its key. An upsert reads and rewrites only the buckets that its keys fall
-into, always into a new folder, and counts from the moment its commit file appears. A job that dies
-before that leaves the table as it was, and running it again overwrites what it left behind. One
-writer at a time.
+    data/gen=7/run=a/state=kept/bucket=3/   all current rows of the buckets that commit 7 rewrote
+    data/gen=7/run=a/state=gone/bucket=3/   of the rows it took out: key and tracked columns
+    incoming/                               the rows to put in, until it is done
+    changes/gen=7/                          key and tracked columns of both, with a sign
+    commits/7.json                          the buckets as of commit 7: where each begins, who holds it, its rows
+
+A bucket is a range of keys, cut where a sample of the first keys says. Keys that are close to each other,
+such as the next order ids, fall into few buckets, and only those are rewritten; one that has grown too
+large is cut as it is rewritten. Rows count from the moment their commit file appears. A job that dies
+before that leaves the table as it was. Of two writers at a time the second one fails: each has folders
+of its own, and no commit file is written twice.
 """
 
-from dataclasses import dataclass
+import json
+from bisect import bisect_left
+from dataclasses import astuple, dataclass, replace
 from functools import reduce
-from operator import or_
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from souqframe.sources.workspace import exists, remove
-
-COMMITS = "gen long, bucket int, buckets int, source_gen long"
+from souqframe.sources.workspace import create_text, exists, names_in, read_text, remove, rename
 
 # What makes one row of a batch newer than another with the same key.
 NEWEST_BY = ["at_ingested", "number_row_source", "file_source", "id_run"]
 
+ROWS = 250_000  # of a bucket; one with twice as many is cut
+SAMPLED = 100  # keys of each bucket to be, for where it begins
+
 
 def newest_per_key(batch: DataFrame, key: str, newest_by: list[str]) -> DataFrame:
     """The newest row of every key; rows without a key are left out.
@@ -41,14 +46,49 @@ def newest_per_key(batch: DataFrame, key: str, newest_by: list[str]) -> DataFram
     )
 
 
+@dataclass(frozen=True)
+class Bucket:
+    """Keys from `low` (None: from the first) up to the next bucket's, in the folder of commit `gen` and its run."""
+
+    number: int
+    low: str | None
+    gen: int
+    run: str
+    rows: int
+
+
 @dataclass(frozen=True)
 class State:
-    """What the commits say: the buckets that each commit still owns, and how far things have got."""
+    """What the last commit says: its number, how far a summary has got, the buckets by their keys."""
+
+    last_gen: int = 0
+    source_gen: int = 0
+    buckets: tuple[Bucket, ...] = ()
+
+    @property
+    def owners(self) -> dict[int, list[int]]:
+        """The buckets that each commit still holds."""
+        held: dict[int, list[int]] = {}
+        for bucket in self.buckets:
+            held.setdefault(bucket.gen, []).append(bucket.number)
+        return held
+
+    def bucket_of(self, key: Column | str) -> Column:
+        """The number of a key's bucket: as many comparisons as the buckets' count has bits."""
+
+        def place(buckets: tuple[Bucket, ...]) -> Column:
+            if len(buckets) == 1:
+                return F.lit(buckets[0].number)
+            half = len(buckets) // 2
+            return F.when(F.col(key) < buckets[half].low, place(buckets[:half])).otherwise(place(buckets[half:]))
+
+        return place(self.buckets)
+
 
-    last_gen: int
-    source_gen: int
-    buckets: int
-    owners: dict[int, list[int]]
+def _cuts(keys: list[str], parts: int) -> list[str]:
+    """Where to cut sorted keys so that the parts have about as many each; equal keys stay together."""
+    places = sorted({keys[len(keys) * part // parts] for part in range(1, parts)}) if keys else []
+    return [key for key in places if key > keys[0]]
 
 
 class KeyedTable:
@@ -60,36 +100,31 @@ class KeyedTable:
         key: str,
         tracked: tuple[str, ...] = (),
         buckets: int | None = None,
+        rows_per_bucket: int = ROWS,
     ):
-        """`buckets` counts for a new table only; left out, it is the session's shuffle partitions,
-        so that each task of the upsert's shuffle writes one bucket."""
+        """The key is a string. `buckets` counts for a new table only; left out, it is the session's shuffle
+        partitions, or more if `rows_per_bucket` asks for it."""
         self.spark, self.path, self.schema, self.key = spark, path, schema, key
         self.tracked = tracked
-        self._new_buckets = buckets
+        self._new_buckets, self._rows_per_bucket = buckets, rows_per_bucket
 
     # --- what is committed -------------------------------------------------------------------
 
-    def _commits(self) -> DataFrame:
-        if not exists(self.spark, f"{self.path}/commits"):
-            return self.spark.createDataFrame([], COMMITS)
-        return self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits")
+    def _committed(self) -> list[int]:
+        return sorted(int(name.split(".")[0]) for name in names_in(self.spark, f"{self.path}/commits"))
 
-    def _state(self) -> "State":
-        """Where the table stands; as many rows reach the driver as it has buckets."""
-        latest = self._commits().groupBy("bucket").agg(
-            F.max("gen").alias("gen"), F.max("buckets").alias("buckets"), F.max("source_gen").alias("source")
-        )
-        rows = latest.collect()
-        owners: dict[int, list[int]] = {}
-        for row in rows:
-            owners.setdefault(row["gen"], []).append(row["bucket"])
-        new = self._new_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return State(
-            last_gen=max(owners, default=0),
-            source_gen=max((row["source"] or 0 for row in rows), default=0),
-            buckets=max((row["buckets"] for row in rows), default=new),
-            owners=owners,
-        )
+    def _state(self) -> State:
+        """Where the table stands: one small file, which has a line for each bucket."""
+        gens = self._committed()
+        if not gens:
+            return State()
+        held = json.loads(read_text(self.spark, f"{self.path}/commits/{gens[-1]}.json"))
+        self._publish(gens[-1], held["run"])  # if the writer died in between
+        return State(gens[-1], held["source_gen"], tuple(Bucket(*bucket) for bucket in held["buckets"]))
+
+    def row_count(self) -> int:
+        """The number of rows, as the last commit has it."""
+        return sum(bucket.rows for bucket in self._state().buckets)
 
     def last_gen(self) -> int:
         """The number of the last commit, 0 for a new table."""
@@ -101,32 +136,26 @@ class KeyedTable:
 
     # --- reading -----------------------------------------------------------------------------
 
-    def _rows(self, state: "State", only: list[int] | None = None) -> DataFrame:
-        """The current rows with their bucket; the conditions are on folders, not on rows."""
-        owners = state.owners
-        if only is not None:
-            wanted = set(only)
-            owners = {gen: [b for b in buckets if b in wanted] for gen, buckets in owners.items()}
-            owners = {gen: buckets for gen, buckets in owners.items() if buckets}
-        schema = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
-        if not owners:
-            return self.spark.createDataFrame([], schema)
+    @property
+    def _stored(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
+
+    def _rows(self, state: State, only: set[int] | None = None) -> DataFrame:
+        """The current rows with their bucket; the folders read are those of the buckets."""
         data = f"{self.path}/data"
-        stored = T.StructType(
-            [*schema.fields, T.StructField("gen", T.LongType()), T.StructField("origin", T.StringType())]
-        )
-        rows = (
-            self.spark.read.schema(stored)
-            .option("basePath", data)
-            .parquet(*[f"{data}/gen={gen}" for gen in sorted(owners)])
-        )
-        if len(owners) > 1 or only is not None:
-            current = [
-                (F.col("gen") == gen) & F.col("bucket").isin(buckets)
-                for gen, buckets in owners.items()
-            ]
-            rows = rows.where(reduce(or_, current))
-        return rows.select(*schema.fieldNames())
+        folders = [
+            f"{data}/gen={bucket.gen}/run={bucket.run}/state=kept/bucket={bucket.number}"
+            for bucket in self.buckets_of(state, only)
+            if bucket.rows
+        ]
+        if not folders:
+            return self.spark.createDataFrame([], self._stored)
+        rows = self.spark.read.schema(self._stored).option("basePath", data).parquet(*folders)
+        return rows.select(*self._stored.fieldNames())
+
+    @staticmethod
+    def buckets_of(state: State, only: set[int] | None) -> list[Bucket]:
+        return [bucket for bucket in state.buckets if only is None or bucket.number in only]
 
     def read(self) -> DataFrame:
         """The rows as of the last commit."""
@@ -137,109 +166,224 @@ class KeyedTable:
         state = self._state()
         return self._rows(state).drop("bucket"), state.last_gen
 
+    @property
+    def change_schema(self) -> T.StructType:
+        tracked = [self.schema[name] for name in (self.key, *self.tracked)]
+        return T.StructType([*tracked, T.StructField("sign", T.IntegerType())])
+
+    def signed_changes(self, after: int, upto: int) -> DataFrame:
+        """Key and tracked columns of the rows that commits (after, upto] put in (sign 1) and took out (-1)."""
+        changes = f"{self.path}/changes"
+        present = {int(name.split("=")[1]) for name in names_in(self.spark, changes)} if self.tracked else set()
+        gens = [gen for gen in sorted(present) if after < gen <= upto]
+        schema = T.StructType([*self.change_schema.fields, T.StructField("gen", T.LongType())])
+        if not gens:
+            return self.spark.createDataFrame([], schema)
+        folders = [f"{changes}/gen={gen}" for gen in gens]
+        return self.spark.read.schema(schema).option("basePath", changes).parquet(*folders)
+
     def changes(self, after: int, upto: int) -> DataFrame:
         """The tracked columns, as old_* and new_*, of every row changed by commits (after, upto]."""
-        schema = T.StructType(
-            [self.schema[self.key]]
-            + [T.StructField(f"old_{name}", self.schema[name].dataType) for name in self.tracked]
-            + [T.StructField(f"new_{name}", self.schema[name].dataType) for name in self.tracked]
-        )
-        gens = [
-            row["gen"]
-            for row in self._commits()
-            .where((F.col("gen") > after) & (F.col("gen") <= upto))
-            .select("gen")
-            .distinct()
-            .collect()
+        signed = self.signed_changes(after, upto)
+        sides = [
+            signed.where(F.col("sign") == sign).select(
+                "gen", self.key, *[F.col(name).alias(f"{side}_{name}") for name in self.tracked]
+            )
+            for sign, side in ((-1, "old"), (1, "new"))
         ]
-        if not gens:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(
-            *[f"{self.path}/changes/gen={gen}" for gen in gens]
-        )
+        return sides[0].join(sides[1], ["gen", self.key], "full").drop("gen")
 
     # --- writing -----------------------------------------------------------------------------
 
-    def _bucket(self, buckets: int) -> Column:
-        # The same hash as Spark's shuffle, so rows shuffled by key arrive bucket by bucket.
-        return F.pmod(F.hash(self.key), F.lit(buckets)).cast("int")
+    def _fingerprint(self) -> Column:
+        """What a row adds to a sum that does not depend on order: its key and the numbers that are tracked."""
+        numbers = [name for name in self.tracked if not isinstance(self.schema[name].dataType, T.StringType)]
+        return F.xxhash64(self.key, *numbers).cast("decimal(38,0)")
 
-    def _write(self, rows: DataFrame, gen: int, origin: str) -> DataFrame:
-        folder = f"{self.path}/data/gen={gen}/origin={origin}"
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(folder)
-        schema = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(folder)
+    def _winners(self, batch: DataFrame, newest_by: list[str], gen: int) -> tuple[DataFrame, int]:
+        """One row of each key, and how many that are.
 
-    def _commit(self, gen: int, touched: list[int], buckets: int, source_gen: int | None) -> None:
-        rows = [(gen, bucket, buckets, source_gen) for bucket in touched]
-        self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/commits"
-        )
-
-    def upsert(self, batch: DataFrame, newest_by: list[str] | None = None) -> int:
+        The keys alone are counted first. Where each comes once, as in most batches, the rows are not
+        shuffled; else only the rows of those that come again are reduced to the newest.
+        """
+        batch = batch.select(self.schema.fieldNames()).where(F.col(self.key).isNotNull())
+        keys = batch.groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
+        count, repeated = keys.agg(F.count(F.lit(1)), F.count_if(F.col("n") > 1)).first()
+        if not repeated:
+            return batch, count
+        # Written down: its size is known then, and Spark broadcasts it if it is small.
+        path = f"{self.path}/repeated/gen={gen}-{uuid4().hex[:12]}"
+        keys.where("n > 1").select(self.key).write.parquet(path)
+        again = self.spark.read.parquet(path)
+        newest = newest_per_key(batch.join(again, self.key, "left_semi"), self.key, newest_by)
+        return batch.join(again, self.key, "left_anti").select(newest.columns).unionAll(newest), count
+
+    def _sampled(self, rows: DataFrame, count: int, parts: int) -> list[str]:
+        """Some SAMPLED keys for each part, in order: those whose hash is below a share of all hashes."""
+        share = min(1.0, SAMPLED * parts / max(1, count))
+        below = F.pmod(F.xxhash64(self.key), F.lit(1 << 30)) < int(share * (1 << 30))
+        return sorted(row[0] for row in rows.where(below).select(self.key).distinct().collect())
+
+    def _first_buckets(self, rows: DataFrame, count: int, gen: int) -> State:
+        """The buckets of a new table."""
+        parts = self._new_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        parts = max(parts, -(-count // self._rows_per_bucket))
+        lows = [None, *(_cuts(self._sampled(rows, count, parts), parts) if parts > 1 else [])]
+        return State(gen - 1, 0, tuple(Bucket(number, low, gen, "", 0) for number, low in enumerate(lows)))
+
+    def _cut(self, state: State, sizes: dict[int, int], rows: DataFrame) -> tuple[State, set[int]]:
+        """The buckets with those cut that are to have more than twice the rows they should; the new ones' numbers."""
+        large = {number: size for number, size in sizes.items() if size > 2 * self._rows_per_bucket}
+        if not large:
+            return state, set()
+        parts = {number: -(-size // self._rows_per_bucket) for number, size in large.items()}
+        inside = rows.where(F.col("bucket").isin(list(large)))
+        keys = self._sampled(inside, sum(large.values()), sum(parts.values()))
+        made, free = [], max(bucket.number for bucket in state.buckets) + 1
+        for bucket, behind in zip(state.buckets, [*state.buckets[1:], None], strict=True):
+            made.append(bucket)
+            if bucket.number in large:
+                first = bisect_left(keys, bucket.low) if bucket.low is not None else 0
+                last = len(keys) if behind is None else bisect_left(keys, behind.low)
+                for low in _cuts(keys[first:last], parts[bucket.number]):
+                    made.append(replace(bucket, number=free, low=low, rows=0))
+                    free += 1
+        new = {bucket.number for bucket in made} - {bucket.number for bucket in state.buckets}
+        return replace(state, buckets=tuple(made)), new
+
+    def upsert(self, batch: DataFrame, newest_by: list[str] | None = None, source_gen: int = 0) -> int:
         """The batch's rows replace those with the same key; the rest of the table stays.
 
-        Gives the number of the commit. The batch is shuffled once, when it is written; everything
-        after that reads back its keys. A batch that is small next to the table has its keys
-        broadcast by Spark, on their measured size, and then the table is not shuffled at all.
+        Gives the number of the commit, which for a summary table notes how far it has got. The batch is written down first, as it is needed for its keys and
+        its rows; then the buckets that its keys fall into are read once and written anew, by a shuffle on
+        the bucket, so that each is one file. What was written is read again and counted before it counts.
         """
         state = self._state()
-        gen, bucket = state.last_gen + 1, self._bucket(state.buckets)
-        newest = newest_per_key(batch.select(self.schema.fieldNames()), self.key, newest_by or NEWEST_BY)
-        fresh = self._write(newest.withColumn("bucket", bucket), gen, "batch")
-        touched = [row[0] for row in fresh.select("bucket").distinct().collect()]
-        if not touched:
-            return state.last_gen
-        after = fresh.select(self.key, *[F.col(name).alias(f"new_{name}") for name in self.tracked])
-        return self._replace(state, after, touched)
+        gen = state.last_gen + 1
+        winners, count = self._winners(batch, newest_by or NEWEST_BY, gen)
+        if not count:
+            if source_gen > state.source_gen:
+                self._commit(gen, source_gen, list(state.buckets), "")
+            return max(state.last_gen, gen if source_gen > state.source_gen else 0)
+        if not state.buckets:
+            state = self._first_buckets(winners, count, gen)
+        staged = f"{self.path}/incoming/gen={gen}-{uuid4().hex[:12]}"
+        winners.withColumn("bucket", state.bucket_of(self.key)).write.parquet(staged)
+        fresh = self.spark.read.schema(self._stored).parquet(staged)
+        sizes = dict(map(tuple, fresh.groupBy("bucket").count().collect()))
+        if sum(sizes.values()) != count:
+            raise RuntimeError(f"{staged} has {sum(sizes.values()):,} rows instead of {count:,}")
+        self._rewrite(state, fresh, fresh.select(self.key), sizes, source_gen)
+        remove(self.spark, staged)
+        return gen
 
     def delete(self, keys: DataFrame) -> int:
         """Takes the rows with these keys out of the table."""
         state = self._state()
-        gen = state.last_gen + 1
         keys = keys.select(self.key).where(F.col(self.key).isNotNull()).distinct()
         present = self._rows(state).select(self.key, "bucket").join(keys, self.key, "left_semi")
         # Written down, because it is read several times below.
-        leaving = f"{self.path}/leaving/gen={gen}"
-        present.write.mode("overwrite").parquet(leaving)
+        leaving = f"{self.path}/leaving/gen={state.last_gen + 1}-{uuid4().hex[:12]}"
+        present.write.parquet(leaving)
         present = self.spark.read.parquet(leaving)
-        touched = [row[0] for row in present.select("bucket").distinct().collect()]
+        touched = {row[0]: 0 for row in present.select("bucket").distinct().collect()}
         if not touched:
             return state.last_gen
-        self._write(self._no_rows(), gen, "batch")
-        gone = [
-            F.lit(None).cast(self.schema[name].dataType).alias(f"new_{name}") for name in self.tracked
-        ]
-        return self._replace(state, present.select(self.key, *gone), touched)
-
-    def _no_rows(self) -> DataFrame:
-        return self.spark.createDataFrame([], self.schema).withColumn("bucket", F.lit(0))
-
-    def _replace(self, state: State, after: DataFrame, touched: list[int]) -> int:
-        """Keeps the rows of the touched buckets that are not in `after`, notes the changes, commits."""
-        gen = state.last_gen + 1
-        before = self._rows(state, touched)
-        self._write(before.join(after.select(self.key), self.key, "left_anti"), gen, "kept")
+        return self._rewrite(state, None, present.select(self.key), touched)
+
+    def _rewrite(
+        self, state: State, fresh: DataFrame | None, leaving: DataFrame, sizes: dict[int, int], source_gen: int = 0
+    ) -> int:
+        """Writes the buckets of `sizes` anew: `fresh` and the rows that are not leaving."""
+        touched, before = set(sizes), self._rows(state, set(sizes))
+        stood = {bucket.number: bucket.rows for bucket in self.buckets_of(state, touched)}
+        if fresh is not None:
+            known = before.select(self.key, "bucket").unionAll(fresh.select(self.key, "bucket"))
+            state, new = self._cut(state, {number: stood[number] + size for number, size in sizes.items()}, known)
+            touched |= new
+        # One join tells the rows that stay from those that leave, of which the tracked columns are enough.
+        flagged = before.join(leaving.select(self.key, F.lit(True).alias("_leaves")), self.key, "left")
+        leaves, small = F.col("_leaves").isNotNull(), {self.key, *self.tracked}
+        rows = flagged.select(
+            *[F.col(name) if name in small else F.when(~leaves, F.col(name)).alias(name) for name in self.schema.names],
+            F.when(leaves, "gone").otherwise("kept").alias("state"),
+        )
+        if fresh is not None:
+            rows = rows.unionAll(fresh.select(*self.schema.names, F.lit("kept")))
+        return self._write(state, touched, rows, sum(stood.values()) + sum(sizes.values()), fresh, source_gen)
+
+    def _write(
+        self, state: State, touched: set[int], rows: DataFrame, expected: int | None, fresh: DataFrame | None,
+        source_gen: int = 0,
+    ) -> int:
+        """Writes the touched buckets, one task each, reads them again and counts (C4, C5), then commits.
+
+        Counts and order-free sums of row hashes are taken as the rows are written. What is read again must
+        have the same; and where `expected` says how many rows there were, none may be lost or doubled.
+        """
+        gen, run = state.last_gen + 1, uuid4().hex[:12]
+        folder = f"{self.path}/data/gen={gen}/run={run}"
+        place = {number: index for index, number in enumerate(sorted(touched))}
+        tasks = replace(state, buckets=tuple(replace(b, number=place.get(b.number, 0)) for b in state.buckets))
+        kept, seen = F.col("state") == "kept", Observation()
+        dealt = rows.withColumn("bucket", state.bucket_of(self.key)).repartitionById(
+            len(touched), tasks.bucket_of(self.key)
+        )
+        dealt.observe(
+            seen,
+            F.count_if(kept).alias("kept"),
+            F.count_if(~kept).alias("gone"),
+            F.sum(F.when(kept, self._fingerprint())).alias("sum"),
+        ).write.partitionBy("state", "bucket").parquet(folder)
+        counted, found = seen.get, []
+        if exists(self.spark, f"{folder}/state=kept"):
+            written = self.spark.read.schema(self._stored).parquet(f"{folder}/state=kept")
+            by_bucket = written.groupBy("bucket").agg(F.count(F.lit(1)), F.sum(self._fingerprint()))
+            found = by_bucket.collect()
+        stored = sum(row[1] for row in found)
+        if expected is not None and counted["kept"] + counted["gone"] != expected:
+            raise RuntimeError(f"{expected:,} rows became {counted['kept']:,} kept and {counted['gone']:,} gone ones")
+        if (stored, sum(row[2] for row in found)) != (counted["kept"], counted["sum"] or 0):
+            raise RuntimeError(f"{folder} holds {stored:,} rows that are not the {counted['kept']:,} written")
         if self.tracked:
-            old = [F.col(name).alias(f"old_{name}") for name in self.tracked]
-            after.join(before.select(self.key, *old), self.key, "left").write.mode(
-                "overwrite"
-            ).parquet(f"{self.path}/changes/gen={gen}")
-        self._commit(gen, touched, state.buckets, None)
+            self._note_changes(f"{folder}/state=gone", fresh, f"{self.path}/unpublished/gen={gen}/run={run}")
+        sizes = {row["bucket"]: row[1] for row in found}
+        buckets = [
+            replace(bucket, gen=gen, run=run, rows=sizes.get(bucket.number, 0)) if bucket.number in touched else bucket
+            for bucket in state.buckets
+        ]
+        self._commit(gen, source_gen, buckets, run)
+        self._publish(gen, run)
         return gen
 
-    def overwrite(self, rows: DataFrame, source_gen: int | None = None) -> int:
+    def _note_changes(self, gone: str, fresh: DataFrame | None, folder: str) -> None:
+        columns, sides = [self.key, *self.tracked], []
+        if exists(self.spark, gone):
+            out = self.spark.read.schema(self._stored).parquet(gone)
+            sides.append(out.select(*columns, F.lit(-1).alias("sign")))
+        if fresh is not None:
+            sides.append(fresh.select(*columns, F.lit(1).alias("sign")))
+        reduce(DataFrame.unionAll, sides).write.parquet(folder)
+
+    def _commit(self, gen: int, source_gen: int, buckets: list[Bucket], run: str) -> None:
+        held = {"source_gen": source_gen, "run": run, "buckets": [astuple(bucket) for bucket in buckets]}
+        create_text(self.spark, f"{self.path}/commits/{gen}.json", json.dumps(held))
+
+    def _publish(self, gen: int, run: str) -> None:
+        """Shows the changes of a commit to those who follow them, all at once."""
+        hidden, shown = f"{self.path}/unpublished/gen={gen}/run={run}", f"{self.path}/changes/gen={gen}"
+        if self.tracked and run and exists(self.spark, hidden):
+            rename(self.spark, hidden, shown)
+
+    def overwrite(self, rows: DataFrame, source_gen: int = 0) -> int:
         """Replaces the whole table; the rows must have distinct keys. For summary tables."""
         if self.tracked:
             raise ValueError("a table that tracks changes is not overwritten: use upsert or delete")
         state = self._state()
-        gen, buckets = state.last_gen + 1, state.buckets
-        rows = rows.select(self.schema.fieldNames()).withColumn("bucket", self._bucket(buckets))
-        self._write(rows, gen, "batch")
-        # In place of what a job that died half-way may have left under this number.
-        self._write(self._no_rows(), gen, "kept")
-        self._commit(gen, list(range(buckets)), buckets, source_gen)
-        return gen
+        if not state.buckets:
+            state = self._first_buckets(rows, rows.count(), 1)
+        rows = rows.select(*self.schema.names, F.lit("kept").alias("state"))
+        return self._write(state, {bucket.number for bucket in state.buckets}, rows, None, None, source_gen)
 
     def clear(self) -> int:
         """K9: empties the table; what was in it goes into the changes."""
@@ -253,9 +397,11 @@ class KeyedTable:
 
     def vacuum(self) -> list[int]:
         """Deletes the rows that no current bucket needs; gives the commits they came from."""
-        owners = self._state().owners
-        committed = [row["gen"] for row in self._commits().select("gen").distinct().collect()]
-        unused = sorted(gen for gen in committed if gen not in owners)
+        owners, data = self._state().owners, f"{self.path}/data"
+        stored = [int(name.split("=")[1]) for name in names_in(self.spark, data)]
+        unused = sorted(gen for gen in stored if gen not in owners)
         for gen in unused:
-            remove(self.spark, f"{self.path}/data/gen={gen}")
+            remove(self.spark, f"{data}/gen={gen}")
+        for scratch in ("incoming", "repeated", "leaving"):
+            remove(self.spark, f"{self.path}/{scratch}")
         return unused

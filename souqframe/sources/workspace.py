@@ -35,3 +35,46 @@ def remove(spark: SparkSession, path: str) -> None:
     """Deletes a file or folder."""
     files, folder = _hadoop_path(spark, path)
     files.delete(folder, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, hidden ones left out; none if there is no such folder."""
+    files, folder = _hadoop_path(spark, path)
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return [name for name in names if name[0] not in "._"]
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Makes a folder, unless there is one."""
+    files, folder = _hadoop_path(spark, path)
+    files.mkdirs(folder)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    files, file = _hadoop_path(spark, path)
+    stream = files.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file, unless there is one already: that is an error."""
+    files, file = _hadoop_path(spark, path)
+    stream = files.create(file, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def rename(spark: SparkSession, path: str, new: str) -> None:
+    """Gives a folder another name; the folder it is to stand in is made."""
+    files, folder = _hadoop_path(spark, path)
+    _, goal = _hadoop_path(spark, new)
+    files.mkdirs(goal.getParent())
+    files.rename(folder, goal)

@@ -1,35 +1,42 @@
 """The daily sums kept up to date by a stream (M1)."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from souqframe.plans.views import refresh_daily_sales_summary
+from souqframe.plans.views import add_daily_changes
 from souqframe.plans.warehouse import Warehouse
-from souqframe.sources.tables import COMMITS
-from souqframe.sources.workspace import exists
+from souqframe.sources.workspace import make_folder
+
+
+def change_stream(warehouse: Warehouse) -> DataFrame:
+    """The changes of the order table as a stream: what was put in (sign 1) and taken out (-1), with the commit.
+
+    A commit's changes appear as one folder, after the commit, so a micro-batch has them all or none.
+    """
+    orders = warehouse.validated
+    changes = f"{orders.path}/changes"
+    make_folder(warehouse.spark, changes)  # nothing stored yet
+    schema = T.StructType([*orders.change_schema.fields, T.StructField("gen", T.LongType())])
+    return warehouse.spark.readStream.schema(schema).parquet(changes)
 
 
 def stream_daily_sales(
     warehouse: Warehouse, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Refreshes the daily sums whenever the order table has new commits.
+    """Adds the changes of every new commit of the order table to the daily sums.
 
-    The stream reads the table's commits, which are only ever added to; its data files are rewritten
-    and would look new each time. A micro-batch that runs twice finds its commits already counted.
-    By default it takes what is there and stops; pass a `trigger` such as
-    `{"processingTime": "1 minute"}` to keep it running.
+    Only changed rows are read, and of them the sums by day go into the view. A micro-batch that runs
+    twice, or whose commits a refresh has counted meanwhile, changes nothing. By default it takes what
+    is there and stops; pass a `trigger` such as `{"processingTime": "1 minute"}` to keep it running.
     """
 
-    def refresh(_commits: DataFrame, _batch_id: int) -> None:
-        refresh_daily_sales_summary(warehouse, incremental=True)
+    def add(batch: DataFrame, _batch_id: int) -> None:
+        add_daily_changes(warehouse, batch)
 
-    commits = f"{warehouse.validated.path}/commits"
-    if not exists(warehouse.spark, commits):  # nothing stored yet: an empty list of commits
-        warehouse.spark.createDataFrame([], COMMITS).write.mode("append").parquet(commits)
     return (
-        warehouse.spark.readStream.schema(COMMITS)
-        .parquet(commits)
-        .writeStream.foreachBatch(refresh)
+        change_stream(warehouse)
+        .writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from souqframe.operators import outcomes
-from souqframe.operators.reports import daily_sums
+from souqframe.operators.reports import daily_sums, get_top_products
 from souqframe.operators.validation import apply_all_quality_rules
 from souqframe.plans import elt, jobs, views
 from souqframe.schemas import ORDER_FIELDS
@@ -168,3 +168,60 @@ def test_a_stream_may_start_before_the_first_order_is_stored(spark, warehouse, t
     elt.run_elt(warehouse, raw_orders(spark, [{"order_id": "A"}]))
     stream_daily_sales(warehouse, checkpoint).awaitTermination()
     assert warehouse.daily_sales.read().count() == 1
+
+
+def products(warehouse):
+    rows = warehouse.top_products.read().collect()
+    return sorted((row["product_name"], row["total_quantity_sold"], row["total_revenue"]) for row in rows)
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_product_sums_follow_moves_and_removals(spark, warehouse, seed):
+    dice = random.Random(seed)
+
+    def items():
+        lines = [
+            f'{{"name":"p{dice.randrange(70)}","qty":"{dice.randrange(1, 9)}","total":"{dice.randrange(900) / 100}"}}'
+            for _ in range(dice.randrange(1, 5))
+        ]
+        return f"[{','.join(lines)}]"
+
+    for number in range(3):
+        changes = [{"order_id": f"O{dice.randrange(60)}", "items_json": items()} for _ in range(50)]
+        warehouse.validated.upsert(apply_all_quality_rules(raw_orders(spark, changes, first_ingested=1000.0 * number)))
+        if number == 1:
+            some = warehouse.validated.read().where("order_id like 'O1%'").select("order_id")
+            warehouse.validated.delete(some)
+        assert views.refresh_top_products_summary(warehouse)["status"] == "SUCCESS"
+        anew = get_top_products(warehouse.validated.read(), views.PRODUCTS_KEPT).collect()
+        assert products(warehouse) == sorted(tuple(row) for row in anew)
+    assert views.refresh_top_products_summary(warehouse)["status"] == "NO_NEW_DATA"
+
+
+def test_a_replayed_batch_of_the_stream_changes_nothing(spark, warehouse, monkeypatch):
+    warehouse.validated.upsert(random_batch(spark, random.Random(8), 1))
+    monkeypatch.setattr(views, "refresh_daily_sales_summary", None)  # the stream does without it
+    changes = warehouse.validated.signed_changes(0, 1)
+    assert views.add_daily_changes(warehouse, changes) > 0
+    before, gen = daily(warehouse), warehouse.daily_sales.last_gen()
+    assert views.add_daily_changes(warehouse, changes) == 0
+    assert daily(warehouse) == before == recomputed(warehouse) and warehouse.daily_sales.last_gen() == gen
+
+
+def test_stream_and_refresh_take_turns(spark, warehouse, tmp_path):
+    dice, checkpoint = random.Random(9), str(tmp_path / "checkpoint")
+    for number in range(4):
+        warehouse.validated.upsert(random_batch(spark, dice, number))
+        if number % 2:
+            views.refresh_daily_sales_summary(warehouse)
+        stream_daily_sales(warehouse, checkpoint).awaitTermination()
+        assert daily(warehouse) == recomputed(warehouse)
+
+
+def test_watermarks_only_rise(warehouse):
+    assert views.get_last_watermark(warehouse, "v") == 0
+    for at in (5.0, 3.0):
+        views.set_last_watermark(warehouse, "v", at)
+    views.set_last_watermark(warehouse, "w", 1.0)
+    assert views.get_last_watermark(warehouse, "v") == 5.0
+    assert warehouse.watermarks.read().count() == 2

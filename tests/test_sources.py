@@ -106,3 +106,73 @@ def test_hot_value_is_spread_over_files(spark, tmp_path):
     layout.write_layout(apply_all_quality_rules(rows), path, "customer_order_date", files=4)
     files = spark.read.parquet(path).selectExpr("_metadata.file_path as f").groupBy("f").count().collect()
     assert len(files) == 4 and max(row["count"] for row in files) < 150
+
+
+def split_small(spark, size="20000"):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_line_breaks_in_quotes_over_many_splits(spark, tmp_path):
+    # Names with breaks, quotes and a field longer than several splits.
+    rows = [
+        {**BASE, "order_id": f"O{n}", "customer_name": f'a "{n}"\nb, {n}\n\n"' * (n % 4), "city": "x\n" * (3000 * (n % 97 == 5))}
+        for n in range(800)
+    ]
+    path = write_csv(tmp_path / "in.csv", rows)
+    whole = spark.read.options(**raw_orders._CSV, multiLine=True).csv(path)
+    expected = sorted(tuple(value or "" for value in row) for row in whole.select(ORDER_FIELDS).collect())
+    split_small(spark, "5000")
+    try:
+        read = raw_orders.read_order_csv(spark, path, multi_line=True)
+        assert spark.read.text(path).rdd.getNumPartitions() > 50
+        found = read.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(tuple(row[name] for name in ORDER_FIELDS) for row in found) == expected
+    assert len(expected) == 800
+    in_order = sorted(found, key=lambda row: row["_position"])
+    assert [row["order_id"] for row in in_order] == [f"O{n}" for n in range(800)]
+
+
+def test_an_open_quote_at_the_end_of_a_file(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text(",".join(ORDER_FIELDS) + '\nO1,C1\n\nO2,"never\nclosed\n')
+    rows = raw_orders.read_order_csv(spark, str(path), multi_line=True, broken=True).collect()
+    assert [row["order_id"] for row in rows] == ["O1", "O2"] and all(row["_broken"] for row in rows)
+    empty = tmp_path / "empty.csv"
+    empty.write_text(",".join(ORDER_FIELDS) + "\n")
+    assert raw_orders.read_order_csv(spark, str(empty), multi_line=True).collect() == []
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_broken_records_are_counted_and_kept_apart(spark, tmp_path, multi_line):
+    path = write_csv(tmp_path / "in.csv", [{**BASE, "order_id": f"O{n}"} for n in range(4)])
+    with open(path, "a", newline="") as file:
+        file.write("O4,C4\r\n" + ",".join(["O5"] * 19) + "\r\n")
+    raw_path = str(tmp_path / "raw")
+    loaded = raw_orders.load_csv_to_raw(spark, path, raw_path, "r", multi_line=multi_line)
+    assert (loaded["loaded_raw"], loaded["broken"]) == (6, 2)
+    kept = spark.read.parquet(raw_orders.broken_path(raw_path)).collect()
+    assert sorted(row["record"] for row in kept) == ["O4,C4", ",".join(["O5"] * 19)]
+    raw = raw_orders.read_orders_raw(spark, raw_path).where("record_raw.order_id = 'O4'").first()
+    assert raw["record_raw"]["customer_id"] == "C4" and raw["record_raw"]["city"] == ""
+    good = raw_orders.load_csv_to_raw(spark, write_csv(tmp_path / "good.csv", [BASE]), raw_path, multi_line=multi_line)
+    assert good["broken"] == 0
+
+
+def test_sample_reads_the_first_splits_only(spark, tmp_path):
+    from souqframe.sources.records import leading_records
+
+    path = write_csv(tmp_path / "in.csv", [{**BASE, "order_id": f"O{n}"} for n in range(3000)])
+    split_small(spark)
+    try:
+        splits = spark.read.text(path).rdd.getNumPartitions()
+        records, found = leading_records(spark, path, 250)
+        assert found == 250 and records.rdd.getNumPartitions() < splits / 4
+        out = str(tmp_path / "out")
+        assert raw_orders.create_sample(spark, path, out, 250) == 250
+        assert leading_records(spark, path, 5000)[1] == 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    ids = [row["order_id"] for row in raw_orders.read_order_csv(spark, out).collect()]
+    assert sorted(ids) == sorted(f"O{n}" for n in range(250))

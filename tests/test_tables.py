@@ -1,4 +1,7 @@
+from pathlib import Path
+
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,11 +86,124 @@ def test_overwrite_clear_and_vacuum(spark, tmp_path):
     assert contents(keyed) == {}
 
 
-def test_bucket_count_stays_what_it_was(spark, tmp_path):
-    table(spark, tmp_path, buckets=5).upsert(batch(spark, ("a", 1, 1.0)), ["at"])
+def numbered(spark, first, end, at=1.0):
+    return spark.range(first, end).select(
+        F.format_string("k%06d", "id").alias("id"), F.col("id").alias("value"), F.lit(at).alias("at")
+    )
+
+
+def test_buckets_stay_where_they_were_cut(spark, tmp_path):
+    table(spark, tmp_path, buckets=5).upsert(numbered(spark, 0, 100), ["at"])
     again = table(spark, tmp_path, buckets=2)
-    again.upsert(batch(spark, ("a", 2, 2.0), ("b", 1, 1.0)), ["at"])
-    assert again._state().buckets == 5 and contents(again) == {"a": 2, "b": 1}
+    lows = [bucket.low for bucket in again._state().buckets]
+    assert lows == [None, "k000020", "k000040", "k000060", "k000080"]
+    again.upsert(numbered(spark, 50, 150, at=2.0), ["at"])
+    assert [bucket.low for bucket in again._state().buckets] == lows
+    assert len(contents(again)) == again.row_count() == 150
+
+
+def folder_size(path):
+    return sum(file.stat().st_size for file in path.rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("partitions", ["1", "4", "13"])
+def test_new_ids_rewrite_few_buckets_one_file_each(spark, tmp_path, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        keyed = table(spark, tmp_path, buckets=40, rows_per_bucket=1000)
+        keyed.upsert(numbered(spark, 0, 20_000), ["at"])
+        keyed.upsert(numbered(spark, 20_000, 20_050), ["at"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    whole, rewritten = (folder_size(tmp_path / "table" / "data" / f"gen={gen}") for gen in (1, 2))
+    assert rewritten < 0.05 * whole
+    for bucket in keyed._state().buckets:
+        folder = tmp_path / "table" / "data" / f"gen={bucket.gen}" / f"run={bucket.run}" / "state=kept"
+        assert len(list((folder / f"bucket={bucket.number}").glob("*.parquet"))) == 1
+    assert len(contents(keyed)) == 20_050
+
+
+def test_a_bucket_that_grows_is_cut(spark, tmp_path):
+    keyed = table(spark, tmp_path, buckets=2, rows_per_bucket=100)
+    for first in range(0, 900, 300):
+        keyed.upsert(numbered(spark, first, first + 300), ["at"])
+    buckets = keyed._state().buckets
+    assert len(buckets) >= 6 and max(bucket.rows for bucket in buckets) <= 250
+    assert keyed.read().count() == keyed.row_count() == 900 and keyed.duplicate_keys().isEmpty()
+    keyed.upsert(numbered(spark, 100, 800, at=5.0).withColumn("value", F.lit(-1)), ["at"])
+    assert keyed.read().where("value = -1").count() == 700 and keyed.row_count() == 900
+
+
+def test_one_percent_of_distinct_keys_is_not_sorted(spark, tmp_path, monkeypatch):
+    keyed, plans = table(spark, tmp_path, buckets=4), []
+    keyed.upsert(numbered(spark, 0, 2000), ["at"])
+    winners, count = keyed._winners(numbered(spark, 0, 20), ["at"], 2)
+    assert count == 20
+    plans.append(winners._jdf.queryExecution().executedPlan().toString())
+    assert "Sort" not in plans[0] and "Exchange" not in plans[0]
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path, monkeypatch):
+    one, other = table(spark, tmp_path, tracked=("value",)), table(spark, tmp_path, tracked=("value",))
+    one.upsert(batch(spark, ("a", 1, 1.0)), ["at"])
+    commit = KeyedTable._commit
+
+    def late(self, gen, *more):
+        with monkeypatch.context() as undone:
+            undone.setattr(KeyedTable, "_commit", commit)
+            other.upsert(batch(spark, ("b", 2, 1.0)), ["at"])
+        commit(self, gen, *more)
+
+    monkeypatch.setattr(KeyedTable, "_commit", late)
+    with pytest.raises(Exception, match="already exists"):
+        one.upsert(batch(spark, ("c", 3, 1.0)), ["at"])
+    monkeypatch.undo()
+    assert contents(one) == {"a": 1, "b": 2}
+    assert [row["id"] for row in one.signed_changes(1, 2).collect()] == ["b"]
+
+
+@pytest.mark.parametrize("fault", ["lost", "doubled"])
+def test_a_lost_or_doubled_row_is_noticed(spark, tmp_path, monkeypatch, fault):
+    keyed = table(spark, tmp_path, buckets=1)
+    keyed.upsert(numbered(spark, 0, 50), ["at"])
+    rows = keyed._rows
+
+    def wrong(state, only=None):
+        found = rows(state, only)
+        return found.where("id != 'k000007'") if fault == "lost" else found.unionAll(found.where("id = 'k000007'"))
+
+    monkeypatch.setattr(keyed, "_rows", wrong)
+    with pytest.raises(RuntimeError, match="51 rows became|50 rows became|rows became"):
+        keyed.upsert(numbered(spark, 60, 61), ["at"])
+    monkeypatch.undo()
+    assert len(contents(keyed)) == 50
+
+
+def test_what_was_written_is_read_back(spark, tmp_path, monkeypatch):
+    keyed, write = table(spark, tmp_path, buckets=1), DataFrameWriter.parquet
+
+    def losing(self, path, *more, **options):
+        write(self, path, *more, **options)
+        if "/data/" in path:
+            for file in Path(path).rglob("*.parquet"):
+                file.unlink()
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", losing)
+    with pytest.raises(RuntimeError, match="not the 50 written"):
+        keyed.upsert(numbered(spark, 0, 50), ["at"])
+    monkeypatch.undo()
+    assert keyed.last_gen() == 0
+
+
+def test_changes_of_a_writer_that_died_after_its_commit_appear(spark, tmp_path, monkeypatch):
+    keyed = table(spark, tmp_path, tracked=("value",))
+    with monkeypatch.context() as dying:
+        dying.setattr(KeyedTable, "_publish", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            keyed.upsert(batch(spark, ("a", 1, 1.0)), ["at"])
+    assert keyed.last_gen() == 1
+    assert [tuple(row) for row in keyed.signed_changes(0, 1).collect()] == [("a", 1, 1, 1)]
 
 
 def test_small_upsert_leaves_other_buckets_alone(spark, tmp_path):
