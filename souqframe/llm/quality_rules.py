@@ -166,13 +166,14 @@ def choose_cutoffs(
     """
     m = F.col(measures)
     ratios = {rule: F.coalesce(ratio(m), F.lit(0.0)) for rule, ratio in RULES.items()}
+    # The first step that rejects a document: so do all sets from there on.
+    first = F.least(*[F.when(ratios[rule] > cutoff, F.lit(i)) for i, (rule, cutoff) in enumerate(CHAIN)])
     counted = labelled.where(F.col(good) & ~m["base_failed"])
-    rejected = F.lit(False)
-    sums = []
-    for i, (rule, cutoff) in enumerate(CHAIN):
-        rejected = rejected | (ratios[rule] > cutoff)
-        sums.append(F.count_if(rejected).alias(f"k_{i}"))
-    counts = counted.groupBy(F.col(stratum).alias("stratum")).agg(F.count("*").alias("n"), *sums)
+    steps = counted.groupBy(F.col(stratum).alias("stratum"), first.alias("first")).agg(F.count("*").alias("c"))
+    upto = [F.coalesce(F.sum(F.when(F.col("first") <= i, F.col("c"))), F.lit(0)) for i in range(len(CHAIN))]
+    counts = steps.groupBy("stratum").agg(
+        F.sum("c").alias("n"), *[count.alias(f"k_{i}") for i, count in enumerate(upto)]
+    )
     strata = max(1, counted.select(stratum).distinct().count())
     tested = F.array(
         *[
