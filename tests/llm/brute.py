@@ -4,7 +4,6 @@ import hashlib
 import math
 import re
 from collections import Counter
-from fractions import Fraction
 from itertools import accumulate, product
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -228,15 +227,17 @@ def base_secrets(text):
     return [(start, end, kind) for start, end, order, kind in sorted(found, key=lambda f: (f[0], f[2]))]
 
 
-def chosen_cutoffs(rows, chain, strata, allowed, error):
-    """{rule: cutoff} of one stratum by exact binomials; `rows` has the ratios of its good documents by rule."""
+def chosen_cutoffs(rows, chain, strata):
+    """{rule: cutoff} of one stratum by exact binomials at a rate of 1/50 and an error of 1/20 over all strata.
+
+    `rows` has the ratios of the stratum's good documents by rule. All in whole numbers.
+    """
     cutoffs, n = {}, len(rows)
     for rule, cutoff in chain:
         tightened = {**cutoffs, rule: cutoff}
         k = sum(any(row[r] > c for r, c in tightened.items()) for row in rows)
-        rate = Fraction(allowed).limit_denominator(1000)
-        tail = sum(math.comb(n, i) * rate**i * (1 - rate) ** (n - i) for i in range(k + 1))
-        if not (k < n * rate and tail <= Fraction(error).limit_denominator(1000) / strata):
+        tail = sum(math.comb(n, i) * 49 ** (n - i) for i in range(k + 1)) if 50 * k < n else 50**n
+        if not (50 * k < n and tail * 20 * strata <= 50**n):
             break
         cutoffs = tightened
     return cutoffs

@@ -147,9 +147,9 @@ def test_quality_and_toxicity_of_held_out_documents(spark, tmp_path):
 
 def test_a_document_is_not_its_own_prior(docs, by_id, spark, tmp_path):
     # One page sites: their prior is that of all documents, whatever the page itself says.
-    texts = [(f"{'nice' if i % 2 else 'awful'} text number {i}", f"l{i}", f"s{i}") for i in range(200)]
-    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    texts = [(f"{'nice' if i % 2 else 'awful'} text number {i}", f"l{i}", f"s{i}") for i in range(800)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(800)], "doc_id long, quality int, toxic int")
     rows = by_id(quality_classifier.classify_quality(docs(texts), labels, str(tmp_path / "q")))
     priors = {round(row["path_prior"], 6) for row in rows.values()}
     assert len(priors) <= 2 and max(priors) - min(priors) < 0.02
-    assert all(rows[i]["kept"] == bool(i % 2) for i in range(200))
+    assert all(rows[i]["kept"] == bool(i % 2) for i in range(800))
