@@ -165,7 +165,7 @@ def csv_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first rows of an order file that is in order, copied."""
     folder = workspace(spark)
-    ordered = dirty_order_fields(spark, sf_dir).orderBy("number_row_source").coalesce(1)
+    ordered = dirty_order_fields(spark, sf_dir).orderBy("number_row_source")
     raw_orders.write_order_csv(ordered.select(ORDER_FIELDS), f"{folder}/orders.csv")
     raw_orders.create_sample(spark, f"{folder}/orders.csv", f"{folder}/sample.csv", 1000, exactly=True)
     return raw_orders.read_order_csv(spark, f"{folder}/sample.csv").select("order_id", "items_json")

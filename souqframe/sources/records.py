@@ -9,6 +9,8 @@ A quote that does not open or close a field must be doubled, as CSV asks for.
 """
 
 from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -145,11 +147,26 @@ def _leading(lines: DataFrame, partitions: int) -> DataFrame:
 def leading_records(spark: SparkSession, path: str, count: int) -> tuple[DataFrame, int]:
     """The first `count` records of an order file, none with line breaks, and how many there are of them.
 
+    An order file that was written in parts is a folder; its parts follow each other by name. The first
+    parts are looked at, twice as many each time, until they have enough.
+    """
+    files, taken = sorted(unquote(file) for file in spark.read.text(path).inputFiles()), 1
+    while True:
+        records, found = _leading_records(spark, files[:taken] or [path], count)
+        if found >= count or taken >= len(files):
+            return records, found
+        taken *= 2
+
+
+def _leading_records(spark: SparkSession, files: list[str], count: int) -> tuple[DataFrame, int]:
+    """The first `count` records of some files in their order.
+
     The lines of the first splits are counted, of twice as many each time, until there are enough; what
     the splits before it have tells each one how many it gives. No other split is read, and no row
     reaches the driver. The first line of a file is its header.
     """
-    lines = _lines(spark, path).where(F.trim("value") != "")
+    # Reading them together would not keep their order.
+    lines = reduce(DataFrame.unionAll, [_lines(spark, file) for file in files]).where(F.trim("value") != "")
     named = lines.select("file_source", "split").rdd
 
     def counted(part: Iterator) -> list[int]:

@@ -176,3 +176,17 @@ def test_sample_reads_the_first_splits_only(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     ids = [row["order_id"] for row in raw_orders.read_order_csv(spark, out).collect()]
     assert sorted(ids) == sorted(f"O{n}" for n in range(250))
+
+
+def test_sample_of_a_file_in_parts(spark, tmp_path):
+    path = tmp_path / "parts"
+    path.mkdir()
+    # Later parts are larger: read together, Spark takes those first.
+    for part in range(5):
+        rows = [{**BASE, "order_id": f"O{part}-{n}"} for n in range(10 * (part + 1))]
+        write_csv(path / f"part-0000{part}.csv", rows)
+    out = str(tmp_path / "out")
+    assert raw_orders.create_sample(spark, str(path), out, 35, exactly=True) == 35
+    ids = sorted(row["order_id"] for row in raw_orders.read_order_csv(spark, out).collect())
+    assert ids == sorted(f"O{part}-{n}" for part, n in [(p, n) for p in range(5) for n in range(10 * (p + 1))][:35])
+    assert raw_orders.create_sample(spark, str(path), out, 1000) == 150
