@@ -43,12 +43,18 @@ def layouts() -> dict[str, Layout]:
     return {layout.name: layout for layout in offered}
 
 
+ROWS = 250_000  # of a file: as many as a task sorts in memory
+
+
 def write_layout(orders: DataFrame, path: str, name: str, files: int | None = None) -> None:
-    """Writes a copy of the orders in the named layout, and a row for each file with its first column's bounds."""
+    """Writes a copy of the orders in the named layout, and a row for each file with its first column's bounds.
+
+    There are `files` files, or more if they would have over ROWS rows.
+    """
     if name not in layouts():
         raise ValueError(f"no layout '{name}'; there are {', '.join(layouts())}")
     order = layouts()[name].order
-    ranges = (files, *order) if files else order
+    ranges = (max(files, -(-orders.count() // ROWS)), *order) if files else order
     orders.repartitionByRange(*ranges).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
     first, stored = layouts()[name].leading, orders.sparkSession.read.schema(orders.schema).parquet(path)
     stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(

@@ -190,3 +190,14 @@ def test_sample_of_a_file_in_parts(spark, tmp_path):
     ids = sorted(row["order_id"] for row in raw_orders.read_order_csv(spark, out).collect())
     assert ids == sorted(f"O{part}-{n}" for part, n in [(p, n) for p in range(5) for n in range(10 * (p + 1))][:35])
     assert raw_orders.create_sample(spark, str(path), out, 1000) == 150
+
+
+def test_large_layouts_have_more_files(spark, tmp_path, monkeypatch):
+    from souqframe.operators.validation import apply_all_quality_rules
+    from tests.conftest import raw_orders as make
+
+    monkeypatch.setattr(layout, "ROWS", 20)
+    rows = make(spark, [{"order_id": f"O{n:03d}"} for n in range(200)])
+    layout.write_layout(apply_all_quality_rules(rows), str(tmp_path / "city"), "city", files=4)
+    read = spark.read.parquet(str(tmp_path / "city"))
+    assert read.count() == 200 and len(read.inputFiles()) >= 9
