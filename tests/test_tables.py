@@ -238,3 +238,40 @@ def test_idempotency_check(spark, tmp_path, warehouse):
     cleaned = apply_all_quality_rules(raw_orders(spark, [{"order_id": f"O{n}"} for n in range(20)]))
     warehouse.validated.upsert(cleaned)
     assert upsert_is_idempotent(warehouse.validated, cleaned)
+
+
+def test_many_rows_that_leave_meet_what_comes_in_one_shuffle(spark, tmp_path, monkeypatch):
+    from souqframe.sources import tables
+
+    monkeypatch.setattr(tables, "SENT", 0)
+    keyed, plans, write = table(spark, tmp_path, tracked=("value",), buckets=5), [], KeyedTable._write
+
+    def seen(self, state, touched, dealt, *more):
+        plans.append(dealt._jdf.queryExecution().executedPlan().toString())
+        return write(self, state, touched, dealt, *more)
+
+    monkeypatch.setattr(KeyedTable, "_write", seen)
+    keyed.upsert(numbered(spark, 0, 500), ["at"])
+    keyed.upsert(numbered(spark, 300, 700, at=2.0).withColumn("value", F.lit(-1)), ["at"])
+    assert "Join" not in plans[1] and plans[1].count("Exchange") == 1
+    keyed.delete(numbered(spark, 0, 100).unionAll(numbered(spark, 600, 900)))
+    rows = contents(keyed)
+    assert rows == {f"k{n:06d}": n if n < 300 else -1 for n in range(100, 600)}
+    changed = keyed.signed_changes(1, 3).groupBy("gen", "sign").count().collect()
+    assert sorted(map(tuple, changed)) == [(2, -1, 200), (2, 1, 400), (3, -1, 200)]
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_a_batch_is_worked_out_once(spark, tmp_path, stored):
+    worked_out = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def key(number):
+        worked_out.add(1)
+        return f"k{number:03d}"
+
+    rows = spark.range(100).select(key("id").alias("id"), F.col("id").alias("value"), F.lit(1.0).alias("at"))
+    keyed = table(spark, tmp_path, buckets=4)
+    keyed.upsert(rows, ["at"], stored=stored)
+    assert len(contents(keyed)) == 100
+    assert stored or worked_out.value == 100
