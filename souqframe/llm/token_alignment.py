@@ -31,6 +31,9 @@ from souqframe.llm.rows import once
 CHUNK = 1 << 19  # parts of texts in a chunk, about; a text is never split
 PARTS = 120_000  # that a worker remembers, to twice as many
 SHORT = 64  # characters of the longest part that is remembered
+TOGETHER = 4096  # new parts of a chunk that are aligned at once, about
+CHARS = 1 << 17  # of texts whose new parts wait for that, about
+FEWER = 128  # of those, where a part among them does not go with the others
 ROWS = 1 << 15  # rows of results at once
 
 # Characters that all engines of regular expressions put into the same classes.
@@ -125,7 +128,10 @@ class PieceTokens(Tokens):
         return self.processor.encode([text], num_threads=1)[0]
 
 
-Part = tuple[int, int, int, bytes, str]  # tokens of a and of b, groups, links (first id, 32 bits, second id), groups as text
+# An alignment, in one piece as very many are remembered: four numbers of 32 bits (tokens of a and of b,
+# groups, links), 64 bits for each link (first id, second id), and the groups as text.
+Part = bytes
+HEAD = 16
 
 
 class Aligner:
@@ -137,23 +143,46 @@ class Aligner:
     def of(self, parts: list[str]) -> list[Part | None]:
         """The alignment of each part, or None where the tokens of either are not its bytes behind a blank."""
         known, older = self.known, self.older
-        found = [known.get(part) or older.get(part) for part in parts]
-        missing = [part for part, whole in zip(parts, found, strict=True) if whole is None]
-        fresh = dict(zip(missing, self.align(missing), strict=True))
-        known |= {part: whole for part, whole in zip(parts, found, strict=True) if whole}
-        known |= {part: whole for part, whole in fresh.items() if whole and len(part) <= SHORT}
+        found, missing = list(map(known.get, parts)), []
+        for place, whole in enumerate(found):
+            if whole is None:
+                part = parts[place]
+                if (whole := older.get(part)) is None:
+                    missing.append(place)
+                else:
+                    found[place] = known[part] = whole
+        for place, whole in zip(missing, self.align([parts[place] for place in missing]), strict=True):
+            found[place] = whole
+            if whole and len(parts[place]) <= SHORT:
+                known[parts[place]] = whole
         if len(known) > PARTS:
             self.known, self.older = {}, known
-        return [whole or fresh[part] for part, whole in zip(parts, found, strict=True)]
+        return found
 
     def align(self, parts: list[str]) -> list[Part | None]:
-        """All parts at once, put together to a text again; one by one where that cannot be."""
-        plain = [part for part in parts if part and not part[0].isspace() and not part[-1].isspace()]
-        if len(plain) < len(parts) or len(parts) == 1:
-            together = dict(zip(plain, self.align(plain), strict=True)) if 0 < len(plain) < len(parts) else {}
-            return [together[part] if part in together else self._alone(part) for part in parts]
-        found = self._together(parts) if parts else []
-        return [self._alone(part) for part in parts] if found is None else found
+        """All parts at once, put together to a text again; fewer, and then one by one, where that cannot be.
+
+        Parts with unusual characters go together apart from the others, whose tokenizer is faster.
+        """
+        if len(parts) < 2:
+            return [self._alone(part) for part in parts]
+        plain = [part for part in parts if part and part.strip() == part]
+        odd = [part for part in plain if ODD.search(part)] if ODD.search(" ".join(plain)) else []
+        if not odd and len(plain) == len(parts):
+            return self._parted(parts)
+        apart = set(odd)
+        usual = [part for part in plain if part not in apart]
+        together = {}
+        for own in (usual, odd):
+            together |= zip(own, self._parted(own), strict=True)
+        return [together[part] if part in together else self._alone(part) for part in parts]
+
+    def _parted(self, parts: list[str]) -> list[Part | None]:
+        if not parts or (found := self._together(parts)) is not None:
+            return found if parts else []
+        if len(parts) <= FEWER:
+            return [self._alone(part) for part in parts]
+        return [whole for at in range(0, len(parts), FEWER) for whole in self._parted(parts[at : at + FEWER])]
 
     def _alone(self, part: str) -> Part | None:
         found = self._together([part])
@@ -185,9 +214,10 @@ class Aligner:
         # Each end is a link; one that both have counts once.
         links = np.concatenate([ids_a << 32 | ids_b[in_b], ids_a[in_a[~cut_b]] << 32 | ids_b[~cut_b]])
         of_part = np.concatenate([part_a, part_b[~cut_b]])
-        links = links[np.argsort(of_part, kind="stable")]
-        link_ends = np.bincount(of_part, minlength=len(n_a)).cumsum().tolist()
-        groups = np.bincount(part_a[cut_a], minlength=len(n_a)).tolist()
+        links = links[np.argsort(of_part, kind="stable")].tobytes()
+        n_links = np.bincount(of_part, minlength=len(n_a))
+        groups = np.bincount(part_a[cut_a], minlength=len(n_a))
+        heads = np.stack([n_a, n_b, groups, n_links], axis=1).astype("<u4").tobytes()
         groups_a, groups_b = cut_a.cumsum() - cut_a, cut_b.cumsum() - cut_b
         order = np.argsort(np.concatenate([2 * groups_a, 2 * groups_b + 1]), kind="stable")
         names = np.concatenate(
@@ -195,10 +225,9 @@ class Aligner:
         )[order].tolist()
         name_ends = (n_a + n_b).cumsum().tolist()
         made, link, name = [], 0, 0
-        rows = zip(n_a.tolist(), n_b.tolist(), groups, link_ends, name_ends, strict=True)
-        for count_a, count_b, count, link_end, name_end in rows:
-            text = "".join(names[name:name_end])[:-1]
-            made.append((count_a, count_b, count, links[link:link_end].tobytes(), text))
+        for place, (link_end, name_end) in enumerate(zip((8 * n_links.cumsum()).tolist(), name_ends, strict=True)):
+            text = "".join(names[name:name_end])[:-1].encode()
+            made.append(heads[HEAD * place : HEAD * (place + 1)] + links[link:link_end] + text)
             link, name = link_end, name_end
         return made
 
@@ -209,35 +238,46 @@ class _Texts:
     def __init__(self, aligner: Aligner):
         self.aligner, self.numbers = aligner, Numbering()
         self.parts: list[Part | None] = []
-        self.groups: list[str | None] = []
         self.texts, self.copies, self.digests = [], [], []
+        self.waiting = 0
 
     def add(self, text: str, copies: int) -> int:
         ids = self.numbers.of(BETWEEN.split(text))
-        new = list(islice(reversed(self.numbers), len(self.numbers) - len(self.parts)))
-        if new:
-            found = self.aligner.of(new[::-1])
-            self.parts += found
-            self.groups += [part and part[4] for part in found]
-        groups = [self.groups[number] for number in ids.tolist()]
-        if None in groups:
-            self.texts.append(ids[:0])
-            self.digests.append("")
-        else:
-            self.texts.append(ids)
-            self.digests.append(hashlib.sha256(";".join(groups).encode()).hexdigest())
+        self.texts.append(ids)
         self.copies.append(copies)
+        self.waiting += len(text)
+        if len(self.numbers) - len(self.parts) >= TOGETHER or self.waiting >= CHARS:
+            self._align_new()
         return len(ids) + 1
 
+    def _align_new(self) -> None:
+        new = list(islice(reversed(self.numbers), len(self.numbers) - len(self.parts)))
+        self.parts += self.aligner.of(new[::-1])
+        self.waiting = 0
+
+    def _digest(self) -> None:
+        """Texts with a part that has no alignment have no tokens."""
+        groups = [part and part[HEAD + 8 * int.from_bytes(part[12:HEAD], "little") :] for part in self.parts]
+        for place, ids in enumerate(self.texts):
+            own = [groups[number] for number in ids.tolist()]
+            if None in own:
+                self.texts[place] = ids[:0]
+                self.digests.append("")
+            else:
+                self.digests.append(hashlib.sha256(b";".join(own)).hexdigest())
+
     def row(self) -> dict:
+        self._align_new()
+        self._digest()
         lengths, ids = np.fromiter(map(len, self.texts), np.int64, len(self.texts)), np.concatenate(self.texts)
         text = np.repeat(np.arange(len(lengths)), lengths)
         used = np.bincount(ids, np.array(self.copies, float)[text], len(self.parts)).astype(np.int64)
-        parts = [part if part and count else (0, 0, 0, b"", "") for part, count in zip(self.parts, used.tolist(), strict=True)]
-        sizes = np.fromiter((len(part[3]) >> 3 for part in parts), np.int64, len(parts))
-        measures = {name: np.array([part[i] for part in parts], np.int64) for i, name in enumerate(MEASURES[:3])}
-        measures["n_links"] = sizes
-        pairs, place = np.unique(np.frombuffer(b"".join([part[3] for part in parts]), np.int64), return_inverse=True)
+        nothing = bytes(HEAD)
+        parts = [part if part and count else nothing for part, count in zip(self.parts, used.tolist(), strict=True)]
+        heads = np.frombuffer(b"".join([part[:HEAD] for part in parts]), "<u4").reshape(-1, 4).astype(np.int64)
+        measures, sizes = dict(zip(MEASURES, heads.T, strict=True)), heads[:, 3]
+        links = [part[HEAD : HEAD + 8 * size] for part, size in zip(parts, sizes.tolist(), strict=True)]
+        pairs, place = np.unique(np.frombuffer(b"".join(links), np.int64), return_inverse=True)
         weights = np.zeros(len(pairs), np.int64)
         np.add.at(weights, place, np.repeat(used, sizes))
         return {

@@ -139,6 +139,23 @@ def test_alignment_forgets_and_goes_on(tokenizers, monkeypatch):
         assert aligner.of([part]) == aligner.align([part])
 
 
+def test_new_parts_of_many_texts_are_aligned_at_once(tokenizers, monkeypatch):
+    monkeypatch.setattr(token_alignment, "TOGETHER", 500)
+    texts = [f"word{n} other{n} e{n}" for n in range(400)] + ["a ▁ b", " “x” 東京 ", "東京 x y", "one  two\n three"]
+    aligner, calls, together = token_alignment.Aligner(*tokenizers), [], token_alignment.Aligner._together
+    monkeypatch.setattr(
+        token_alignment.Aligner, "_together", lambda self, parts: calls.append(len(parts)) or together(self, parts)
+    )
+    chunk = token_alignment._Texts(aligner)
+    for text in texts:
+        chunk.add(text, 1)
+    row = chunk.row()
+    assert len(calls) < 40 and sum(calls) < 3 * 1200
+    plain = _plain(texts, tokenizers)
+    found = zip(*[row[name].tolist() for name in token_alignment.MEASURES], row["groups_sha256"], strict=True)
+    assert [*found] == [(*whole[:4], whole[-1]) for whole in plain]
+
+
 def test_ranks_give_the_same_tokens(tokenizers):
     a, rnd = tokenizers[0], random.Random(3)
     assert a.by_rank is not None
