@@ -144,6 +144,19 @@ def test_one_percent_of_distinct_keys_is_not_sorted(spark, tmp_path, monkeypatch
     assert "Sort" not in plans[0] and "Exchange" not in plans[0]
 
 
+@pytest.mark.parametrize("sent, written", [(100, 2), (1, 2000)])
+def test_of_a_batch_with_few_repeated_keys_only_those_are_written_again(spark, tmp_path, monkeypatch, sent, written):
+    from souqframe.sources import tables
+
+    monkeypatch.setattr(tables, "SENT", sent)
+    twice = numbered(spark, 5, 7, at=3.0).withColumn("value", F.lit(-1))
+    rows, count = table(spark, tmp_path)._winners(numbered(spark, 0, 2000).unionAll(twice), ["at"], 1)
+    assert count == rows.count() == rows.select("id").distinct().count() == 2000
+    assert sorted(row["id"] for row in rows.where("value = -1").collect()) == ["k000005", "k000006"]
+    folders = list((tmp_path / "table" / "repeated").glob("*/rows"))
+    assert [spark.read.parquet(str(folder)).count() for folder in folders] == [written]
+
+
 def test_the_second_of_two_writers_fails(spark, tmp_path, monkeypatch):
     one, other = table(spark, tmp_path, tracked=("value",)), table(spark, tmp_path, tracked=("value",))
     one.upsert(batch(spark, ("a", 1, 1.0)), ["at"])
