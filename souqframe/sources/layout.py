@@ -12,17 +12,46 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from souqframe.sources.blocks import send_packed
+from souqframe.sources.workspace import shuffles_freed
+
 
 @dataclass(frozen=True)
 class Layout:
     name: str
     description: str
-    order: tuple[Column | str, ...]
+    columns: tuple[str, ...]
+    descending: frozenset[str] = frozenset()
 
     @property
     def leading(self) -> str:
         """The column that a lookup names to leave files out."""
-        return self.order[0]
+        return self.columns[0]
+
+    @property
+    def order(self) -> list[Column]:
+        return [F.desc(name) if name in self.descending else F.asc(name) for name in self.columns]
+
+    def before(self, cut: tuple) -> Column:
+        """Whether a row sorts before the one with the values of `cut`; nulls are the least values."""
+        is_before = F.lit(False)
+        for name, value in reversed(list(zip(self.columns, cut, strict=True))):
+            column, same = F.col(name), F.col(name).eqNullSafe(F.lit(value))
+            if name in self.descending:
+                less = column.isNotNull() if value is None else F.coalesce(column > value, F.lit(False))
+            else:
+                less = F.lit(False) if value is None else column.isNull() | (column < value)
+            is_before = less | (same & is_before)
+        return is_before
+
+    def place(self, cuts: list[tuple], first: int = 0) -> Column:
+        """How many of the sorted cuts are not behind a row: as many comparisons as their count has bits."""
+        if not cuts:
+            return F.lit(first)
+        half = len(cuts) // 2
+        return F.when(self.before(cuts[half]), self.place(cuts[:half], first)).otherwise(
+            self.place(cuts[half + 1 :], first + half + 1)
+        )
 
 
 def layouts() -> dict[str, Layout]:
@@ -35,7 +64,8 @@ def layouts() -> dict[str, Layout]:
         Layout(
             "customer_order_date",
             "a customer's orders, last ones first",
-            ("customer_id", F.desc("order_date"), "order_id"),
+            ("customer_id", "order_date", "order_id"),
+            frozenset({"order_date"}),
         ),
         Layout("status", "orders with one status", ("status", "order_id")),
         Layout("city", "orders of one city", ("city", "order_id")),
@@ -44,6 +74,16 @@ def layouts() -> dict[str, Layout]:
 
 
 ROWS = 250_000  # of a file: as many as a task sorts in memory
+SAMPLED = 100  # rows of each file to be, for where it begins
+
+
+def _cuts(orders: DataFrame, chosen: Layout, count: int, files: int) -> list[tuple]:
+    """Where the files begin: the sort columns of some SAMPLED rows a file, those whose hash is low, tell."""
+    share = min(1.0, SAMPLED * files / max(1, count))
+    low = F.pmod(F.xxhash64(*chosen.columns), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = [tuple(row) for row in orders.where(low).select(*chosen.columns).orderBy(*chosen.order).collect()]
+    places = [sample[len(sample) * part // files] for part in range(1, files)] if sample else []
+    return [cut for cut in dict.fromkeys(places) if cut != sample[0]]
 
 
 def write_layout(orders: DataFrame, path: str, name: str, files: int | None = None) -> None:
@@ -53,10 +93,12 @@ def write_layout(orders: DataFrame, path: str, name: str, files: int | None = No
     """
     if name not in layouts():
         raise ValueError(f"no layout '{name}'; there are {', '.join(layouts())}")
-    order = layouts()[name].order
-    ranges = (max(files, -(-orders.count() // ROWS)), *order) if files else order
-    orders.repartitionByRange(*ranges).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
-    first, stored = layouts()[name].leading, orders.sparkSession.read.schema(orders.schema).parquet(path)
+    chosen, count = layouts()[name], orders.count()
+    cuts = _cuts(orders, chosen, count, max(files or 1, -(-count // ROWS)))
+    ranged = send_packed(orders, len(cuts) + 1, chosen.place(cuts))
+    with shuffles_freed(orders.sparkSession):
+        ranged.sortWithinPartitions(*chosen.order).write.mode("overwrite").parquet(path)
+    first, stored = chosen.leading, orders.sparkSession.read.schema(orders.schema).parquet(path)
     stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.min(first).alias("low"), F.max(first).alias("high"), F.count(F.lit(1)).alias("rows")
     ).coalesce(1).write.mode("overwrite").parquet(bounds_path(path))
