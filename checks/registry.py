@@ -450,9 +450,10 @@ def elt_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def reset_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9: all order tables emptied, then every third order stored again."""
-    warehouse, cleaned = _new_warehouse(spark), _stored(_cleaned(spark, sf_dir))
-    accepted = outcomes.validated_orders(cleaned)
+    warehouse = _new_warehouse(spark)
     raw_orders.append_raw(dirty_orders(spark, sf_dir), warehouse.raw_path)
+    cleaned = _stored(validation.apply_all_quality_rules(warehouse.raw()))
+    accepted = outcomes.validated_orders(cleaned)
     warehouse.validated.upsert(accepted, stored=True)
     warehouse.quarantine.upsert(outcomes.with_record_key(outcomes.quarantined_orders(cleaned)), stored=True)
     warehouse.reset()
