@@ -288,3 +288,21 @@ def test_a_batch_is_worked_out_once(spark, tmp_path, stored):
     keyed.upsert(rows, ["at"], stored=stored)
     assert len(contents(keyed)) == 100
     assert stored or worked_out.value == 100
+
+
+@pytest.mark.parametrize("sent", [100, 0])
+def test_what_leaves_with_a_batch_is_one_commit(spark, tmp_path, monkeypatch, sent):
+    from souqframe.sources import tables
+
+    monkeypatch.setattr(tables, "SENT", sent)
+    keyed = table(spark, tmp_path, tracked=("value",), buckets=4)
+    keyed.upsert(numbered(spark, 0, 40), ["at"])
+    keys = numbered(spark, 10, 25).unionAll(numbered(spark, 90, 95)).select("id")
+    later = numbered(spark, 20, 30, at=2.0).withColumn("value", F.lit(-1).cast("long"))
+    assert keyed.upsert(later, ["at"], leaving=keys) == 2
+    expected = {f"k{n:06d}": -1 if 20 <= n < 30 else n for n in range(40) if not 10 <= n < 20}
+    assert contents(keyed) == expected and keyed.row_count() == 30
+    changed = keyed.signed_changes(1, 2).groupBy("sign").count().collect()
+    assert sorted(map(tuple, changed)) == [(-1, 20), (1, 10)]
+    assert keyed.upsert(numbered(spark, 0, 0), ["at"], leaving=keys) == 3
+    assert sorted(contents(keyed)) == [f"k{n:06d}" for n in [*range(10), *range(25, 40)]]
